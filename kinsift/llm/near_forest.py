@@ -218,8 +218,8 @@ def components(docs: DataFrame, k: int, threshold: int, scratch: Scratch) -> Dat
         .select(F.col("node").alias("doc_id"), F.xxhash64("root", F.least("own", "other"), F.greatest("own", "other")).alias("task"))
     )
     tasks = scratch.stage(tasks, "tasks")
-    texts = docs.select(F.col("doc_id").cast("long"), "text").join(tasks.select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    work = texts.join(tasks, "doc_id").select("task", "doc_id", "text").repartition("task").sortWithinPartitions("task", "doc_id")
+    # the list of members grows with the input, so it isn't broadcast at any size
+    work = docs.select(F.col("doc_id").cast("long"), "text").join(tasks.hint("merge"), "doc_id").select("task", "doc_id", "text").repartition("task").sortWithinPartitions("task", "doc_id")
 
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in grouped(batches):
@@ -232,7 +232,7 @@ def components(docs: DataFrame, k: int, threshold: int, scratch: Scratch) -> Dat
 
     linked = scratch.stage(work.mapInArrow(confirm, "a long, b long"), "links")
     if sizes.filter("blocks > 1").isEmpty():
-        roots = linked.select(F.col("a").alias("node"), F.col("b").alias("root"))
+        roots = linked.filter("a <> b").groupBy(F.col("a").alias("node")).agg(F.min("b").alias("root"))
     else:
         roots = connected(linked, scratch, "roots")
     classed = sketches.join(classes, ["set_a", "set_b"], "left").withColumn("class", F.when(F.col("n_shingles") > 0, F.col("class")).otherwise(F.col("doc_id")))
