@@ -1,10 +1,591 @@
-"""Registered queries and their SQL."""
+"""Queries over the test tables, and the SQL that gives the same rows.
+
+Records are made of documents: sources S1, S2 and S3 by doc_id, names and addresses from the beginning of
+the text with noise by doc_id, the language as country.  RECORD is written once, in SQL that Spark and
+DuckDB share.  True matches are records of equal text and country.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from kinsift import schema
+from kinsift.functions import rules, scripts, text
+from kinsift.operators import blocking, evaluate, matching, normalize, profile, split, validate
+from kinsift.sources import tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
+
+_LETTERS = "abcdefghijklmnopqrstuvwxyz"
+_N, _A = "replace(left(text, 40), chr(10), ' ')", "replace(left(substr(text, 41), 60), chr(10), ' ')"
+RECORD = {
+    "doc_id": "doc_id",
+    "src": "CASE doc_id % 3 WHEN 0 THEN 'S1' WHEN 1 THEN 'S2' ELSE 'S3' END",
+    "entity_id": "CASE doc_id % 3 WHEN 0 THEN 'S1-' WHEN 1 THEN 'S2-' ELSE 'S3-' END || CAST(doc_id AS STRING)",
+    "business_name": f"CASE doc_id % 11 WHEN 0 THEN translate({_N}, '{_LETTERS}', '{_LETTERS.upper()}') WHEN 1 THEN '#' || {_N} WHEN 2 THEN {_N} || ' - 7149969359' WHEN 3 THEN {_N} || ' | www.x.com' "
+    f"WHEN 4 THEN {_N} || ' (LLC)' WHEN 5 THEN 'M/s ' || {_N} WHEN 6 THEN {_N} || ' dba Foo Inc' WHEN 7 THEN {_N} || ' & Sons Ltd.' WHEN 8 THEN {_N} || '  (India) Co' WHEN 9 THEN '<<' || {_N} || ' Foo Foo' ELSE {_N} END",
+    "business_address": f"CASE WHEN doc_id % 30 = 0 THEN '' WHEN doc_id % 7 = 0 THEN 'null, ' || {_A} || ' st' WHEN doc_id % 11 = 0 THEN 'PO Box 12, ' || {_A} ELSE {_A} END",
+    "country": "lang",
+    "text": "text",
+}
+_REC = "rec AS (SELECT " + ", ".join(f"{v} AS {k}" for k, v in RECORD.items()).replace("AS STRING", "AS VARCHAR") + " FROM documents)"
+_SIDES = _REC + ", s1 AS (SELECT * FROM rec WHERE src = 'S1'), pool AS (SELECT * FROM rec WHERE src <> 'S1')"
+_TRUTH = _SIDES + ", truth AS (SELECT DISTINCT s1.country, s1.entity_id AS s1_id, pool.entity_id AS cand_id FROM s1 JOIN pool ON s1.country = pool.country AND s1.text = pool.text)"
+_STOP = ", ".join(f"'{w}'" for w in text.STOPWORDS)
+
+
+def query(sql: str | None = None):
+    """Registers a query under its function's name, with its SQL."""
+
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/documents.parquet").selectExpr(*[f"{v} AS {k}" for k, v in RECORD.items()])
+
+
+def both(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    r = records(spark, sf_dir)
+    return r.filter("src = 'S1'"), r.filter("src <> 'S1'")
+
+
+def truth_pairs(s1: DataFrame, pool: DataFrame) -> DataFrame:
+    left = s1.select("country", F.col("entity_id").alias("s1_id"), "text")
+    return left.join(pool.select("country", F.col("entity_id").alias("cand_id"), "text"), ["country", "text"]).select("country", "s1_id", "cand_id").distinct()
+
+
+def truth_lists(s1: DataFrame, pool: DataFrame) -> DataFrame:
+    lists = tables.lists_of(truth_pairs(s1, pool), s1.select(F.col("entity_id").alias("s1_id")))
+    return lists.join(s1.select(F.col("entity_id").alias("s1_id"), "country"), "s1_id")
+
+
+# --- scans and profiling -------------------------------------------------------------------------
+
+
+@query(f"WITH {_REC} SELECT src AS source, country, count(*) AS n FROM rec WHERE src <> 'S1' GROUP BY 1, 2")
+def scan_sources_union(spark, sf_dir):
+    r = records(spark, sf_dir)
+    pool = tables.union_pool(*[r.filter(F.col("src") == s).drop("src") for s in ("S2", "S3")])
+    return pool.groupBy("source", "country").agg(F.count("*").alias("n"))
+
+
+@query(f"WITH {_REC} SELECT country, count(*) AS n FROM rec GROUP BY 1")
+def country_distribution(spark, sf_dir):
+    return profile.value_counts(records(spark, sf_dir), "country")
+
+
+@query(f"WITH {_REC} SELECT country, sum(CASE WHEN trim(business_address) = '' THEN 1 ELSE 0 END)::BIGINT AS n_missing, count(*) AS n, round(avg(CASE WHEN trim(business_address) = '' THEN 1 ELSE 0 END), 6) AS rate FROM rec GROUP BY 1")
+def missing_rates_by_country(spark, sf_dir):
+    return profile.missing_rates(records(spark, sf_dir), "business_address", "country")
+
+
+@query(f"WITH {_REC} SELECT token, count(*) AS n FROM (SELECT unnest(regexp_extract_all(lower(business_name), '[a-z0-9]+')) AS token FROM rec) GROUP BY 1 ORDER BY n DESC, token LIMIT 30")
+def token_topk(spark, sf_dir):
+    return profile.top_tokens(records(spark, sf_dir), "business_name")
+
+
+@query(f"WITH {_REC} SELECT count(DISTINCT token) AS n_tokens FROM (SELECT unnest(regexp_extract_all(lower(business_name), '[a-z0-9]+')) AS token FROM rec)")
+def vocabulary_size(spark, sf_dir):
+    return profile.vocabulary_size(records(spark, sf_dir), "business_name")
+
+
+_SUFFIX = "nullif(regexp_extract(lower(trim(business_name)), '\\b(" + "|".join(text.PROFILE_SUFFIXES) + ")$', 1), '')"
+
+
+@query(f"WITH {_REC}, f AS (SELECT entity_id, {_SUFFIX} AS suffix FROM rec), r AS (SELECT *, row_number() OVER (PARTITION BY suffix ORDER BY entity_id) AS k FROM f WHERE suffix IS NOT NULL) SELECT suffix, count(*) AS n, string_agg(CASE WHEN k <= 5 THEN entity_id END, ',' ORDER BY entity_id) AS examples FROM r GROUP BY 1")
+def legal_suffix_distribution(spark, sf_dir):
+    return profile.suffix_distribution(records(spark, sf_dir), "business_name", "entity_id")
+
+
+#: Java's word border knows letters beyond ASCII; RE2's doesn't, so its pattern spells the border out.
+_RE2 = {"all_caps_word": r"(^|[^\p{L}\p{N}_])[A-Z]{4,}($|[^\p{L}\p{N}_])"}
+
+
+def _scan_sql(column: str, patterns: dict[str, str]) -> str:
+    one = "SELECT count(*) AS total, " + ", ".join(f"count(*) FILTER (regexp_matches({column}, '{_RE2.get(k, p)}')) AS {k}" for k, p in patterns.items()) + " FROM rec"
+    return f"c AS ({one}), scan AS (" + " UNION ALL ".join(f"SELECT '{k}' AS pattern, {k} AS n, round(100 * {k} / total, 4) AS pct, total FROM c" for k in patterns) + ")"
+
+
+_SQL_NAME_NOISE = {k: p for k, p in profile.NAME_NOISE.items() if k != "duplicate_adj_word"}
+
+
+@query(f"WITH {_REC}, {_scan_sql('business_name', _SQL_NAME_NOISE)} SELECT * FROM scan")
+def noise_scan_name(spark, sf_dir):
+    return profile.noise_scan(records(spark, sf_dir), "business_name", _SQL_NAME_NOISE)
+
+
+@query(f"WITH {_REC}, {_scan_sql('business_address', profile.ADDRESS_NOISE)} SELECT * FROM scan")
+def noise_scan_addr(spark, sf_dir):
+    return profile.noise_scan(records(spark, sf_dir), "business_address", profile.ADDRESS_NOISE)
+
+
+@query()
+def noise_scan_duplicate_word(spark, sf_dir):
+    return profile.noise_scan(records(spark, sf_dir), "business_name", {"duplicate_adj_word": profile.NAME_NOISE["duplicate_adj_word"]})
+
+
+@query(f"WITH {_REC}, {_scan_sql('business_name', _SQL_NAME_NOISE)} SELECT pattern, 'S123' AS source, n, pct, CASE WHEN pct >= 10 THEN 'HIGH' WHEN pct >= 1 THEN 'MEDIUM' WHEN pct >= 0.1 THEN 'LOW' ELSE 'TRACE' END AS priority FROM scan WHERE n > 0")
+def noise_catalog(spark, sf_dir):
+    return profile.noise_catalog({"S123": noise_scan_name(spark, sf_dir)})
+
+
+@query(f"WITH {_REC}, t AS (SELECT unnest(regexp_extract_all(lower(business_name), '{profile.ANOMALOUS}')) AS token FROM rec) SELECT token, count(*) AS n FROM t GROUP BY 1 HAVING count(*) > 0.005 * (SELECT count(*) FROM rec)")
+def anomalous_tokens(spark, sf_dir):
+    return profile.anomalous_tokens(records(spark, sf_dir), "business_name")
+
+
+@query()
+def script_inventory(spark, sf_dir):
+    return profile.script_inventory(records(spark, sf_dir), "business_name")
+
+
+@query()
+def scripts_per_record(spark, sf_dir):
+    return profile.scripts_per_record(records(spark, sf_dir), "business_name")
+
+
+@query()
+def cross_script_pairs(spark, sf_dir):
+    r = records(spark, sf_dir)
+    return profile.cross_script_pairs(truth_pairs(*both(spark, sf_dir)), r.select(F.col("entity_id").alias("id"), F.col("business_name").alias("name")))
+
+
+@query(f"WITH {_TRUTH} SELECT n_matches, count(*) AS n FROM (SELECT s1.entity_id, count(t.cand_id) AS n_matches FROM s1 LEFT JOIN truth t ON t.s1_id = s1.entity_id GROUP BY 1) GROUP BY 1")
+def match_histogram(spark, sf_dir):
+    return profile.match_histogram(truth_lists(*both(spark, sf_dir)))
+
+
+@query()
+def sampled_scan(spark, sf_dir):
+    return tables.sample(records(spark, sf_dir), 200).select("entity_id", "country")
+
+
+# --- rules ---------------------------------------------------------------------------------------
+
+
+def _rule(name: str, sql: str, column: str = "business_name", lower: bool = True, function=None) -> None:
+    apply = function or getattr(rules, name)
+    source = f"lower({column})" if lower else column
+
+    def run(spark, sf_dir):
+        return records(spark, sf_dir).select("entity_id", apply(F.lower(column) if lower else F.col(column)).alias("value"))
+
+    QUERIES[f"rule_{name}"] = run
+    ORACLE_SQL[f"rule_{name}"] = f"WITH {_REC} SELECT entity_id, {sql.format(c=source)} AS value FROM rec"
+
+
+_rule("lowercase", "lower({c})", lower=False)
+_rule("strip_ms_prefix", "regexp_replace({c}, '^m/s\\s+', '')")
+_rule("strip_hashtag_prefix", "regexp_replace({c}, '^[#<]+\\s*', '')")
+_rule("strip_angle_brackets", "regexp_replace({c}, '<<|>>', '', 'g')")
+_rule("strip_email", "trim({c})")
+_rule("strip_pipe_fragments", "regexp_replace({c}, '\\s*\\|.*$', '')")
+_rule("strip_appended_digits", "regexp_replace({c}, '\\s*[-–]\\s*\\d{{6,}}\\s*$|#\\d{{5,}}\\s*$', '')")
+_rule("strip_parenthetical_suffix", "regexp_replace({c}, '\\s*\\(llc\\)\\s*', ' llc', 'g')")
+_rule("strip_geo_parenthetical", "trim(regexp_replace({c}, '\\s*\\(\\s*india\\s*\\)\\s*', ' ', 'g'))")
+_rule("normalize_legal_suffix", "regexp_replace(regexp_replace({c}, '\\b(ltd\\.|ltd)\\s*$', 'limited'), '\\b(incorporated|inc\\.|inc)\\s*$', 'inc')")
+_rule("normalize_ampersand", "replace({c}, '&', ' and ')")
+_rule("split_dba", "trim(regexp_replace({c}, '\\sd/?b/?a\\s.*$', ''))", function=lambda c: rules.strip(rules.dba_parts(c)[0]))
+_rule("collapse_whitespace", "trim(regexp_replace({c}, '\\s+', ' ', 'g'))")
+_rule("leetspeak_digit", "regexp_matches({c}, '\\d[a-zA-Z]|[a-zA-Z]\\d')", function=lambda c: rules.has_leetspeak(c, parity=False))
+_rule("remove_null_literals", "regexp_replace({c}, '\\bnull\\b', '', 'g')", "business_address")
+_rule("strip_po_box", "trim(regexp_replace({c}, '\\bpo box 12', '', 'g'))", "business_address")
+_rule("expand_address_abbrev", "regexp_replace({c}, ' st$', ' street')", "business_address", function=lambda c: F.regexp_replace(c, rf"(?i){rules.B}st$", "street"))
+
+
+@query()
+def rule_collapse_duplicate_words(spark, sf_dir):
+    return records(spark, sf_dir).select("entity_id", rules.collapse_duplicate_words(F.lower("business_name")).alias("value"))
+
+
+@query(f"WITH {_REC} SELECT entity_id, CASE WHEN business_name LIKE '% | www.x.com' THEN trim(replace(lower(business_name), ' | www.x.com', '')) ELSE trim(lower(business_name)) END AS value FROM rec")
+def rule_strip_urls(spark, sf_dir):
+    return records(spark, sf_dir).select("entity_id", rules.strip_urls(F.lower("business_name")).alias("value"))
+
+
+@query()
+def rule_unicode_nfkd(spark, sf_dir):
+    return records(spark, sf_dir).select("entity_id", scripts.nfkd("business_name").alias("value"))
+
+
+@query()
+def rule_unicode_accents(spark, sf_dir):
+    return records(spark, sf_dir).select("entity_id", scripts.accents_and_scripts(F.col("business_name"))["no_accent"].alias("value"))
+
+
+@query()
+def normalize_name_full(spark, sf_dir):
+    return normalize.normalize_names(records(spark, sf_dir)).select("entity_id", *normalize.NAME_COLUMNS)
+
+
+@query()
+def normalize_addr_full(spark, sf_dir):
+    return normalize.normalize_addresses(records(spark, sf_dir)).select("entity_id", *normalize.ADDRESS_COLUMNS)
+
+
+@query()
+def rule_fire_rates(spark, sf_dir):
+    return normalize.check_fire_rates(normalize.fire_rates(normalize.normalize_names(records(spark, sf_dir))))
+
+
+@query()
+def change_statistics(spark, sf_dir):
+    return normalize.change_statistics(normalize.normalize(records(spark, sf_dir)))
+
+
+@query()
+def map_distinct_names(spark, sf_dir):
+    part = spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey", "p_name")
+    return text.map_distinct(part, "p_name", lambda c: F.size(text.shingles(c)), "n_shingles")
+
+
+# --- blocking ------------------------------------------------------------------------------------
+
+_TOKENS = f"t AS (SELECT DISTINCT src = 'S1' AS one, country, entity_id, token FROM (SELECT src, country, entity_id, unnest(regexp_extract_all(lower({{c}}), '[a-z0-9]+')) AS token FROM rec) WHERE length(token) >= 3 AND token NOT IN ({{stop}}) AND NOT regexp_full_match(token, '[0-9]+'))"
+_RARE = "rare AS (SELECT d.country, d.token FROM (SELECT country, token, count(*) AS df FROM t WHERE NOT one GROUP BY 1, 2) d JOIN (SELECT country, floor(count(*) * CAST(0.05 AS DOUBLE)) AS cutoff FROM pool GROUP BY 1) c ON c.country = d.country WHERE df <= cutoff)"
+_TOKEN_PAIRS = "tok AS (SELECT DISTINCT a.country, a.entity_id AS s1_id, b.entity_id AS cand_id FROM t a JOIN rare r ON a.country = r.country AND a.token = r.token JOIN t b ON b.country = r.country AND b.token = r.token WHERE a.one AND NOT b.one)"
+_TOK = f"{_TRUTH}, {_TOKENS.format(c='business_name', stop=_STOP)}, {_RARE}, {_TOKEN_PAIRS}"
+_EXACT = "ex AS (SELECT DISTINCT s1.country, s1.entity_id AS s1_id, pool.entity_id AS cand_id FROM s1 JOIN pool ON s1.country = pool.country AND s1.nm = pool.nm WHERE s1.nm <> '')"
+
+
+@query(f"WITH {_TOK} SELECT country, s1_id, cand_id FROM tok")
+def token_blocking(spark, sf_dir):
+    return blocking.token_blocking(*both(spark, sf_dir), column="business_name", most=0.05)
+
+
+_ADDRESS = _TOKENS.format(c="business_address", stop="''")
+
+
+@query(f"WITH {_SIDES}, {_ADDRESS}, {_RARE}, {_TOKEN_PAIRS} SELECT country, s1_id, cand_id FROM tok")
+def address_token_blocking(spark, sf_dir):
+    return blocking.address_blocking(*both(spark, sf_dir), column="business_address", most=0.05)
+
+
+_PLAIN_NAME = "left(text, 40)"
+
+
+def plain(d: DataFrame) -> DataFrame:
+    """Records with their names before noise."""
+    return d.withColumn("nm", F.expr(_PLAIN_NAME))
+
+
+_EXACT_SQL = f"ex AS (SELECT DISTINCT s1.country, s1.entity_id AS s1_id, pool.entity_id AS cand_id FROM s1 JOIN pool ON s1.country = pool.country AND left(s1.text, 40) = left(pool.text, 40) WHERE left(s1.text, 40) <> '')"
+
+
+@query(f"WITH {_SIDES}, {_EXACT_SQL} SELECT * FROM ex")
+def exact_name_join(spark, sf_dir):
+    return blocking.exact_blocking(*map(plain, both(spark, sf_dir)), column="nm")
+
+
+_JACCARD = """names AS (SELECT DISTINCT src = 'S1' AS one, country, business_name AS v FROM rec),
+g AS (SELECT one, country, v, CASE WHEN length(v) < 3 THEN [v] ELSE list_distinct(list_transform(range(1, length(v) - 1), lambda i: substr(v, i, 3))) END AS grams FROM names),
+e AS (SELECT one, country, v, len(grams) AS n, unnest(grams) AS gram FROM g),
+near AS (SELECT a.country, a.v AS v1, b.v AS v2, count(*) / (a.n + b.n - count(*)) AS score FROM e a JOIN e b ON a.country = b.country AND a.gram = b.gram WHERE a.one AND NOT b.one GROUP BY a.country, a.v, b.v, a.n, b.n HAVING count(*) / (a.n + b.n - count(*)) >= 0.2)"""
+
+
+@query(f"WITH {_SIDES}, {_JACCARD} SELECT DISTINCT near.country, s1.entity_id AS s1_id, pool.entity_id AS cand_id, round(near.score, 6) AS score FROM near JOIN s1 ON s1.country = near.country AND s1.business_name = v1 JOIN pool ON pool.country = near.country AND pool.business_name = v2")
+def shingle_jaccard_join(spark, sf_dir):
+    return blocking.jaccard_join(*both(spark, sf_dir), column="business_name").withColumn("score", F.round("score", 6))
+
+
+@query()
+def minhash_lsh_blocking(spark, sf_dir):
+    return blocking.minhash_blocking(*map(plain, both(spark, sf_dir)), column="nm")
+
+
+_TFIDF = """names AS (SELECT DISTINCT country, business_name AS v FROM rec),
+w AS (SELECT country, v, ' ' || x || ' ' AS p FROM (SELECT country, v, unnest(regexp_split_to_array(lower(v), '\\s+')) AS x FROM names) WHERE x <> ''),
+sized AS (SELECT country, v, p, n FROM w, (VALUES (3), (4), (5)) AS sizes(n) WHERE n = 3 OR length(p) >= n),
+grams AS (SELECT country, v, substr(p, i, n) AS gram FROM (SELECT country, v, p, n, unnest(range(1, greatest(length(p) - n + 1, 1) + 1)) AS i FROM sized)),
+tf AS (SELECT country, v, gram, count(*) AS tf FROM grams GROUP BY 1, 2, 3),
+idf AS (SELECT d.country, gram, ln((1 + n) / (1 + df)) + 1 AS idf FROM (SELECT country, gram, count(*) AS df FROM tf GROUP BY 1, 2) d JOIN (SELECT country, count(*) AS n FROM names GROUP BY 1) c ON c.country = d.country),
+raw AS (SELECT tf.country, v, tf.gram, (1 + ln(tf)) * idf AS x FROM tf JOIN idf ON idf.country = tf.country AND idf.gram = tf.gram),
+norm AS (SELECT country, v, sqrt(sum(x * x)) AS norm FROM raw GROUP BY 1, 2),
+weight AS (SELECT raw.country, raw.v, gram, x / norm AS w FROM raw JOIN norm ON norm.country = raw.country AND norm.v = raw.v),
+one AS (SELECT DISTINCT country, business_name AS v FROM s1), two AS (SELECT DISTINCT country, business_name AS v FROM pool),
+near AS (SELECT a.country, a.v AS v1, b.v AS v2, round(sum(a.w * b.w), 6) AS score FROM weight a JOIN one ON one.country = a.country AND one.v = a.v JOIN weight b ON b.country = a.country AND b.gram = a.gram JOIN two ON two.country = b.country AND two.v = b.v GROUP BY 1, 2, 3 HAVING round(sum(a.w * b.w), 6) >= 0.15),
+ranked AS (SELECT near.country, s1.entity_id AS s1_id, pool.entity_id AS cand_id, score, row_number() OVER (PARTITION BY near.country, s1.entity_id ORDER BY score DESC, pool.entity_id) AS k FROM near JOIN s1 ON s1.country = near.country AND s1.business_name = v1 JOIN pool ON pool.country = near.country AND pool.business_name = v2)"""
+
+
+@query(f"WITH {_SIDES}, {_TFIDF} SELECT country, s1_id, cand_id, score FROM ranked WHERE k <= 50")
+def tfidf_topk(spark, sf_dir):
+    return blocking.tfidf_blocking(*both(spark, sf_dir), column="business_name")
+
+
+_COSINE = "near AS (SELECT q.vec_id AS q_id, p.vec_id AS cand_id, round(list_cosine_similarity(q.embedding::DOUBLE[], p.embedding::DOUBLE[]), 6) AS score FROM embeddings q, embeddings p WHERE q.vec_id % 2 = 0 AND p.vec_id % 2 = 1), ranked AS (SELECT *, row_number() OVER (PARTITION BY q_id ORDER BY score DESC, cand_id) AS k FROM near)"
+
+
+def _vectors(spark, sf_dir):
+    v = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
+    return v.filter("id % 2 = 0"), v.filter("id % 2 = 1")
+
+
+@query(f"WITH {_COSINE} SELECT q_id, cand_id, score FROM ranked WHERE k <= 30")
+def topk_embedding_exact(spark, sf_dir):
+    return blocking.cosine_top_k(*_vectors(spark, sf_dir), over=None)
+
+
+@query(f"WITH {_COSINE} SELECT q_id, cand_id, score FROM ranked WHERE k <= 30 AND score > 0.35")
+def embedding_threshold_strict(spark, sf_dir):
+    return blocking.cosine_top_k(*_vectors(spark, sf_dir))
+
+
+_MERGED = f"{_TOK}, {_EXACT_SQL}, u AS (SELECT s1_id, cand_id FROM tok UNION SELECT s1_id, cand_id FROM ex), capped AS (SELECT s1_id, cand_id FROM (SELECT *, row_number() OVER (PARTITION BY s1_id ORDER BY cand_id) AS k FROM u) WHERE k <= {{cap}})"
+
+
+def _strategies(spark, sf_dir):
+    s1, pool = both(spark, sf_dir)
+    return s1, pool, {"token": blocking.token_blocking(s1, pool, "business_name", 0.05), "exact": blocking.exact_blocking(plain(s1), plain(pool), "nm")}
+
+
+@query(f"WITH {_MERGED.format(cap=5)} SELECT s1.entity_id AS s1_id, coalesce(string_agg(cand_id, ',' ORDER BY cand_id), '') AS ids FROM s1 LEFT JOIN capped c ON c.s1_id = s1.entity_id GROUP BY 1")
+def merge_cap_candidates(spark, sf_dir):
+    s1, pool, found = _strategies(spark, sf_dir)
+    merged = blocking.merge_candidates(list(found.values()), s1.select(F.col("entity_id").alias("s1_id")), most=5)
+    return merged.select("s1_id", F.array_join("ids", ",").alias("ids"))
+
+
+# --- evaluation ----------------------------------------------------------------------------------
+
+_ENTITY = """per AS (SELECT s1.entity_id AS s1_id, s1.country, coalesce(nt, 0) AS n_truth, coalesce(nf, 0) AS n_found, coalesce(nc, 0) AS n_candidates FROM s1
+LEFT JOIN (SELECT s1_id, count(*) AS nt FROM truth GROUP BY 1) a ON a.s1_id = s1.entity_id
+LEFT JOIN (SELECT t.s1_id, count(*) AS nf FROM truth t JOIN {c} c ON c.s1_id = t.s1_id AND c.cand_id = t.cand_id GROUP BY 1) b ON b.s1_id = s1.entity_id
+LEFT JOIN (SELECT s1_id, count(*) AS nc FROM {c} GROUP BY 1) d ON d.s1_id = s1.entity_id)"""
+_RECALL = """sum(n_truth)::BIGINT AS total_true_pairs, sum(n_found)::BIGINT AS total_found_pairs, sum(n_truth - n_found)::BIGINT AS total_missed_pairs, sum(n_candidates)::BIGINT AS total_candidates, count(*) AS n_s1_entities,
+round(avg(CASE WHEN n_truth = 0 THEN 1.0 ELSE n_found / n_truth END), 6) AS mean_entity_recall, count(*) FILTER (n_truth > 0) AS n_non_singleton,
+count(*) FILTER (n_truth = 0 OR n_found = n_truth) AS n_perfect_recall, count(*) FILTER (n_truth > 0 AND n_found = 0) AS n_zero_recall,
+round(CASE WHEN sum(n_truth) > 0 THEN sum(n_found) / sum(n_truth) ELSE 1.0 END, 6) AS overall_pair_recall, round(sum(n_candidates) / count(*), 6) AS avg_candidates_per_s1"""
+_RATES = ("mean_entity_recall", "overall_pair_recall", "avg_candidates_per_s1", "reduction_ratio")
+
+
+def _token_lists(s1: DataFrame, pool: DataFrame) -> DataFrame:
+    return blocking.merge_candidates([blocking.token_blocking(s1, pool, "business_name", 0.05)], s1.select(F.col("entity_id").alias("s1_id")))
+
+
+_CAPPED = f"{_TOK}, cands AS (SELECT s1_id, cand_id FROM (SELECT *, row_number() OVER (PARTITION BY s1_id ORDER BY cand_id) AS k FROM tok) WHERE k <= 100)"
+
+
+@query(f"WITH {_CAPPED}, {_ENTITY.format(c='cands')} SELECT {_RECALL}, round(1 - sum(n_candidates) / (count(*) * (SELECT greatest(count(DISTINCT cand_id), 1) FROM truth)), 6) AS reduction_ratio FROM per")
+def blocking_recall(spark, sf_dir):
+    s1, pool = both(spark, sf_dir)
+    stats = evaluate.blocking_recall(_token_lists(s1, pool), truth_lists(s1, pool))
+    return stats.withColumns({c: F.round(c, 6) for c in _RATES})
+
+
+@query(f"WITH {_CAPPED}, {_ENTITY.format(c='cands')} SELECT country, {_RECALL}, CASE WHEN CASE WHEN sum(n_truth) > 0 THEN sum(n_found) / sum(n_truth) ELSE 1.0 END >= 0.95 THEN 'MET' ELSE 'BELOW' END AS status FROM per GROUP BY GROUPING SETS ((country), ())")
+def recall_by_country_and_total(spark, sf_dir):
+    s1, pool = both(spark, sf_dir)
+    stats = evaluate.country_summary(_token_lists(s1, pool), truth_lists(s1, pool))
+    return stats.withColumns({c: F.round(c, 6) for c in _RATES if c in stats.columns})
+
+
+@query(f"WITH {_CAPPED}, m AS (SELECT t.s1_id, t.cand_id FROM truth t LEFT JOIN cands c ON c.s1_id = t.s1_id AND c.cand_id = t.cand_id WHERE c.cand_id IS NULL), n AS (SELECT s1_id, count(*) AS n_truth FROM truth GROUP BY 1) SELECT m.s1_id, any_value(n_truth) AS n_truth, any_value(n_truth) - count(*) AS n_found, count(*) AS n_missed, string_agg(m.cand_id, ',' ORDER BY m.cand_id) AS missed_ids FROM m JOIN n ON n.s1_id = m.s1_id GROUP BY 1 ORDER BY n_missed DESC, m.s1_id LIMIT 20")
+def missed_pairs_top20(spark, sf_dir):
+    s1, pool = both(spark, sf_dir)
+    return evaluate.missed_pairs(_token_lists(s1, pool), truth_lists(s1, pool))
+
+
+_CONTRIBUTION = "SELECT '{n}' AS strategy, round(CASE WHEN sum(nt) > 0 THEN sum(nf) / sum(nt) ELSE 1.0 END, 6) AS pair_recall, sum(nf)::BIGINT AS found_pairs, sum(nc)::BIGINT AS total_candidates, round(sum(nc) / count(*), 6) AS avg_cands_per_s1 FROM (SELECT s1.entity_id, (SELECT count(*) FROM truth t WHERE t.s1_id = s1.entity_id) AS nt, (SELECT count(*) FROM truth t JOIN {c} c ON c.s1_id = t.s1_id AND c.cand_id = t.cand_id WHERE t.s1_id = s1.entity_id) AS nf, (SELECT count(*) FROM {c} c WHERE c.s1_id = s1.entity_id) AS nc FROM s1)"
+
+
+@query(f"WITH {_MERGED.format(cap=100)} " + " UNION ALL ".join(_CONTRIBUTION.format(n=n, c=c) for n, c in (("token", "tok"), ("exact", "ex"), ("UNION (all)", "capped"))))
+def strategy_contributions(spark, sf_dir):
+    s1, pool, found = _strategies(spark, sf_dir)
+    return evaluate.strategy_contributions(found, truth_lists(s1, pool))
+
+
+_F05 = f"{_TRUTH}, {_EXACT_SQL}, {_ENTITY.format(c='ex')}, f AS (SELECT s1_id, CASE WHEN n_truth = 0 THEN CASE WHEN n_candidates = 0 THEN 1.0 ELSE 0.0 END WHEN n_candidates = 0 OR n_found = 0 THEN 0.0 ELSE 1.25 * (n_found / n_candidates) * (n_found / n_truth) / (0.25 * n_found / n_candidates + n_found / n_truth) END AS f05 FROM per)"
+
+
+def _exact_lists(spark, sf_dir):
+    s1, pool = both(spark, sf_dir)
+    pairs = blocking.exact_blocking(plain(s1), plain(pool), "nm")
+    return tables.lists_of(pairs, s1.select(F.col("entity_id").alias("s1_id"))), truth_lists(s1, pool)
+
+
+@query(f"WITH {_F05} SELECT s1_id, round(f05, 6) AS f05 FROM f")
+def f05_per_entity(spark, sf_dir):
+    return evaluate.f05_per_entity(*_exact_lists(spark, sf_dir)).withColumn("f05", F.round("f05", 6))
+
+
+@query(f"WITH {_F05} SELECT round(coalesce(avg(f05), 0.0), 6) AS macro_f05 FROM f")
+def macro_f05(spark, sf_dir):
+    return evaluate.macro_f05(*_exact_lists(spark, sf_dir)).select(F.round("macro_f05", 6).alias("macro_f05"))
+
+
+@query(f"WITH {_TRUTH}, {_EXACT_SQL} SELECT s1.entity_id AS s1_id, coalesce(string_agg(cand_id, ',' ORDER BY cand_id), '') AS matched_entity_ids FROM s1 LEFT JOIN ex ON ex.s1_id = s1.entity_id GROUP BY 1")
+def matching_results_export(spark, sf_dir):
+    lines = tables.id_list_lines(_exact_lists(spark, sf_dir)[0], schema.TRUTH_HEADER)
+    return lines.select(F.split("value", "\t")[0].alias("s1_id"), F.split("value", "\t")[1].alias("matched_entity_ids"))
+
+
+def _raw_lists(spark, sf_dir) -> DataFrame:
+    """List rows with errors of every kind, by doc_id."""
+    return records(spark, sf_dir).selectExpr("CASE WHEN doc_id % 50 = 3 THEN 'S1-0' ELSE 'S1-' || CAST(doc_id AS STRING) END AS s1_id", "CASE doc_id % 6 WHEN 0 THEN '' WHEN 1 THEN 'S2-1,S2-1' WHEN 2 THEN 'S1-7,S3-5' WHEN 3 THEN 'S2-4,' WHEN 4 THEN 'X9' ELSE 'S3-999999999' END AS raw")
+
+
+_RAW = "raw AS (SELECT CASE WHEN doc_id % 50 = 3 THEN 'S1-0' ELSE 'S1-' || CAST(doc_id AS VARCHAR) END AS s1_id, CASE doc_id % 6 WHEN 0 THEN '' WHEN 1 THEN 'S2-1,S2-1' WHEN 2 THEN 'S1-7,S3-5' WHEN 3 THEN 'S2-4,' WHEN 4 THEN 'X9' ELSE 'S3-999999999' END AS raw FROM rec), item AS (SELECT s1_id, unnest(CASE WHEN raw = '' THEN [] ELSE string_split(raw, ',') END) AS id FROM raw)"
+
+
+@query(
+    f"WITH {_REC}, {_RAW} SELECT DISTINCT * FROM (SELECT 'duplicate_row' AS \"check\", s1_id AS offender FROM raw GROUP BY s1_id HAVING count(*) > 1"
+    " UNION ALL SELECT 'repeated_id', s1_id FROM raw WHERE raw = 'S2-1,S2-1' UNION ALL SELECT 'self_match', id FROM item WHERE id LIKE 'S1-%' UNION ALL SELECT 'wrong_prefix', id FROM item WHERE NOT regexp_matches(id, '^S[123]-')"
+    " UNION ALL SELECT 'unknown_id', id FROM item WHERE regexp_matches(id, '^S[23]-') AND id NOT IN (SELECT entity_id FROM rec WHERE src <> 'S1')"
+    " UNION ALL SELECT 'missing_required', entity_id FROM rec WHERE src = 'S1' AND entity_id NOT IN (SELECT s1_id FROM raw) UNION ALL SELECT 'extra_id', s1_id FROM raw WHERE s1_id NOT IN (SELECT entity_id FROM rec WHERE src = 'S1'))"
+)
+def validate_findings(spark, sf_dir):
+    s1, pool = both(spark, sf_dir)
+    ids = lambda d: d.select(F.col("entity_id").alias("id"))
+    return validate.list_findings(_raw_lists(spark, sf_dir), ids(s1), ids(pool))
+
+
+@query(f"WITH {_TOK} SELECT t.s1_id, string_agg(t.cand_id, ',' ORDER BY t.cand_id) AS extra FROM truth t LEFT JOIN tok ON tok.s1_id = t.s1_id AND tok.cand_id = t.cand_id WHERE tok.cand_id IS NULL GROUP BY 1")
+def matched_subset_of_candidates(spark, sf_dir):
+    s1, pool = both(spark, sf_dir)
+    entities = s1.select(F.col("entity_id").alias("s1_id"))
+    cands = tables.lists_of(blocking.token_blocking(s1, pool, "business_name", 0.05), entities)
+    return validate.unlisted_matches(truth_lists(s1, pool), cands).select("s1_id", F.array_join("extra", ",").alias("extra"))
+
+
+_STRATA = f"{_TRUTH}, b AS (SELECT s1.country, s1.entity_id, count(t.cand_id) AS m FROM s1 LEFT JOIN truth t ON t.s1_id = s1.entity_id GROUP BY 1, 2), st AS (SELECT country || '__' || CASE WHEN m = 0 THEN '0' WHEN m = 1 THEN '1' WHEN m = 2 THEN '2' WHEN m <= 5 THEN '3-5' ELSE '6+' END AS stratum FROM b)"
+
+
+@query(f"WITH {_STRATA} SELECT stratum, count(*) AS n, round(count(*) / (SELECT count(*) FROM st), 4) AS share FROM st GROUP BY 1")
+def split_bracket_distribution(spark, sf_dir):
+    return split.proportions(split.with_stratum(truth_lists(*both(spark, sf_dir))))
+
+
+@query()
+def split_stratified(spark, sf_dir):
+    return split.stratified_split(truth_lists(*both(spark, sf_dir))).select("s1_id", "stratum", "is_val")
+
+
+@query()
+def split_quality(spark, sf_dir):
+    return split.split_quality(split.stratified_split(truth_lists(*both(spark, sf_dir))))
+
+
+# --- pairs ---------------------------------------------------------------------------------------
+
+
+def _pairs(spark, sf_dir) -> DataFrame:
+    """Candidate pairs with names, addresses and label."""
+    s1, pool = both(spark, sf_dir)
+    cands = blocking.token_blocking(s1, pool, "business_name", 0.05)
+    truth = truth_pairs(s1, pool).withColumn("label", F.lit(1))
+    left = s1.select(F.col("entity_id").alias("s1_id"), F.col("business_name").alias("name1"), F.col("business_address").alias("addr1"))
+    right = pool.select(F.col("entity_id").alias("cand_id"), F.col("business_name").alias("name2"), F.col("business_address").alias("addr2"))
+    return cands.join(truth, ["country", "s1_id", "cand_id"], "left").na.fill(0, ["label"]).join(left, "s1_id").join(right, "cand_id")
+
+
+_SIM = "CASE WHEN greatest(length({a}), length({b})) = 0 THEN 1.0 ELSE 1 - levenshtein({a}, {b}) / greatest(length({a}), length({b})) END"
+_LIST = "list_distinct(regexp_extract_all(lower({0}), '[a-z0-9]+'))"
+_ASCII = "regexp_replace({0}, '[^ -~]', '', 'g')"
+_PAIRS = f"{_TOK}, p AS (SELECT tok.s1_id, tok.cand_id, CASE WHEN t.cand_id IS NULL THEN 0 ELSE 1 END AS label, {_ASCII.format('s1.business_name')} AS name1, {_ASCII.format('pool.business_name')} AS name2, {_ASCII.format('s1.business_address')} AS addr1, {_ASCII.format('pool.business_address')} AS addr2 FROM tok JOIN s1 ON s1.entity_id = tok.s1_id JOIN pool ON pool.entity_id = tok.cand_id LEFT JOIN truth t ON t.s1_id = tok.s1_id AND t.cand_id = tok.cand_id)"
+_JAC = "CASE WHEN len(list_distinct(list_concat({a}, {b}))) = 0 THEN 0.0 ELSE len(list_intersect({a}, {b})) / len(list_distinct(list_concat({a}, {b}))) END"
+
+
+def _ascii(pairs: DataFrame) -> DataFrame:
+    """DuckDB's levenshtein counts bytes, so the checked query compares ASCII."""
+    return pairs.withColumns({c: F.regexp_replace(c, "[^ -~]", "") for c in ("name1", "name2", "addr1", "addr2")})
+
+
+@query(
+    f"WITH {_PAIRS} SELECT s1_id, cand_id, label, round({_SIM.format(a='name1', b='name2')}, 6) AS name_levenshtein, round({_JAC.format(a=_LIST.format('name1'), b=_LIST.format('name2'))}, 6) AS name_jaccard, round({_SIM.format(a='addr1', b='addr2')}, 6) AS addr_levenshtein, round({_JAC.format(a=_LIST.format('addr1'), b=_LIST.format('addr2'))}, 6) AS addr_jaccard,"
+    f" (name1 = name2)::INT::DOUBLE AS same_name, len(list_intersect({_LIST.format('name1')}, {_LIST.format('name2')}))::DOUBLE AS shared_tokens, (addr1 <> '' AND addr2 <> '')::INT::DOUBLE AS has_both_addr FROM p"
+)
+def feature_matrix(spark, sf_dir):
+    f = matching.features(_ascii(_pairs(spark, sf_dir)))
+    rounded = [F.round(c, 6).alias(c) for c in ("name_levenshtein", "name_jaccard", "addr_levenshtein", "addr_jaccard")]
+    return f.select("s1_id", "cand_id", "label", *rounded, "same_name", "shared_tokens", "has_both_addr")
+
+
+_SCORED = f"{_PAIRS}, scored AS (SELECT s1_id, cand_id, label, round({_JAC.format(a=_LIST.format('name1'), b=_LIST.format('name2'))}, 6) AS p FROM p)"
+
+
+def _scored(spark, sf_dir) -> DataFrame:
+    return matching.features(_ascii(_pairs(spark, sf_dir))).select("s1_id", "cand_id", "label", F.round("name_jaccard", 6).alias("p"))
+
+
+@query(
+    f"WITH {_SCORED}, th AS (SELECT unnest([0.1, 0.3, 0.5, 0.7, 0.9])::DOUBLE AS threshold), h AS (SELECT s1_id, threshold, count(*) AS n, sum(label) AS tp FROM scored JOIN th ON p >= threshold GROUP BY 1, 2), nt AS (SELECT s1.entity_id AS s1_id, count(t.cand_id) AS n_truth FROM s1 LEFT JOIN truth t ON t.s1_id = s1.entity_id GROUP BY 1),"
+    " j AS (SELECT th.threshold, n_truth, coalesce(n, 0) AS n, coalesce(tp, 0) AS tp FROM nt CROSS JOIN th LEFT JOIN h ON h.s1_id = nt.s1_id AND h.threshold = th.threshold)"
+    " SELECT threshold, round(avg(CASE WHEN n_truth = 0 THEN CASE WHEN n = 0 THEN 1.0 ELSE 0.0 END WHEN n = 0 OR tp = 0 THEN 0.0 ELSE 1.25 * (tp / n) * (tp / n_truth) / (0.25 * tp / n + tp / n_truth) END), 6) AS macro_f05 FROM j GROUP BY 1"
+)
+def threshold_sweep(spark, sf_dir):
+    return matching.threshold_sweep(_scored(spark, sf_dir), truth_lists(*both(spark, sf_dir)), [0.1, 0.3, 0.5, 0.7, 0.9])
+
+
+@query(f"WITH {_SCORED} SELECT least(floor(p * 10), 9)::BIGINT AS bin, count(*) AS n, round(avg(p), 6) AS mean_p, round(avg(label), 6) AS rate FROM scored GROUP BY 1")
+def reliability_bins(spark, sf_dir):
+    return matching.reliability(_scored(spark, sf_dir)).withColumns({"mean_p": F.round("mean_p", 6), "rate": F.round("rate", 6)})
+
+
+@query(f"WITH {_SCORED} SELECT round(avg((p - label) * (p - label)), 6) AS brier FROM scored")
+def brier(spark, sf_dir):
+    return matching.brier(_scored(spark, sf_dir)).select(F.round("brier", 6).alias("brier"))
+
+
+@query(f"WITH {_SCORED} SELECT s1.entity_id AS s1_id, max(p) AS best, coalesce(max(p) < 0.5, true) AS is_singleton FROM s1 LEFT JOIN scored s ON s.s1_id = s1.entity_id GROUP BY 1")
+def singleton_rule(spark, sf_dir):
+    s1, _ = both(spark, sf_dir)
+    return matching.singletons(_scored(spark, sf_dir), s1.select(F.col("entity_id").alias("s1_id")), 0.5)
+
+
+@query(f"WITH {_SCORED} SELECT s1_id, cand_id, label, p FROM (SELECT *, row_number() OVER (PARTITION BY cand_id ORDER BY p DESC, s1_id) AS k FROM scored) WHERE k = 1")
+def claim_conflict_resolution(spark, sf_dir):
+    return matching.resolve_claims(_scored(spark, sf_dir))
+
+
+@query(f"WITH {_SCORED}, o AS (SELECT coalesce(a.s1_id, t.s1_id) AS s1_id, coalesce(a.cand_id, t.cand_id) AS cand_id, CASE WHEN a.s1_id IS NULL THEN 'FN' WHEN t.s1_id IS NULL THEN 'FP' ELSE 'TP' END AS outcome FROM (SELECT * FROM scored WHERE p >= 0.5) a FULL JOIN truth t ON t.s1_id = a.s1_id AND t.cand_id = a.cand_id) SELECT outcome, CASE outcome WHEN 'FN' THEN CASE WHEN k.s1_id IS NOT NULL THEN 'scored_low' ELSE 'not_blocked' END WHEN 'FP' THEN 'scored_high' ELSE 'match' END AS cause, count(*) AS n FROM o LEFT JOIN tok k ON k.s1_id = o.s1_id AND k.cand_id = o.cand_id GROUP BY 1, 2")
+def fp_fn_breakdown(spark, sf_dir):
+    s1, pool = both(spark, sf_dir)
+    scored = _scored(spark, sf_dir)
+    return matching.error_causes(matching.confusion(scored.filter("p >= 0.5"), truth_pairs(s1, pool)), scored)
+
+
+@query(f"WITH {_SCORED}, r AS (SELECT *, sum(label) OVER (PARTITION BY s1_id) AS pos, row_number() OVER (PARTITION BY s1_id, label ORDER BY p DESC, cand_id) AS k FROM scored) SELECT s1_id, cand_id, label, p AS score FROM r WHERE label = 1 OR k <= greatest(pos, 1) * 4")
+def hard_negative_sample(spark, sf_dir):
+    return matching.hard_negatives(_scored(spark, sf_dir).withColumnRenamed("p", "score"))
+
+
+@query()
+def gbdt_scores(spark, sf_dir):
+    pairs = matching.features(_pairs(spark, sf_dir))
+    model = matching.fit_gbdt(matching.hard_negatives(pairs.withColumn("score", F.col("name_levenshtein"))), matching.FEATURES)
+    return matching.predict(model, pairs).select("s1_id", "cand_id", "label", F.round("p", 6).alias("p"))
+
+
+@query()
+def isotonic_scores(spark, sf_dir):
+    return matching.calibrate_isotonic(_scored(spark, sf_dir))
+
+
+@query()
+def platt_scores(spark, sf_dir):
+    return matching.calibrate_platt(_scored(spark, sf_dir))
+
+
+@query()
+def address_fields(spark, sf_dir):
+    return records(spark, sf_dir).select("entity_id", matching.address_parts(F.col("business_address")).alias("a")).select("entity_id", "a.*")
+
+
+@query()
+def ablation_rules(spark, sf_dir):
+    r = records(spark, sf_dir)
+
+    def distinct(toggles: dict) -> float:
+        return float(normalize.normalize_names(r, toggles=toggles).select("name_no_accent").distinct().count())
+
+    return spark.createDataFrame(matching.ablation(distinct, ("lowercase", "strip_urls", "split_dba")))
