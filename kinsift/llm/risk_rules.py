@@ -21,10 +21,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kinsift.llm.scratch import Scratch
 from kinsift.llm.textkit import SEPARATOR, Words, slices, span_hashes, spans, windows
 
 ALPHA, DELTA = 0.05, 0.05
@@ -126,12 +127,13 @@ def certified(good: int, rejected: list[int], delta: float, alpha: float) -> int
     return len(rejected)
 
 
-def choose_cutoffs(labelled: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
+def choose_cutoffs(labelled: DataFrame, scratch: Scratch, alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
     """stratum and a cutoff (null: none) per rule, from measured rows with stratum and quality.
 
     One aggregation counts, for each stratum, the good rows and those of them at or above each cutoff.
     """
     counts = labelled.filter("quality = 1 and not base_failed").groupBy("stratum").agg(F.count("*").alias("good"), *[F.count(F.when(F.col(r) >= c, 1)).alias(f"{r}_{i}") for r in RATIOS for i, c in enumerate(CUTOFFS[r])])
+    counts = scratch.stage(counts, "counts")
     counts = counts.crossJoin(F.broadcast(counts.agg(F.count("*").alias("strata"))))  # a single row
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -148,24 +150,37 @@ def choose_cutoffs(labelled: DataFrame, alpha: float = ALPHA, delta: float = DEL
     return counts.mapInArrow(run, "stratum string, " + ", ".join(f"{r}_cutoff double" for r in RATIOS))
 
 
-def verdicts(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """docs with counts, ratios, base_failed and kept; cutoffs come from the labelled rows of docs."""
-    from kinsift.llm.scratch import Scratch
+def stratum() -> Column:
+    return F.coalesce(F.col("lang"), F.lit("")).alias("stratum")
+
 
-    scratch = Scratch(docs.sparkSession)
-    stratum = F.coalesce(F.col("lang"), F.lit("")).alias("stratum")
+def judged(docs: DataFrame, labels: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """The measures of docs (doc_id, stratum, counts, ratios, base_failed), and the cutoffs of their labelled rows.
+
+    Texts are measured once; only measures are joined to labels.
+    """
+    measures = scratch.stage(measured(docs.select("doc_id", "text", stratum())).drop("text"), "measures")
     marks = labels.filter("quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    labelled = measured(docs.select("doc_id", "text", stratum).join(marks, "doc_id").drop("doc_id")).drop("text")
-    cutoffs = scratch.stage(choose_cutoffs(labelled), "cutoffs")
-    rows = measured(docs).withColumn("stratum", stratum).join(cutoffs, "stratum", "left")
+    return measures, scratch.stage(choose_cutoffs(measures.join(marks, "doc_id"), scratch), "cutoffs")
+
+
+def decide(rows: DataFrame, cutoffs: DataFrame) -> DataFrame:
+    """Measured rows (with stratum) with kept, in place of the stratum."""
     rejected = F.lit(False)
     for r in RATIOS:
         rejected = rejected | F.coalesce(F.col(r) >= F.col(f"{r}_cutoff"), F.lit(False))
-    return rows.withColumn("kept", ~F.col("base_failed") & ~rejected).drop("stratum", *(f"{r}_cutoff" for r in RATIOS))
+    joined = rows.join(cutoffs, "stratum", "left")
+    return joined.withColumn("kept", ~F.col("base_failed") & ~rejected).drop("stratum", *(f"{r}_cutoff" for r in RATIOS))
+
+
+def verdicts(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """docs with counts, ratios, base_failed and kept; cutoffs come from the labelled rows of docs."""
+    _, cutoffs = judged(docs, labels, Scratch(docs.sparkSession))
+    return decide(measured(docs.drop("kept", "stratum")).withColumn("stratum", stratum()), cutoffs)
 
 
 def op8_risk_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdicts of all documents."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
-    kept = verdicts(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    kept = decide(*judged(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), Scratch(spark)))
     return kept.select("doc_id", *COUNTS, "base_failed", "kept")
