@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 
 SPACE = "▁"
 UNIT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
-CACHE = 400_000
+CACHE = 800_000
 
 
 class PieceCodec:
@@ -59,7 +59,7 @@ class PieceCodec:
             if self.parts(i) is not False:
                 self.automaton.add_word(text, (i, len(text)))
         self.automaton.make_automaton()
-        self.cache: dict[str, tuple[int, str, str, bytes]] = {}
+        self.cache = Cache(self)
 
     def merge(self, text: str) -> list[int | str]:
         """The merges done one by one: the best score first, then the leftmost. Characters without a piece stay as they are."""
@@ -150,37 +150,23 @@ class PieceCodec:
         return out[::-1]
 
     def ids(self, pieces: list[int | str]) -> list[int]:
-        out: list[int] = []
-        for x in pieces:
-            if isinstance(x, str):
-                out.extend(self.byte[b] for b in x.encode())
-            else:
-                out.append(x)
-        return out
+        if not any(isinstance(x, str) for x in pieces):
+            return pieces
+        return [i for x in pieces for i in ([self.byte[b] for b in x.encode()] if isinstance(x, str) else [x])]
 
-    def units(self, text: str) -> list[tuple[int, str, str, bytes]]:
-        """For each unit: how many ids, the ids in decimal, the decoded text, the ids as uint32."""
+    def units(self, text: str) -> list[tuple[str, str]]:
+        """For each unit the ids in decimal, and the text that they decode to."""
         if not text:
             return []
-        found = UNIT.findall(SPACE + text.replace(" ", SPACE))
-        cache = self.cache
-        out = list(map(cache.get, found))
-        if None in out:
-            for k, x in enumerate(out):
-                if x is None:
-                    if found[k] not in cache:
-                        if len(cache) >= CACHE:
-                            cache.clear()
-                        ids = self.ids(self.unit(found[k]))
-                        cache[found[k]] = len(ids), ",".join(map(str, ids)), self.surface(ids), np.array(ids, "<u4").tobytes()
-                    out[k] = cache[found[k]]
-        return out
+        return [*map(self.cache.__getitem__, UNIT.findall(SPACE + text.replace(" ", SPACE)))]
 
     def encode(self, text: str | None) -> list[int]:
-        return np.frombuffer(b"".join(u[3] for u in self.units(text or "")), "<u4").tolist()
+        return [int(i) for u in self.units(text or "") for i in u[0].split(",")]
 
     def surface(self, ids: list[int]) -> str:
         """The text of ids, with the space that encoding puts before it."""
+        if self.special.isdisjoint(ids):
+            return "".join([self.piece[i] for i in ids]).replace(SPACE, " ")
         out: list[str] = []
         run = bytearray()
         for i in ids:
@@ -198,6 +184,21 @@ class PieceCodec:
         return self.surface(ids).removeprefix(" ")
 
 
+class Cache(dict):
+    """unit -> its ids in decimal and their text; emptied when it has CACHE units."""
+
+    def __init__(self, owner: PieceCodec):
+        super().__init__()
+        self.owner = owner
+
+    def __missing__(self, unit: str) -> tuple[str, str]:
+        if len(self) >= CACHE:
+            self.clear()
+        ids = self.owner.ids(self.owner.unit(unit))
+        self[unit] = out = ",".join(map(str, ids)), self.owner.surface(ids)
+        return out
+
+
 _codecs: dict[str, PieceCodec] = {}
 
 
@@ -215,8 +216,8 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
         c = codec(model)
         for batch in batches:
             units = [c.units(t or "") for t in batch.column(batch.schema.get_field_index("text")).to_pylist()]
-            ids = pa.array([np.frombuffer(b"".join(x[3] for x in u), "<u4").astype(np.int32) for u in units], pa.list_(pa.int32()))
-            decoded = pa.array(["".join(x[2] for x in u).removeprefix(" ") for u in units], pa.string())
+            ids = pa.array([np.array(",".join([x[0] for x in u]).split(","), np.int32) if u else np.zeros(0, np.int32) for u in units], pa.list_(pa.int32()))
+            decoded = pa.array(["".join([x[1] for x in u]).removeprefix(" ") for u in units], pa.string())
             yield pa.RecordBatch.from_arrays([*batch.columns, ids, decoded], [*batch.schema.names, "piece_ids", "decoded"])
 
     docs = docs.drop("piece_ids", "decoded")
@@ -233,9 +234,10 @@ def digest(docs: DataFrame, model: str) -> DataFrame:
             counts, of_ids, of_text = [], [], []
             for text in batch.column("text"):
                 units = c.units(text.as_py() or "")
-                counts.append(sum([u[0] for u in units]))
-                of_ids.append(hashlib.sha256(",".join([u[1] for u in units]).encode()).hexdigest())
-                of_text.append(hashlib.sha256("".join([u[2] for u in units]).removeprefix(" ").encode()).hexdigest())
+                ids = ",".join([u[0] for u in units])
+                counts.append(ids.count(",") + 1 if ids else 0)
+                of_ids.append(hashlib.sha256(ids.encode()).hexdigest())
+                of_text.append(hashlib.sha256("".join([u[1] for u in units]).removeprefix(" ").encode()).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_text, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
