@@ -20,6 +20,7 @@ from __future__ import annotations
 import base64
 import json
 import os
+import re
 import struct
 import uuid
 import zlib
@@ -34,6 +35,8 @@ from pyspark.sql import functions as F
 MAGIC = b"KSTOK1"
 STEP = 64
 CACHE = 800_000
+#: A space with white space or nothing after it, or the character that cut() uses.
+LOOSE = re.compile(r" (?:\s|\Z)|\x00")
 
 
 class EliasFano:
@@ -111,15 +114,18 @@ class UnitEncoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         cache = self.cache
         split = [cut(t) for t in texts]
-        new = list({u for units in split for u in units if u not in cache})
+        new = list(set().union(*split).difference(cache))
         if len(cache) + len(new) > CACHE:
             cache.clear()
-            new = list({u for units in split for u in units})
-        plain = [u for u in new if (w := u.split()) and w[0] == u.removeprefix(" ")]
-        if len(plain) > 1 and self.line:  # one call for all: a line each, and a lone line break is a token of its own
-            ids = np.array(self._encode(["\n".join(plain)])[0], self.kind)
-            for u, x in zip(plain, np.split(ids, np.flatnonzero(ids == self.line)), strict=True):
-                cache[u] = (x[1:] if len(x) and x[0] == self.line else x).tobytes()
+            new = list(set().union(*split))
+        lone = [u for u in new if (w := u.split()) and w[0] == u.removeprefix(" ")] if self.line else []
+        if len(lone) > 1:  # one call for all: a line each, and a lone line break is a token of its own
+            ids = np.array(self._encode(["\n".join(lone)])[0], self.kind)
+            ends = (np.flatnonzero(ids == self.line) * self.kind.itemsize).tolist()
+            raw, size, at = ids.tobytes(), self.kind.itemsize, 0
+            for u, end in zip(lone, [*ends, len(raw)], strict=True):
+                cache[u] = raw[at:end]
+                at = end + size
             new = [u for u in new if u not in cache]
         for u, x in zip(new, self._encode(new), strict=True):
             cache[u] = np.array(x, self.kind).tobytes()
@@ -128,7 +134,10 @@ class UnitEncoder:
 
 def cut(text: str) -> list[str]:
     """Units: a new one begins at each space that has a character other than white space after it."""
-    out: list[str] = []
+    if not LOOSE.search(text):  # then that is each space
+        out = text.replace(" ", "\0 ").split("\0")
+        return out if out[0] else out[1:]
+    out = []
     for k, part in enumerate(text.split(" ")):
         if k == 0:
             if part:
