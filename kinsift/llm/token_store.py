@@ -34,9 +34,10 @@ from pyspark.sql import functions as F
 
 MAGIC = b"KSTOK1"
 STEP = 64
-CACHE = 800_000
-#: A space with white space or nothing after it, or the character that cut() uses.
-LOOSE = re.compile(r" (?:\s|\Z)|\x00")
+CACHE = 700_000
+#: A space or line break with white space or nothing after it, or the character that cut() uses.
+LOOSE = re.compile(r"[ \n](?:\s|\Z)|\x00")
+MARKS = ".,;:!?"
 
 
 class EliasFano:
@@ -93,7 +94,8 @@ class UnitEncoder:
     """Ids by the tokenizers library, unit by unit.
 
     Byte-level BPE never merges across its pre-tokens, and a space before another character always begins
-    one; so a text's ids are those of the units between such places, which are kept in a bounded cache.
+    one; so a text's ids are those of the units between such places, which are kept in a bounded cache of two
+    generations.
     """
 
     def __init__(self, path: str):
@@ -104,7 +106,8 @@ class UnitEncoder:
         self.tokenizer.encode_special_tokens = True
         self.size = self.tokenizer.get_vocab_size()
         self.kind = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
-        self.cache: dict[str, bytes] = {}
+        self.cache: dict[str, bytes] = {"": b""}
+        self.old: dict[str, bytes] = {}  # what the cache held when it was last full
         line = self._encode(["\n"])[0]
         self.line = line[0] if len(line) == 1 and self._encode(["a\n b\nc"])[0].count(line[0]) == 2 else None
 
@@ -112,13 +115,27 @@ class UnitEncoder:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cache = self.cache
         split = [cut(t) for t in texts]
-        new = list(set().union(*split).difference(cache))
-        if len(cache) + len(new) > CACHE:
-            cache.clear()
-            new = list(set().union(*split))
-        lone = [u for u in new if (w := u.split()) and w[0] == u.removeprefix(" ")] if self.line else []
+        every = set().union(*split)
+        new = every.difference(self.cache)
+        if len(self.cache) + len(new) > CACHE:
+            self.old, self.cache, new = self.cache, {"": b""}, every
+        cache, old = self.cache, self.old
+        known = new.intersection(old)
+        for u in known:
+            cache[u] = old[u]
+        new -= known
+        ended = [(u, c) for u in new if (c := u.rstrip(MARKS)) != u and c.removeprefix(" ").isalpha()]
+        parts = {x for u, c in ended for x in (c, u[len(c) :])}
+        self._learn((new.difference([u for u, _ in ended]) | parts).difference(cache))
+        for u, c in ended:  # letters and the marks after them are pre-tokens of their own
+            cache[u] = cache[c] + cache[u[len(c) :]]
+        return [b"".join([cache[u] for u in units]) for units in split]
+
+    def _learn(self, units: set[str]) -> None:
+        """Puts units in the cache."""
+        cache = self.cache
+        lone = [u for u in units if (w := u.split()) and w[0] == u.removeprefix(" ")] if self.line else []
         if len(lone) > 1:  # one call for all: a line each, and a lone line break is a token of its own
             ids = np.array(self._encode(["\n".join(lone)])[0], self.kind)
             ends = (np.flatnonzero(ids == self.line) * self.kind.itemsize).tolist()
@@ -126,17 +143,15 @@ class UnitEncoder:
             for u, end in zip(lone, [*ends, len(raw)], strict=True):
                 cache[u] = raw[at:end]
                 at = end + size
-            new = [u for u in new if u not in cache]
-        for u, x in zip(new, self._encode(new), strict=True):
+        rest = [u for u in units if u not in cache]
+        for u, x in zip(rest, self._encode(rest), strict=True):
             cache[u] = np.array(x, self.kind).tobytes()
-        return [b"".join([cache[u] for u in units]) for units in split]
 
 
 def cut(text: str) -> list[str]:
-    """Units: a new one begins at each space that has a character other than white space after it."""
-    if not LOOSE.search(text):  # then that is each space
-        out = text.replace(" ", "\0 ").split("\0")
-        return out if out[0] else out[1:]
+    """Units: a new one begins at each space that has a character other than white space after it, and lone line breaks are units."""
+    if not LOOSE.search(text):  # then that is each space and line break
+        return text.replace("\n", "\0\n\0").replace(" ", "\0 ").split("\0")
     out = []
     for k, part in enumerate(text.split(" ")):
         if k == 0:
