@@ -188,7 +188,7 @@ _rule("lowercase", "lower({c})", lower=False)
 _rule("strip_ms_prefix", "regexp_replace({c}, '^m/s\\s+', '')")
 _rule("strip_hashtag_prefix", "regexp_replace({c}, '^[#<]+\\s*', '')")
 _rule("strip_angle_brackets", "regexp_replace({c}, '<<|>>', '', 'g')")
-_rule("strip_email", "trim({c})")
+_rule("strip_email", "trim(regexp_replace({c}, '(?i)\\b[a-z0-9._%+\\-]+@[a-z0-9.\\-]+\\.[a-z]{{2,}}\\b', '', 'g'))")
 _rule("strip_pipe_fragments", "regexp_replace({c}, '\\s*\\|.*$', '')")
 _rule("strip_appended_digits", "regexp_replace({c}, '\\s*[-–]\\s*\\d{{6,}}\\s*$|#\\d{{5,}}\\s*$', '')")
 _rule("strip_parenthetical_suffix", "regexp_replace({c}, '\\s*\\(llc\\)\\s*', ' llc', 'g')")
@@ -208,7 +208,11 @@ def rule_collapse_duplicate_words(spark, sf_dir):
     return records(spark, sf_dir).select("entity_id", rules.collapse_duplicate_words(F.lower("business_name")).alias("value"))
 
 
-@query(f"WITH {_REC} SELECT entity_id, CASE WHEN business_name LIKE '% | www.x.com' THEN trim(replace(lower(business_name), ' | www.x.com', '')) ELSE trim(lower(business_name)) END AS value FROM rec")
+_WHOLE_URL = r"^(?:https?://)?(?:www\.)?([a-z0-9][a-z0-9\-]*)\.(?:com|net|org|co\.in|in|io|biz)\s*$"
+_URL_PART = r"\s*\|?\s*(?:https?://\S+|www\.\S+|\S+\.com\b|\S+\.net\b|\S+\.org\b|\S+\.co\.in\b|\S+\.in\b)"
+
+
+@query(f"WITH {_REC}, n AS (SELECT entity_id, lower(business_name) AS v FROM rec) SELECT entity_id, CASE WHEN regexp_matches(trim(v), '{_WHOLE_URL}') THEN regexp_extract(trim(v), '{_WHOLE_URL}', 1) ELSE trim(regexp_replace(v, '{_URL_PART}', '', 'g')) END AS value FROM n")
 def rule_strip_urls(spark, sf_dir):
     return records(spark, sf_dir).select("entity_id", rules.strip_urls(F.lower("business_name")).alias("value"))
 
