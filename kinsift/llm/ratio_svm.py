@@ -104,7 +104,7 @@ def platt(margins: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
 def fit(rows: list[np.ndarray], labels: np.ndarray) -> Model:
     if not len(rows) or len(set(labels.tolist())) < 2:
         return Model(np.zeros(1 << BITS), np.zeros(1 << BITS), 0.0, 1.0, 0.0)
-    fold = np.arange(len(rows)) % 2
+    fold = np.random.Generator(np.random.PCG64(3)).permutation(len(rows)) % 2
     margins = np.zeros(len(rows))
     for k in (0, 1):
         own = [r for r, f in zip(rows, fold, strict=True) if f != k]
