@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 
 SPACE = "▁"
 UNIT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
-CACHE = 800_000
+CACHE = 250_000
 
 
 class PieceCodec:
@@ -185,7 +185,7 @@ class PieceCodec:
 
 
 class Cache(dict):
-    """unit -> its ids in decimal and their text; emptied when it has CACHE units."""
+    """unit -> its ids in decimal and their text; emptied when it holds CACHE units."""
 
     def __init__(self, owner: PieceCodec):
         super().__init__()
