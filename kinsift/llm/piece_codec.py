@@ -8,7 +8,8 @@ the ids are read backwards, in time linear in the text.  Pieces of spaces share
 the rule's premise of distinct priorities; units with two or more leading spaces are merged plainly.
 
 No piece of the model has a space after another character, so a text is cut into units of spaces and the
-characters after them, and units are kept in a bounded cache.  Null and empty texts have no ids.
+characters after them, and units are kept in a bounded cache: the key of a unit with one space before it
+is the word alone, and its decoded text is kept only where it differs.  Null and empty texts have no ids.
 """
 
 from __future__ import annotations
@@ -26,8 +27,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SPACE = "▁"
-UNIT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
-CACHE = 250_000
+UNIT = re.compile(" *[^ ]+| +")
+CACHE, PAIRS = 400_000, 1_000_000
 
 
 class PieceCodec:
@@ -122,7 +123,7 @@ class PieceCodec:
                 bound, b = rank[b] + 0.5, self.parts(b)[0]
             else:
                 break
-        if len(self.pairs) > 2_000_000:
+        if len(self.pairs) > PAIRS:
             self.pairs.clear()
         self.pairs[left << 20 | right] = fine
         return fine
@@ -154,14 +155,24 @@ class PieceCodec:
             return pieces
         return [i for x in pieces for i in ([self.byte[b] for b in x.encode()] if isinstance(x, str) else [x])]
 
-    def units(self, text: str) -> list[tuple[str, str]]:
-        """For each unit the ids in decimal, and the text that they decode to."""
+    def both(self, text: str) -> tuple[str, str]:
+        """The ids of a text in decimal, joined by commas, and what they decode to."""
         if not text:
-            return []
-        return [*map(self.cache.__getitem__, UNIT.findall(SPACE + text.replace(" ", SPACE)))]
+            return "", ""
+        cache, odd = self.cache, self.cache.odd
+        if len(cache) > CACHE:
+            cache.clear()
+            odd.clear()
+        text = " " + text.replace(SPACE, " ")
+        plain = "  " not in text
+        keys = text[1:].split(" ") if plain else [u if u.startswith("  ") else u[1:] for u in UNIT.findall(text)]
+        ids = ",".join(map(cache.__getitem__, keys))
+        if plain and odd.keys().isdisjoint(keys):
+            return ids, " ".join(keys)
+        return ids, "".join([odd[k] if k in odd else spaced(k) for k in keys]).removeprefix(" ")
 
     def encode(self, text: str | None) -> list[int]:
-        return [int(i) for u in self.units(text or "") for i in u[0].split(",")]
+        return [int(i) for i in self.both(text or "")[0].split(",") if i]
 
     def surface(self, ids: list[int]) -> str:
         """The text of ids, with the space that encoding puts before it."""
@@ -184,18 +195,25 @@ class PieceCodec:
         return self.surface(ids).removeprefix(" ")
 
 
+def spaced(key: str) -> str:
+    """The unit of a key."""
+    return key if key.startswith("  ") else " " + key
+
+
 class Cache(dict):
-    """unit -> its ids in decimal and their text; emptied when it holds CACHE units."""
+    """key of a unit -> its ids in decimal; odd has the decoded text of those that decode to something else."""
 
     def __init__(self, owner: PieceCodec):
         super().__init__()
         self.owner = owner
-
-    def __missing__(self, unit: str) -> tuple[str, str]:
-        if len(self) >= CACHE:
-            self.clear()
-        ids = self.owner.ids(self.owner.unit(unit))
-        self[unit] = out = ",".join(map(str, ids)), self.owner.surface(ids)
+        self.odd: dict[str, str] = {}
+
+    def __missing__(self, key: str) -> str:
+        unit = spaced(key)
+        ids = self.owner.ids(self.owner.unit(unit.replace(" ", SPACE)))
+        if (surface := self.owner.surface(ids)) != unit:
+            self.odd[key] = surface
+        self[key] = out = ",".join(map(str, ids))
         return out
 
 
@@ -215,9 +233,9 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(model)
         for batch in batches:
-            units = [c.units(t or "") for t in batch.column(batch.schema.get_field_index("text")).to_pylist()]
-            ids = pa.array([np.array(",".join([x[0] for x in u]).split(","), np.int32) if u else np.zeros(0, np.int32) for u in units], pa.list_(pa.int32()))
-            decoded = pa.array(["".join([x[1] for x in u]).removeprefix(" ") for u in units], pa.string())
+            both = [c.both(t.as_py() or "") for t in batch.column(batch.schema.get_field_index("text"))]
+            ids = pa.array([np.fromstring(i, np.int32, sep=",") if i else np.zeros(0, np.int32) for i, _ in both], pa.list_(pa.int32()))
+            decoded = pa.array([t for _, t in both], pa.string())
             yield pa.RecordBatch.from_arrays([*batch.columns, ids, decoded], [*batch.schema.names, "piece_ids", "decoded"])
 
     docs = docs.drop("piece_ids", "decoded")
@@ -233,11 +251,10 @@ def digest(docs: DataFrame, model: str) -> DataFrame:
         for batch in batches:
             counts, of_ids, of_text = [], [], []
             for text in batch.column("text"):
-                units = c.units(text.as_py() or "")
-                ids = ",".join([u[0] for u in units])
+                ids, decoded = c.both(text.as_py() or "")
                 counts.append(ids.count(",") + 1 if ids else 0)
                 of_ids.append(hashlib.sha256(ids.encode()).hexdigest())
-                of_text.append(hashlib.sha256("".join([u[1] for u in units]).removeprefix(" ").encode()).hexdigest())
+                of_text.append(hashlib.sha256(decoded.encode()).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_text, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
