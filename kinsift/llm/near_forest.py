@@ -73,7 +73,7 @@ def sketch(docs: DataFrame, k: int) -> DataFrame:
 
 
 def grouped(batches: Iterator[pa.RecordBatch], column: int = 0) -> Iterator[pa.Table]:
-    """Runs of rows with one key, of batches sorted by it, in pieces of at most 2 * DENSE rows."""
+    """The rows of one key after another, of batches sorted by it; a key's rows are held together."""
     held: list[pa.RecordBatch] = []
     key, size = None, 0
     for batch in batches:
@@ -93,10 +93,7 @@ def grouped(batches: Iterator[pa.RecordBatch], column: int = 0) -> Iterator[pa.T
 
 
 def chains(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[tuple[list[int], list[int]]]:
-    """Within each region, links of members whose signatures agree enough, as a chain from a leader each.
-
-    A region that comes in several pieces is taken piece by piece with the leaders so far.
-    """
+    """Within each region, links of members whose signatures agree enough, as a chain from a leader each."""
     for table in grouped(batches):
         ids = table.column(1).to_numpy()
         rows = np.frombuffer(b"".join(table.column(2).to_pylist()), ">u4").reshape(len(ids), -1)
