@@ -26,6 +26,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kinsift.llm.textkit import slices
+
 SPACE = "▁"
 UNIT = re.compile(" *[^ ]+| +")
 CACHE, PAIRS = 400_000, 1_000_000
@@ -232,9 +234,12 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(model)
-        for batch in batches:
+        for batch in slices(batches):
             both = [c.both(t.as_py() or "") for t in batch.column(batch.schema.get_field_index("text"))]
-            ids = pa.array([np.fromstring(i, np.int32, sep=",") if i else np.zeros(0, np.int32) for i, _ in both], pa.list_(pa.int32()))
+            counts = [i.count(",") + 1 if i else 0 for i, _ in both]
+            values = ",".join([i for i, _ in both if i])
+            values = np.fromstring(values, np.int32, sep=",") if values else np.zeros(0, np.int32)
+            ids = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), pa.array(values))
             decoded = pa.array([t for _, t in both], pa.string())
             yield pa.RecordBatch.from_arrays([*batch.columns, ids, decoded], [*batch.schema.names, "piece_ids", "decoded"])
 
@@ -248,7 +253,7 @@ def digest(docs: DataFrame, model: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(model)
-        for batch in batches:
+        for batch in slices(batches):
             counts, of_ids, of_text = [], [], []
             for text in batch.column("text"):
                 ids, decoded = c.both(text.as_py() or "")
