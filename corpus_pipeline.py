@@ -2,7 +2,8 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a table; all but the last return the columns of
 documents.  ``run`` writes each stage's result as Parquet in the shared folder and reads it again as the
-next one's docs.
+next one's docs.  Columns that an operator doesn't need travel in a struct, so that none of them is taken
+for, or replaced by, one of the operator's own of the same name.
 """
 
 from __future__ import annotations
@@ -14,16 +15,29 @@ from kinsift.llm import edit_screen, near_forest, piece_codec, risk_rules, templ
 from kinsift.llm.scratch import Scratch
 
 
+def packed(docs: DataFrame, *needed: str) -> DataFrame:
+    """The needed columns of docs, and all others in a struct."""
+    rest = [F.col(c) for c in docs.columns if c not in needed]
+    return docs.select(*(c for c in docs.columns if c in needed), *([F.struct(*rest).alias("_rest")] if rest else []))
+
+
+def unpacked(out: DataFrame, docs: DataFrame, *needed: str) -> DataFrame:
+    """The columns of docs again, in their order."""
+    return out.select(*(F.col(c) if c in needed else F.col("_rest").getField(c).alias(c) for c in docs.columns))
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the risk-controlled rules keep."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return risk_rules.verdicts(docs, labels).filter("kept").select(*docs.columns)
+    needed = "doc_id", "text", "lang"
+    return unpacked(risk_rules.verdicts(packed(docs, *needed), labels).filter("kept"), docs, *needed)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that repeat an earlier one's templates; what loses all its text goes."""
-    out = template_lines.strip_templates(docs)
-    return out.filter("dropped_lines = 0 or trim(text) <> ''").select(*docs.columns)
+    needed = "doc_id", "text", "n_chars"
+    out = template_lines.strip_templates(packed(docs, *needed))
+    return unpacked(out.filter("dropped_lines = 0 or trim(text) <> ''"), docs, *needed)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,7 +48,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark item."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return edit_screen.screen(docs, benchmark).filter(~F.col("contaminated")).select(*docs.columns)
+    needed = "doc_id", "text"
+    return unpacked(edit_screen.screen(packed(docs, *needed), benchmark).filter(~F.col("contaminated")), docs, *needed)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

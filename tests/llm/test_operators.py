@@ -214,3 +214,17 @@ def test_pipeline_keeps_columns(spark):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         docs_next = stage(spark, docs, "/root/testdata/sf0.001")
         assert docs_next.columns == docs.columns
+
+
+def test_pipeline_leaves_other_columns_alone(spark):
+    import corpus_pipeline
+
+    whole = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    own = ["kept", "contaminated", "item_ids", "dropped_lines", "n_words", "stratum", "template", "region", "_dropped", "_id", "_ids", "_gone"]
+    docs = whole.selectExpr("*", *(f"concat('{c}', doc_id) as {c}" for c in own))
+    docs = docs.unionByName(docs.limit(1).selectExpr(*(f"cast(null as {t}) as {c}" for c, t in docs.dtypes)))
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = Scratch(spark).stage(stage(spark, docs, "/root/testdata/sf0.001"), "next")
+        rows = docs.collect()
+        assert len(rows) > 50 and all(r[c] == f"{c}{r.doc_id}" for r in rows if r.doc_id is not None for c in own)
+        assert stage(spark, docs.limit(0), "/root/testdata/sf0.001").count() == 0
