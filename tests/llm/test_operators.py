@@ -142,6 +142,21 @@ def test_lines(spark):
     assert template_lines.strip_templates(docs.limit(0)).count() == 0
 
 
+def test_lines_of_several_templates(spark):
+    word = lambda i: "".join(chr(97 + int(c)) for c in str(i))
+    one = lambda x: f"thank you for visiting our shop in {x} today my friend"
+    two = lambda x: f"thank you for calling the {x} office on behalf of others"
+    copy = "thank you for x y z u v w q r"
+    rows = [(i, f"{one(word(i))}\n{two(word(i))}") for i in range(4)]
+    rows += [(10 + i, "thank you for " + " ".join(f"{word(i)}{word(k)}" for k in range(8))) for i in range(30)]
+    rows += [(50 + i, copy) for i in range(30)]
+    rows += [(90, one("2")), (91, one("paris")), (None, two("paris")), (92, copy.replace(" u ", " other "))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.text for r in template_lines.strip_templates(docs).collect()}
+    gone = {1, 2, 3, *range(51, 80), 90, 91, 92, None}
+    assert got == {i: "" if i in gone else t for i, t in rows}
+
+
 def test_screen(spark):
     rng = random.Random(9)
     words = [f"w{i}" for i in range(3000)]
