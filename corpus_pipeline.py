@@ -36,7 +36,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that repeat an earlier one's templates; what loses all its text goes."""
     needed = "doc_id", "text", "n_chars"
-    out = template_lines.strip_templates(packed(docs, *needed))
+    out = template_lines.strip_templates(packed(docs, *needed), shortest=1)
     return unpacked(out.filter("dropped_lines = 0 or trim(text) <> ''"), docs, *needed)
 
 

@@ -157,6 +157,14 @@ def test_lines_of_several_templates(spark):
     assert got == {i: "" if i in gone else t for i, t in rows}
 
 
+def test_short_lines(spark, tmp_path):
+    rows = [(1, "All rights reserved.\nPage 1\n一行文字"), (2, "own\nAll  rights reserved."), (3, "Page 1\nPage 2\nrights reserved."), (4, "一行文字\n\nlast")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: (r.n_dropped, r.kept_sha256) for r in template_lines.op3_template_lines(spark, str(tmp_path)).collect()}
+    want = {1: (0, rows[0][1]), 2: (1, "own"), 3: (1, "Page 2\nrights reserved."), 4: (1, "\nlast")}
+    assert got == {d: (n, hashlib.sha256(t.encode()).hexdigest()) for d, (n, t) in want.items()}
+
+
 def test_screen(spark):
     rng = random.Random(9)
     words = [f"w{i}" for i in range(3000)]
