@@ -165,6 +165,12 @@ def test_short_lines(spark, tmp_path):
     assert got == {d: (n, hashlib.sha256(t.encode()).hexdigest()) for d, (n, t) in want.items()}
 
 
+def test_rows_of_numbers(spark):
+    rows = [(1, "1 2 3 4 5\nline 10 of 20 here"), (2, "6 7 8 9 10\nline 11 of 20 here"), (3, "1 2 3 4 5\na1 b2 c3 word d4")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r.text for r in template_lines.strip_templates(docs).collect()} == {1: rows[0][1], 2: "6 7 8 9 10", 3: "a1 b2 c3 word d4"}
+
+
 def test_screen(spark):
     rng = random.Random(9)
     words = [f"w{i}" for i in range(3000)]
