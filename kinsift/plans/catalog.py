@@ -2,12 +2,14 @@
 
 Records are made of documents: sources S1, S2 and S3 by doc_id, names and addresses from the beginning of
 the text with noise by doc_id, the language as country.  RECORD is written once, in SQL that Spark and
-DuckDB share.  True matches are records of equal text and country.
+DuckDB share.  True matches are records of equal text and country.  Queries named ``whole_`` are those of
+the rest of the name with the whole text, line breaks as spaces, as name and as address; they have no SQL.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +34,9 @@ RECORD = {
     "country": "lang",
     "text": "text",
 }
+#: RECORD over whole texts.
+WHOLE_RECORD = {k: v.replace(_N, "replace(text, chr(10), ' ')").replace(_A, "replace(text, chr(10), ' ')") for k, v in RECORD.items()}
+_over_whole: ContextVar[bool] = ContextVar("over_whole", default=False)
 _REC = "rec AS (SELECT " + ", ".join(f"{v} AS {k}" for k, v in RECORD.items()).replace("AS STRING", "AS VARCHAR") + " FROM documents)"
 _SIDES = _REC + ", s1 AS (SELECT * FROM rec WHERE src = 'S1'), pool AS (SELECT * FROM rec WHERE src <> 'S1')"
 _TRUTH = _SIDES + ", truth AS (SELECT DISTINCT s1.country, s1.entity_id AS s1_id, pool.entity_id AS cand_id FROM s1 JOIN pool ON s1.country = pool.country AND s1.text = pool.text)"
@@ -51,7 +56,8 @@ def query(sql: str | None = None):
 
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet").selectExpr(*[f"{v} AS {k}" for k, v in RECORD.items()])
+    record = WHOLE_RECORD if _over_whole.get() else RECORD
+    return spark.read.parquet(f"{sf_dir}/documents.parquet").selectExpr(*[f"{v} AS {k}" for k, v in record.items()])
 
 
 def both(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -280,7 +286,7 @@ _PLAIN_NAME = "left(text, 40)"
 
 def plain(d: DataFrame) -> DataFrame:
     """Records with their names before noise."""
-    return d.withColumn("nm", F.expr(_PLAIN_NAME))
+    return d.withColumn("nm", F.expr("text" if _over_whole.get() else _PLAIN_NAME))
 
 
 _EXACT_SQL = f"ex AS (SELECT DISTINCT s1.country, s1.entity_id AS s1_id, pool.entity_id AS cand_id FROM s1 JOIN pool ON s1.country = pool.country AND left(s1.text, 40) = left(pool.text, 40) WHERE left(s1.text, 40) <> '')"
@@ -495,7 +501,7 @@ def _pairs(spark, sf_dir) -> DataFrame:
 _SIM = "CASE WHEN greatest(length({a}), length({b})) = 0 THEN 1.0 ELSE 1 - levenshtein({a}, {b}) / greatest(length({a}), length({b})) END"
 _LIST = "list_distinct(regexp_extract_all(lower({0}), '[a-z0-9]+'))"
 _ASCII = "regexp_replace({0}, '[^ -~]', '', 'g')"
-_PAIRS = f"{_TOK}, p AS (SELECT tok.s1_id, tok.cand_id, CASE WHEN t.cand_id IS NULL THEN 0 ELSE 1 END AS label, {_ASCII.format('s1.business_name')} AS name1, {_ASCII.format('pool.business_name')} AS name2, {_ASCII.format('s1.business_address')} AS addr1, {_ASCII.format('pool.business_address')} AS addr2 FROM tok JOIN s1 ON s1.entity_id = tok.s1_id JOIN pool ON pool.entity_id = tok.cand_id LEFT JOIN truth t ON t.s1_id = tok.s1_id AND t.cand_id = tok.cand_id)"
+_PAIRS = ("token_blocking", "address_token_blocking", "exact_name_join")
 _JAC = "CASE WHEN len(list_distinct(list_concat({a}, {b}))) = 0 THEN 0.0 ELSE len(list_intersect({a}, {b})) / len(list_distinct(list_concat({a}, {b}))) END"
 
 
@@ -593,3 +599,24 @@ def ablation_rules(spark, sf_dir):
         return float(normalize.normalize_names(r, toggles=toggles).select("name_no_accent").distinct().count())
 
     return spark.createDataFrame(matching.ablation(distinct, ("lowercase", "strip_urls", "split_dba")))
+
+
+# --- whole texts ---------------------------------------------------------------------------------
+
+
+def _whole(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark, sf_dir):
+        token = _over_whole.set(True)
+        try:
+            return f(spark, sf_dir)
+        finally:
+            _over_whole.reset(token)
+
+    return run
+
+
+_VALUES = ("token_topk", "vocabulary_size", "legal_suffix_distribution", "anomalous_tokens", "match_histogram", "change_statistics", "map_distinct_names")
+_VALUES += ("script_inventory", "scripts_per_record", "cross_script_pairs", "address_fields", "missing_rates_by_country")
+_PAIRS = ("token_blocking", "address_token_blocking", "exact_name_join")
+for _name in [n for n in QUERIES if n.startswith(("rule_", "normalize_", "noise_")) or n in _VALUES + _PAIRS]:
+    QUERIES[f"whole_{_name}"] = _whole(QUERIES[_name])

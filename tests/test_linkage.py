@@ -129,3 +129,16 @@ def test_split(spark):
 def test_claims(spark):
     rows = spark.createDataFrame([("a", "x", 0.5), ("b", "x", 0.9), ("c", "y", 0.9), ("b", "y", 0.9)], "s1_id string, cand_id string, p double")
     assert {(r.s1_id, r.cand_id) for r in matching.resolve_claims(rows).collect()} == {("b", "x"), ("b", "y")}
+
+
+def test_whole_texts(spark, tmp_path):
+    from kinsift.plans import catalog
+
+    start = "a shared opening of well over one hundred characters " * 3
+    rows = [(3, start + "zebra", "en"), (4, start + "yak", "en"), (6, start + "lion", "en"), (7, start + "lion", "en")]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(str(tmp_path / "documents.parquet"))
+    tokens = {r.token for r in catalog.QUERIES["whole_token_topk"](spark, str(tmp_path)).collect()}
+    assert {"zebra", "yak", "lion"} <= tokens
+    assert {tuple(r) for r in catalog.QUERIES["whole_exact_name_join"](spark, str(tmp_path)).select("s1_id", "cand_id").collect()} == {("S1-6", "S2-7")}
+    assert catalog.QUERIES["exact_name_join"](spark, str(tmp_path)).count() == 4
+    assert not any(n.startswith("whole_") for n in catalog.ORACLE_SQL)
