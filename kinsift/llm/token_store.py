@@ -94,6 +94,7 @@ class UnitEncoder:
 
     Byte-level BPE never merges across its pre-tokens, and a space before another character always begins
     one; so a text's ids are those of the units between such places, which are kept in a bounded cache.
+    A text that holds an added token's string is encoded whole.
     """
 
     def __init__(self, path: str):
@@ -101,18 +102,24 @@ class UnitEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.size = self.tokenizer.get_vocab_size()
         self.kind = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
         self.cache: dict[str, bytes] = {}
         line = self._encode(["\n"])[0]
-        self.line = line[0] if len(line) == 1 and self._encode(["a\n b\nc"])[0].count(line[0]) == 2 else None
+        self.line = line[0] if len(line) == 1 and not any("\n" in a for a in self.added) and self._encode(["a\n b\nc"])[0].count(line[0]) == 2 else None
 
     def _encode(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         cache = self.cache
+        whole = [i for i, t in enumerate(texts) if any(a in t for a in self.added)]
+        if whole:
+            out = self.encode(["" if any(a in t for a in self.added) else t for t in texts])
+            for i, ids in zip(whole, self._encode([texts[i] for i in whole]), strict=True):
+                out[i] = np.array(ids, self.kind).tobytes()
+            return out
         split = [cut(t) for t in texts]
         new = list(set().union(*split).difference(cache))
         if len(cache) + len(new) > CACHE:

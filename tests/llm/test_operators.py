@@ -211,6 +211,20 @@ def test_store(spark, docs, empty, tmp_path):
         assert packed.all().tolist() == values.tolist() == [packed.select(i) for i in range(n)]
 
 
+def test_added_tokens():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tokenizer = Tokenizer.from_file(path)
+    added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+    assert added
+    texts = ["plain words here", *(x for a in added for x in (f"one {a} two", a, f"x{a}\n {a}  y"))]
+    coder = token_store.UnitEncoder(path)
+    for _ in range(2):
+        assert [np.frombuffer(b, coder.kind).tolist() for b in coder.encode(texts)] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_classifier(spark, empty):
     rng = random.Random(1)
     rows = [(i, " ".join(rng.choice(["good", "fine", "text"]) if i % 2 else rng.choice(["junk***", "bad$$$"]) for _ in range(20))) for i in range(200)] + [(200, None), (201, "")]
