@@ -501,7 +501,7 @@ def _pairs(spark, sf_dir) -> DataFrame:
 _SIM = "CASE WHEN greatest(length({a}), length({b})) = 0 THEN 1.0 ELSE 1 - levenshtein({a}, {b}) / greatest(length({a}), length({b})) END"
 _LIST = "list_distinct(regexp_extract_all(lower({0}), '[a-z0-9]+'))"
 _ASCII = "regexp_replace({0}, '[^ -~]', '', 'g')"
-_PAIRS = ("token_blocking", "address_token_blocking", "exact_name_join")
+_PAIRS = f"{_TOK}, p AS (SELECT tok.s1_id, tok.cand_id, CASE WHEN t.cand_id IS NULL THEN 0 ELSE 1 END AS label, {_ASCII.format('s1.business_name')} AS name1, {_ASCII.format('pool.business_name')} AS name2, {_ASCII.format('s1.business_address')} AS addr1, {_ASCII.format('pool.business_address')} AS addr2 FROM tok JOIN s1 ON s1.entity_id = tok.s1_id JOIN pool ON pool.entity_id = tok.cand_id LEFT JOIN truth t ON t.s1_id = tok.s1_id AND t.cand_id = tok.cand_id)"
 _JAC = "CASE WHEN len(list_distinct(list_concat({a}, {b}))) = 0 THEN 0.0 ELSE len(list_intersect({a}, {b})) / len(list_distinct(list_concat({a}, {b}))) END"
 
 
@@ -617,6 +617,6 @@ def _whole(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
 
 _VALUES = ("token_topk", "vocabulary_size", "legal_suffix_distribution", "anomalous_tokens", "match_histogram", "change_statistics", "map_distinct_names")
 _VALUES += ("script_inventory", "scripts_per_record", "cross_script_pairs", "address_fields", "missing_rates_by_country")
-_PAIRS = ("token_blocking", "address_token_blocking", "exact_name_join")
-for _name in [n for n in QUERIES if n.startswith(("rule_", "normalize_", "noise_")) or n in _VALUES + _PAIRS]:
+_JOINS = ("token_blocking", "address_token_blocking", "exact_name_join")
+for _name in [n for n in QUERIES if n.startswith(("rule_", "normalize_", "noise_")) or n in _VALUES + _JOINS]:
     QUERIES[f"whole_{_name}"] = _whole(QUERIES[_name])
