@@ -20,7 +20,6 @@ from __future__ import annotations
 import base64
 import json
 import os
-import re
 import struct
 import uuid
 import zlib
@@ -32,11 +31,14 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kinsift.llm.textkit import slices, text_bytes
+from kinsift.llm.units import UnitTable
+
 MAGIC = b"KSTOK1"
 STEP = 64
-CACHE = 800_000
-#: A space with white space or nothing after it, or the character that cut() uses.
-LOOSE = re.compile(r" (?:\s|\Z)|\x00")
+_BLOCK = 1 << 13  # values whose low bits are packed at a time; a multiple of 8
+#: Documents and ids that a file has at most (one document more than that of ids).
+FILE_DOCS, FILE_IDS = 1 << 20, 1 << 28
 
 
 class EliasFano:
@@ -50,11 +52,12 @@ class EliasFano:
         values = np.asarray(values, np.uint64)
         n, top = len(values), int(values[-1]) + 1 if len(values) else 1
         low_bits = max(0, (top // n).bit_length() - 1) if n else 0
-        bits = ((values[:, None] >> np.arange(low_bits, dtype=np.uint64)) & np.uint64(1)).astype(np.uint8)
+        places = np.arange(low_bits, dtype=np.uint64)
+        low = [np.packbits(((values[a : a + _BLOCK, None] >> places) & np.uint64(1)).astype(np.uint8), bitorder="little") for a in range(0, n, _BLOCK)]
         ones = (values >> np.uint64(low_bits)).astype(np.int64) + np.arange(n)
         unary = np.zeros(int(ones[-1]) + 1 if n else 0, np.uint8)
         unary[ones] = 1
-        return cls(n, low_bits, np.packbits(bits, bitorder="little"), np.packbits(unary, bitorder="little"), ones[::STEP].astype(np.uint32))
+        return cls(n, low_bits, np.concatenate(low) if low else np.zeros(0, np.uint8), np.packbits(unary, bitorder="little"), ones[::STEP].astype(np.uint32))
 
     def select(self, i: int) -> int:
         """Value i: its one-bit is found from the sampled bit before it, byte by byte."""
@@ -76,8 +79,12 @@ class EliasFano:
     def all(self) -> np.ndarray:
         """All values as int64, for a scan."""
         ones = np.flatnonzero(np.unpackbits(self.high, bitorder="little"))[: self.n]
-        bits = np.unpackbits(self.low, bitorder="little")[: self.n * self.low_bits].reshape(self.n, self.low_bits).astype(np.int64)
-        return (ones - np.arange(self.n)) << self.low_bits | bits @ (1 << np.arange(self.low_bits, dtype=np.int64))
+        out, step = (ones - np.arange(self.n)) << self.low_bits, _BLOCK * self.low_bits // 8
+        for a in range(0, self.n if self.low_bits else 0, _BLOCK):
+            bits = np.unpackbits(self.low[a // _BLOCK * step : (a // _BLOCK + 1) * step], bitorder="little")
+            m = min(_BLOCK, self.n - a)
+            out[a : a + m] |= bits[: m * self.low_bits].reshape(m, self.low_bits) @ (1 << np.arange(self.low_bits, dtype=np.int64))
+        return out
 
     def pack(self) -> dict:
         code = lambda x: base64.b85encode(x.tobytes()).decode()
@@ -92,9 +99,11 @@ class EliasFano:
 class UnitEncoder:
     """Ids by the tokenizers library, unit by unit.
 
-    Byte-level BPE never merges across its pre-tokens, and a space before another character always begins
-    one; so a text's ids are those of the units between such places, which are kept in a bounded cache.
-    A text that holds an added token's string is encoded whole.
+    Byte-level BPE never merges across its pre-tokens, so a text may be cut wherever one surely begins: at a
+    space before another character than white space, where an ASCII letter is followed by another ASCII
+    character than a letter, and after a lone line break.  The units between such places are looked up in a
+    table; the library encodes those that are new.  A text that holds an added token's string is encoded
+    whole, and so are all texts where the tokenizer has other pre-tokens.
     """
 
     def __init__(self, path: str):
@@ -102,60 +111,83 @@ class UnitEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as f:
+            settings = json.load(f)
+        pre = settings.get("pre_tokenizer") or {}
+        self.units = settings.get("normalizer") is None and pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space")
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.size = self.tokenizer.get_vocab_size()
-        self.kind = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
-        self.cache: dict[str, bytes] = {}
+        self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.table = UnitTable(self.solve, self.kind)
         line = self._encode(["\n"])[0]
         self.line = line[0] if len(line) == 1 and not any("\n" in a for a in self.added) and self._encode(["a\n b\nc"])[0].count(line[0]) == 2 else None
 
     def _encode(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        cache = self.cache
-        whole = [i for i, t in enumerate(texts) if any(a in t for a in self.added)]
+    def solve(self, units: list[bytes]) -> list:
+        """The ids of each unit."""
+        texts = [u.decode() for u in units]
+        lone = [i for i, t in enumerate(texts) if (w := t.split()) and w[0] == t.removeprefix(" ")] if self.line is not None else []
+        out: list = [None] * len(texts)
+        for at in range(0, len(lone), 20_000):  # one call for many: a line each, and a lone line break is a token of its own
+            part = lone[at : at + 20_000]
+            ids = self._encode(["\n".join([texts[i] for i in part])])[0]
+            begin = 0
+            for i in part[:-1]:
+                end = ids.index(self.line, begin)
+                out[i] = ids[begin:end]
+                begin = end + 1
+            out[part[-1]] = ids[begin:]
+        rest = [i for i, x in enumerate(out) if x is None]
+        for i, ids in zip(rest, self._encode([texts[i] for i in rest]), strict=True):
+            out[i] = ids
+        return out
+
+    def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts of a column, one after another, and how many each has."""
+        data, offsets = text_bytes(column)
+        raw = data.tobytes()
+        whole = [i for i in range(len(column)) if not self.units or any(a.encode() in raw[offsets[i] : offsets[i + 1]] for a in self.added)] if not self.units or any(a.encode() in raw for a in self.added) else []
         if whole:
-            out = self.encode(["" if any(a in t for a in self.added) else t for t in texts])
-            for i, ids in zip(whole, self._encode([texts[i] for i in whole]), strict=True):
-                out[i] = np.array(ids, self.kind).tobytes()
-            return out
-        split = [cut(t) for t in texts]
-        new = list(set().union(*split).difference(cache))
-        if len(cache) + len(new) > CACHE:
-            cache.clear()
-            new = list(set().union(*split))
-        lone = [u for u in new if (w := u.split()) and w[0] == u.removeprefix(" ")] if self.line else []
-        if len(lone) > 1:  # one call for all: a line each, and a lone line break is a token of its own
-            ids = np.array(self._encode(["\n".join(lone)])[0], self.kind)
-            ends = (np.flatnonzero(ids == self.line) * self.kind.itemsize).tolist()
-            raw, size, at = ids.tobytes(), self.kind.itemsize, 0
-            for u, end in zip(lone, [*ends, len(raw)], strict=True):
-                cache[u] = raw[at:end]
-                at = end + size
-            new = [u for u in new if u not in cache]
-        for u, x in zip(new, self._encode(new), strict=True):
-            cache[u] = np.array(x, self.kind).tobytes()
-        return [b"".join([cache[u] for u in units]) for units in split]
-
-
-def cut(text: str) -> list[str]:
-    """Units: a new one begins at each space that has a character other than white space after it."""
-    if not LOOSE.search(text):  # then that is each space
-        out = text.replace(" ", "\0 ").split("\0")
-        return out if out[0] else out[1:]
-    out = []
-    for k, part in enumerate(text.split(" ")):
-        if k == 0:
-            if part:
-                out.append(part)
-        elif part and not part[0].isspace():
-            out.append(" " + part)
-        elif out:
-            out[-1] += " " + part
-        else:
-            out.append(" " + part)
-    return out
+            rest = np.ones(len(column), bool)
+            rest[whole] = False
+            flat, counts = self._of_units(*text_bytes(pa.array([None if i in set(whole) else t for i, t in enumerate(column.to_pylist())], pa.string())))
+            parts = np.split(flat, np.cumsum(counts)[:-1])
+            for i, ids in zip(whole, self._encode([column[i].as_py() or "" for i in whole]), strict=True):
+                parts[i] = np.array(ids, self.kind)
+            return np.concatenate(parts), np.array([len(x) for x in parts], np.int64)
+        return self._of_units(data, offsets)
+
+    def _of_units(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        starts = cuts(data, offsets)
+        flat, counts = self.table.runs(self.table.find(data, starts, np.append(starts[1:], len(data)).astype(np.int64)))
+        sums = np.concatenate([[0], np.cumsum(counts)])[np.searchsorted(starts, offsets)]
+        return flat, np.diff(sums)
+
+
+_LETTER, _ASCII, _BREAK, _SOLID = (np.zeros(256, bool) for _ in range(4))
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
+_ASCII[:128] = True
+_BREAK[9:14] = True
+#: First bytes of characters that are no white space, whatever follows them; white space beyond ASCII begins with C2, E1, E2 or E3.
+_SOLID[:] = True
+_SOLID[[*range(9, 14), *range(28, 33), *range(0x80, 0xC3), 0xE1, 0xE2, 0xE3]] = False
+
+
+def cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Where units begin: at texts, and wherever a pre-token surely begins and cutting changes none."""
+    begin = np.zeros(len(data) + 1, bool)
+    if len(data) > 1:
+        letter, solid, white = _LETTER[data], _SOLID[data], _BREAK[data]
+        begin[:-2] |= (data[:-1] == 32) & solid[1:]
+        begin[offsets[1:][offsets[1:] > 0] - 1] = False  # that's the next text's character after the space
+        begin[1:-1] |= letter[:-1] & ~letter[1:] & _ASCII[data[1:]]
+        alone = white.copy()  # a line break with no white space before it
+        alone[1:] &= solid[:-1] & _ASCII[data[:-1]]
+        alone[offsets[:-1][offsets[:-1] < len(data)]] = white[offsets[:-1][offsets[:-1] < len(data)]]
+        begin[1:-1] |= alone[:-1] & solid[1:]
+    begin[offsets[:-1]] = True
+    return np.flatnonzero(begin[:-1])
 
 
 _encoders: dict[str, UnitEncoder] = {}
@@ -172,11 +204,43 @@ def place(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else "file://" + uri)
 
 
+class _Writer:
+    """One file being written: ids are streamed, boundaries and doc_ids kept for the footer."""
+
+    def __init__(self, path: str, kind: np.dtype, part: int, number: int = 0):
+        self.kind, self.part, self.number, self.name = kind, part, number, f"{uuid.uuid4().hex}.ids"
+        system, folder = place(path)
+        self.out = system.open_output_stream(f"{folder}/{self.name}")
+        self.counts: list[np.ndarray] = []
+        self.doc_ids: list[np.ndarray] = []
+        self.nulls = self.n_docs = self.n_ids = 0
+
+    def add(self, ids: np.ndarray, counts: np.ndarray, doc_ids: pa.Array) -> None:
+        self.out.write(ids.astype(self.kind, copy=False).tobytes())
+        self.counts.append(counts)
+        self.nulls += doc_ids.null_count
+        self.doc_ids.append(doc_ids.drop_null().to_numpy(zero_copy_only=False).astype(np.int64))
+        self.n_docs, self.n_ids = self.n_docs + len(counts), self.n_ids + len(ids)
+
+    def full(self) -> bool:
+        return self.n_docs >= FILE_DOCS or self.n_ids >= FILE_IDS
+
+    def close(self) -> pa.RecordBatch:
+        """Writes the footer; the file's row of the manifest."""
+        keys = np.concatenate(self.doc_ids)
+        base = int(keys[0]) if len(keys) else 0
+        foot = json.dumps({"bytes_an_id": self.kind.itemsize, "ends": EliasFano.of(np.cumsum(np.concatenate(self.counts))).pack(), "first_doc_id": base, "null_doc_ids": self.nulls, "doc_ids": EliasFano.of((keys - base).view(np.uint64)).pack()}).encode()
+        self.out.write(foot + struct.pack("<I", len(foot)) + MAGIC)
+        self.out.close()
+        columns = {"part": (self.part, pa.int32()), "number": (self.number, pa.int32()), "file": (self.name, pa.string()), "n_docs": (self.n_docs, pa.int64()), "n_ids": (self.n_ids, pa.int64())}
+        return pa.RecordBatch.from_pydict({k: [v] for k, (v, _) in columns.items()}, pa.schema([(k, t) for k, (_, t) in columns.items()]))
+
+
 def write_store(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, files: int | None = None) -> DataFrame:
     """Writes docs' ids in ascending doc_id order below path; returns the manifest.
 
     Documents are dealt out by ranges of (doc_id, checksum), so a doc_id that many rows share is split too;
-    each task encodes its range in order and streams it to one file. The manifest, one row a file, has file,
+    each task encodes its range in order and streams it to files of at most FILE_DOCS documents. The manifest, one row a file, has file,
     part, n_docs, n_ids, and start: the running sum over files, the only thing that the driver gathers.
     """
     spark = docs.sparkSession
@@ -184,33 +248,21 @@ def write_store(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, fil
     place(path)[0].create_dir(place(path)[1], recursive=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from kinsift.llm.textkit import slices
-
-        e, system, folder = encoder(tokenizer), *place(path)
-        name, counts, doc_ids, nulls, part, out = f"{uuid.uuid4().hex}.ids", [], [], 0, 0, None
-        end = np.array([end_id], e.kind).tobytes()
+        e, file = encoder(tokenizer), None
         for batch in slices(batches):
-            if out is None:
-                out, part = system.open_output_stream(f"{folder}/{name}"), batch.column(2)[0].as_py()
-            ids = e.encode([t or "" for t in batch.column(1).to_pylist()])
-            for x in ids:
-                out.write(x)
-                out.write(end)
-            counts.append(np.array([len(x) // e.kind.itemsize + 1 for x in ids], np.int64))
-            nulls += batch.column(0).null_count
-            doc_ids.append(batch.column(0).drop_null().to_numpy(zero_copy_only=False))
-        if out is None:
-            return
-        bounds, keys = np.cumsum(np.concatenate(counts)), np.concatenate(doc_ids).astype(np.int64)
-        base = int(keys[0]) if len(keys) else 0
-        foot = json.dumps({"bytes_an_id": e.kind.itemsize, "ends": EliasFano.of(bounds).pack(), "first_doc_id": base, "null_doc_ids": nulls, "doc_ids": EliasFano.of((keys - base).view(np.uint64)).pack()}).encode()
-        out.write(foot + struct.pack("<I", len(foot)) + MAGIC)
-        out.close()
-        yield pa.RecordBatch.from_pydict({"part": [part], "file": [name], "n_docs": [len(bounds)], "n_ids": [int(bounds[-1])]}, pa.schema([("part", pa.int32()), ("file", pa.string()), ("n_docs", pa.int64()), ("n_ids", pa.int64())]))
+            if file is None:
+                file = _Writer(path, e.kind, batch.column(2)[0].as_py())
+            ids, counts = e.encode(batch.column(1))
+            file.add(np.insert(ids, np.cumsum(counts), end_id), counts + 1, batch.column(0))
+            if file.full():
+                yield file.close()
+                file = _Writer(path, e.kind, file.part, file.number + 1)
+        if file is not None and file.n_docs:
+            yield file.close()
 
     keyed = docs.select(F.col("doc_id").cast("long"), "text", F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("_sum"))
     ordered = keyed.repartitionByRange(n, "doc_id", "_sum").sortWithinPartitions("doc_id", "_sum").select("doc_id", "text", F.spark_partition_id().alias("part"))
-    rows = sorted(ordered.mapInArrow(run, "part int, file string, n_docs long, n_ids long").collect())
+    rows = sorted(ordered.mapInArrow(run, "part int, number int, file string, n_docs long, n_ids long").collect())
     start, manifest = 0, []
     for r in rows:
         manifest.append((r.file, r.part, r.n_docs, r.n_ids, start))
