@@ -4,33 +4,34 @@ A piece sequence is the result of the merges exactly if every adjacent pair is c
 of both pieces' characters, taken together, end in these two pieces.  So each prefix of a text has one
 last piece: of the vocabulary's pieces that end there (an Aho-Corasick automaton finds them), the one
 that is compatible with the last piece of what is before it.  The table is filled from left to right and
-the ids are read backwards, in time linear in the text.  Pieces of spaces share one score, which breaks
-the rule's premise of distinct priorities; units with two or more leading spaces are merged plainly.
+the ids are read backwards, in time linear in the text.  Of merges with equal scores, as those of spaces
+have, the leftmost comes first.
 
-No piece of the model has a space after another character, so a text is cut into units of spaces and the
-characters after them, and units are kept in a bounded cache: the key of a unit with one space before it
-is the word alone, and its decoded text is kept only where it differs.  Null and empty texts have no ids.
+Merges never cross a place where no piece of the model has the two characters next to each other, so a text
+is cut there, and units are looked up in a bounded table, a batch at a time.  Null and empty texts have no ids;
+texts of any length are encoded whole; repeated rows are rows of their own; an empty table gives an empty
+result; further columns pass through ``encode`` (names that it adds are replaced).
 """
 
 from __future__ import annotations
 
 import hashlib
 import heapq
-import re
 from collections.abc import Iterator
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kinsift.llm.textkit import slices
+from kinsift.llm.textkit import slices, text_bytes
+from kinsift.llm.units import UnitTable
 
 SPACE = "▁"
-UNIT = re.compile(" *[^ ]+| +")
-CACHE, PAIRS = 400_000, 1_000_000
+PAIRS = 1_000_000
 
 
 class PieceCodec:
@@ -51,10 +52,11 @@ class PieceCodec:
         if any(SPACE in p.lstrip(SPACE) for p in self.id):
             raise ValueError("a piece has a space after another character; texts can't be cut into units")
         self.score = [model.get_score(i) for i in range(n)]
-        order = sorted((p for p in self.id.values() if len(self.piece[p]) > 1), key=lambda i: (-self.score[i], i))
-        self.rank = [0] * n
-        for r, i in enumerate(order, 1):
-            self.rank[i] = r
+        longer = [p for p in self.id.values() if len(self.piece[p]) > 1]
+        place = {x: r for r, x in enumerate(sorted({self.score[i] for i in longer}, reverse=True), 1)}
+        self.rank = [0] * n  # equal scores share a rank
+        for i in longer:
+            self.rank[i] = place[self.score[i]]
         self.split: dict[int, tuple[int, int] | None] = {}
         self.pairs: dict[int, bool] = {}
         self.automaton = ahocorasick.Automaton()
@@ -62,7 +64,14 @@ class PieceCodec:
             if self.parts(i) is not False:
                 self.automaton.add_word(text, (i, len(text)))
         self.automaton.make_automaton()
-        self.cache = Cache(self)
+        self.table = UnitTable(self.solve, "i4")
+        #: Whether a piece has two characters next to each other, by byte; all characters beyond ASCII count as one.
+        self.joined = np.zeros((256, 256), bool)
+        kind = lambda ch: slice(32, 33) if ch == SPACE else slice(ord(ch), ord(ch) + 1) if ch < "\x80" else slice(128, 256)
+        for text in self.id:
+            for x, y in zip(text, text[1:]):
+                self.joined[kind(x), kind(y)] = True
+        self.joined[:, 0x80:0xC0] = True  # inside a character
 
     def merge(self, text: str) -> list[int | str]:
         """The merges done one by one: the best score first, then the leftmost. Characters without a piece stay as they are."""
@@ -132,8 +141,6 @@ class PieceCodec:
 
     def unit(self, text: str) -> list[int | str]:
         """The pieces of one unit."""
-        if text.startswith(SPACE * 2):
-            return self.merge(text)
         last = [-1] * (len(text) + 1)  # -1: the character before has no piece, and goes with any
         known = self.pairs.get
         for end, (i, size) in self.automaton.iter(text):
@@ -157,24 +164,41 @@ class PieceCodec:
             return pieces
         return [i for x in pieces for i in ([self.byte[b] for b in x.encode()] if isinstance(x, str) else [x])]
 
-    def both(self, text: str) -> tuple[str, str]:
-        """The ids of a text in decimal, joined by commas, and what they decode to."""
-        if not text:
-            return "", ""
-        cache, odd = self.cache, self.cache.odd
-        if len(cache) > CACHE:
-            cache.clear()
-            odd.clear()
-        text = " " + text.replace(SPACE, " ")
-        plain = "  " not in text
-        keys = text[1:].split(" ") if plain else [u if u.startswith("  ") else u[1:] for u in UNIT.findall(text)]
-        ids = ",".join(map(cache.__getitem__, keys))
-        if plain and odd.keys().isdisjoint(keys):
-            return ids, " ".join(keys)
-        return ids, "".join([odd[k] if k in odd else spaced(k) for k in keys]).removeprefix(" ")
+    def solve(self, units: list[bytes]) -> list[list[int]]:
+        """The ids of each unit; -1 - id where the unit decodes to something else."""
+        out = []
+        for unit in units:
+            text = unit.decode()
+            ids = self.ids(self.unit(text.replace(" ", SPACE)))
+            out.append(ids if self.surface(ids) == text else [-1 - i for i in ids])
+        return out
+
+    def encode_column(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+        """The ids of all texts, one after another, how many each has, and what each decodes to."""
+        column = pc.replace_substring(pc.fill_null(column, ""), SPACE, " ")
+        data, offsets = text_bytes(column)
+        full = offsets[:-1][offsets[1:] > offsets[:-1]]
+        prefixed = np.insert(data, full, 32)
+        at = full + np.arange(len(full))  # where texts begin, with the space that is put before them
+        begin = np.zeros(len(prefixed), bool)
+        begin[1:] = ~self.joined[prefixed[:-1], prefixed[1:]]
+        begin[at] = True
+        starts = np.flatnonzero(begin)
+        flat, counts = self.table.runs(self.table.find(prefixed, starts, np.append(starts[1:], len(prefixed)).astype(np.int64)))
+        of = np.zeros(len(offsets), np.int64)
+        of[1:] = np.cumsum(offsets[1:] > offsets[:-1])
+        places = np.concatenate([[0], np.cumsum(counts)])[np.searchsorted(starts, np.append(at, len(prefixed)))][of]
+        odd = np.flatnonzero(np.diff(np.concatenate([[0], np.cumsum(flat < 0)])[places])).tolist()
+        flat = np.where(flat < 0, -1 - flat, flat)
+        if odd:
+            texts = column.to_pylist()
+            for i in odd:
+                texts[i] = self.decode(flat[places[i] : places[i + 1]].tolist())
+            column = pa.array(texts, pa.string())
+        return flat, np.diff(places), column
 
     def encode(self, text: str | None) -> list[int]:
-        return [int(i) for i in self.both(text or "")[0].split(",") if i]
+        return self.encode_column(pa.array([text], pa.string()))[0].tolist()
 
     def surface(self, ids: list[int]) -> str:
         """The text of ids, with the space that encoding puts before it."""
@@ -197,28 +221,6 @@ class PieceCodec:
         return self.surface(ids).removeprefix(" ")
 
 
-def spaced(key: str) -> str:
-    """The unit of a key."""
-    return key if key.startswith("  ") else " " + key
-
-
-class Cache(dict):
-    """key of a unit -> its ids in decimal; odd has the decoded text of those that decode to something else."""
-
-    def __init__(self, owner: PieceCodec):
-        super().__init__()
-        self.owner = owner
-        self.odd: dict[str, str] = {}
-
-    def __missing__(self, key: str) -> str:
-        unit = spaced(key)
-        ids = self.owner.ids(self.owner.unit(unit.replace(" ", SPACE)))
-        if (surface := self.owner.surface(ids)) != unit:
-            self.odd[key] = surface
-        self[key] = out = ",".join(map(str, ids))
-        return out
-
-
 _codecs: dict[str, PieceCodec] = {}
 
 
@@ -235,12 +237,8 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(model)
         for batch in slices(batches):
-            both = [c.both(t.as_py() or "") for t in batch.column(batch.schema.get_field_index("text"))]
-            counts = [i.count(",") + 1 if i else 0 for i, _ in both]
-            values = ",".join([i for i, _ in both if i])
-            values = np.fromstring(values, np.int32, sep=",") if values else np.zeros(0, np.int32)
+            values, counts, decoded = c.encode_column(batch.column(batch.schema.get_field_index("text")))
             ids = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), pa.array(values))
-            decoded = pa.array([t for _, t in both], pa.string())
             yield pa.RecordBatch.from_arrays([*batch.columns, ids, decoded], [*batch.schema.names, "piece_ids", "decoded"])
 
     docs = docs.drop("piece_ids", "decoded")
@@ -248,19 +246,22 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
+def hexes(texts: pa.Array) -> pa.Array:
+    data, offsets = text_bytes(texts)
+    raw = memoryview(data.tobytes())
+    return pa.array([hashlib.sha256(raw[a:b]).hexdigest() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)], pa.string())
+
+
 def digest(docs: DataFrame, model: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of whole texts; a map without a shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(model)
         for batch in slices(batches):
-            counts, of_ids, of_text = [], [], []
-            for text in batch.column("text"):
-                ids, decoded = c.both(text.as_py() or "")
-                counts.append(ids.count(",") + 1 if ids else 0)
-                of_ids.append(hashlib.sha256(ids.encode()).hexdigest())
-                of_text.append(hashlib.sha256(decoded.encode()).hexdigest())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_text, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+            values, counts, decoded = c.encode_column(batch.column("text"))
+            decimal = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), pc.cast(pa.array(values), pa.string()))
+            hashes = [hexes(pc.binary_join(decimal, ",")), hexes(decoded)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(counts, pa.int64()), *hashes], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
