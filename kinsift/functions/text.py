@@ -8,14 +8,18 @@ from pyspark.sql import functions as F
 from kinsift import schema
 
 # Words that are no blocking keys.
-STOPWORDS = tuple(
-    "llc ltd limited inc corp corporation pvt private llp lp co company sarl sci sas sa plc pllc gmbh ag pty ngo npo the and of for in on at to a an is it by or with from as "
-    "services solutions group holdings enterprises international industries consulting technologies tech labs media ventures partners capital trust foundation association society institute".split()
+STOPWORDS = (
+    "llc", "ltd", "limited", "inc", "corp", "corporation", "pvt", "private", "llp", "lp", "co", "company", "sarl", "sci", "sas", "sa", "plc", "pllc",
+    "gmbh", "ag", "pty", "ngo", "npo", "the", "and", "of", "for", "in", "on", "at", "to", "a", "an", "is", "it", "by", "or", "with", "from", "as",
+    "services", "solutions", "group", "holdings", "enterprises", "international", "industries", "consulting", "technologies", "tech", "labs", "media",
+    "ventures", "partners", "capital", "trust", "foundation", "association", "society", "institute",
 )
 # Legal suffixes that profiling looks for at the end of a name.
-PROFILE_SUFFIXES = tuple(
-    "llc ltd limited inc corp corporation pvt private llp lp co company sarl sci sas plc pllc gmbh bv ag sa sl srl pty ngo npo trust foundation "
-    "association society institute university college school hospital clinic academy services solutions group holdings enterprises international industries consulting technologies tech labs media ventures partners capital".split()
+PROFILE_SUFFIXES = (
+    "llc", "ltd", "limited", "inc", "corp", "corporation", "pvt", "private", "llp", "lp", "co", "company", "sarl", "sci", "sas", "plc", "pllc",
+    "gmbh", "bv", "ag", "sa", "sl", "srl", "pty", "ngo", "npo", "trust", "foundation", "association", "society", "institute", "university", "college",
+    "school", "hospital", "clinic", "academy", "services", "solutions", "group", "holdings", "enterprises", "international", "industries",
+    "consulting", "technologies", "tech", "labs", "media", "ventures", "partners", "capital",
 )
 
 

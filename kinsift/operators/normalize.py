@@ -33,19 +33,32 @@ def enabled(toggles: Mapping[str, bool] | None, rule: str) -> bool:
     return (toggles or {}).get(rule, True)
 
 
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is computed once, however often body uses it; the optimizer can't copy it in."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _with(step: Callable[[Column], Column]) -> Callable[[Column], Column]:
+    """Appends the step's result on the last text."""
+    return lambda texts: F.concat(texts, F.array(step(F.element_at(texts, -1))))
+
+
 def fold(df: DataFrame, source: str, steps: Mapping[str, Callable[[Column], Column]], toggles: Mapping[str, bool] | None, prefix: str) -> tuple[DataFrame, str, list[Column]]:
-    """Applies the steps that are on, one column each; returns the last column and a name per fired rule.
+    """Applies the steps that are on; returns the column of the last text and a name per fired rule.
 
-    One projection per step keeps the plan linear: nested expressions would be copied at every use.
+    One column holds the texts after each step.  A step takes the text before it as a bound variable, and the
+    column is generated, one row from each: in a chain of projections between functions in Python the
+    optimizer would copy a rule's expression to every use of its result.
     """
-    at, fired = source, []
-    for i, (rule, step) in enumerate(steps.items()):
-        if enabled(toggles, rule):
-            name = f"{prefix}{i}"
-            df = df.withColumn(name, step(F.col(at)))
-            fired.append(F.when(~F.col(name).eqNullSafe(F.col(at)), F.lit(rule)))
-            at = name
-    return df, at, fired
+    on = {rule: step for rule, step in steps.items() if enabled(toggles, rule)}
+    if not on:
+        return df, source, []
+    texts = F.array(F.col(source))
+    for step in on.values():
+        texts = bound(texts, _with(step))
+    after = [F.get(f"{prefix}s", F.lit(i)) for i in range(len(on) + 1)]
+    fired = [F.when(~after[i + 1].eqNullSafe(after[i]), F.lit(rule)) for i, rule in enumerate(on)]
+    return df.select("*", F.explode(F.array(texts)).alias(f"{prefix}s")).withColumn(f"{prefix}t", after[-1]), f"{prefix}t", fired
 
 
 def _unicode_steps(df: DataFrame, source: str, toggles: Mapping[str, bool] | None, prefix: str) -> tuple[DataFrame, str, list[Column]]:

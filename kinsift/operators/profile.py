@@ -34,6 +34,7 @@ ADDRESS_NOISE = {
     "empty": r"^\s*$",
     "non_latin_chars": r"[^\x00-\x7f]",
 }
+# Fixed value: pattern of odd tokens.
 ANOMALOUS = r"[^\w\s]{2,}|\d+[a-z]+|[a-z]+\d+|\w*[^\w\s]+\w+"
 
 
