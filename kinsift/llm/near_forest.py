@@ -1,46 +1,56 @@
 """Near-duplicate components by an LSH forest over MinHash signatures.
 
-A text's set is its distinct k-word shingles (A-Z lower-cased).  Equal sets form a class at once.  For the
-classes, TREES signature orders are made: tree t sorts by its own DEPTH MinHash values.  Rows whose longest
-common prefix has DEPTH_MIN values or more are neighbours; where a region of a tree is dense (over DENSE
-classes), neighbours need all DEPTH values.  In each region, neighbours whose signatures agree by more than
-the threshold less MARGIN are chained, and the chains of all trees make blobs.  Inside a blob, links are
-confirmed on the full sets, by a search that compares each member with all that aren't reached yet; blobs
-over BLOCK members are compared block by block, each pair of blocks in a task of its own.  So no pair list
-of a group is ever written, and no link inside a blob is left out.
-
-For a pair at Jaccard 0.85 the chance that no tree of 20 makes them neighbours is 4e-7 (2e-4 at 0.8), in a
-dense region 8e-5; a signature of 120 values is below the margin for 1 in 10^5 such pairs.
+A text's set is its distinct k-word shingles (A-Z lower-cased).  Equal sets form a class at once, named by the
+128 bits of its hash, so that neither repeated nor missing doc_ids matter; classes with equal signatures are
+linked to the least of them.  For the others, TREES sorted orders are made: tree t sorts by the signature from
+its t-th value on, around to the value before.  Rows that share a prefix of some depth are a region.  The depth
+is adaptive: a region is taken at the first of DEPTHS at which it has at most DENSE rows.  In each region,
+neighbours in the order (those of the longest common prefix) are compared first, and then whatever these leave
+apart; rows whose signatures agree by more than the threshold less MARGIN are chained.  The chains of all trees
+make blobs.
+
+Links are confirmed on the full sets.  A blob is dealt into blocks of at most BLOCK members and SHINGLES
+shingles; in a block, each member is compared with all that aren't reached yet.  The blocks' leaders make the
+next round, until they fit one block; then whatever lies outside a blob's largest component is compared with
+all of the blob.  So no link inside a blob is lost, no pair list of a group is written, and a group of copies
+of any size costs about as much as it has rows.
+
+For a pair at Jaccard 0.85 the chance that no tree of 20 has them in a region is 4e-7 at depth 4, 8e-5 at 6 and
+5e-3 at 9 (2e-4, 2e-3 and 6e-2 at 0.8); a signature of 120 values is below the margin for 1 in 10^5 such pairs.
+Regions deeper than 4 are those of over DENSE classes, where a class also meets many others of its group.
 
 Edge cases: null and empty texts and those without words have an empty set, linked with nothing; fewer than
-k words make one shingle; repeated rows and equal texts share a class; a null doc_id takes its class's
-component and is never kept unless it has none; an empty table gives an empty result; other columns pass
-through ``dedup``.
+k words make one shingle; repeated rows and equal texts share a class; rows with one doc_id and different texts
+are told apart by their texts; a null doc_id is linked as any other and takes its component's smallest doc_id
+(null if there is none); an empty table gives an empty result; other columns pass through ``dedup``, which keeps
+of each component the document with the smallest doc_id (null last) and text hash, and all rows equal to it.
 """
 
 from __future__ import annotations
 
-
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinsift.llm.scratch import Scratch
 from kinsift.llm.textkit import U, flat, mix, shingle_sets, slices
 
-TREES, DEPTH, DEPTH_MIN = 20, 6, 4
-DENSE, MARGIN, BLOCK = 2048, 0.15, 4000
+TREES, VALUES = 20, 6
+SIZE = TREES * VALUES
+DEPTHS = (4, 6, 9, 14, 24, 48, SIZE)
+DENSE, MARGIN, BLOCK, SHINGLES = 2048, 0.15, 4000, 4_000_000
 _RANDOM = np.random.Generator(np.random.PCG64(7))
-_A = _RANDOM.integers(1, 2**63, TREES * DEPTH, dtype=np.uint64) * U(2) + U(1)
-_B = _RANDOM.integers(0, 2**63, TREES * DEPTH, dtype=np.uint64)
+_A = _RANDOM.integers(1, 2**63, SIZE, dtype=np.uint64) * U(2) + U(1)
+_B = _RANDOM.integers(0, 2**63, SIZE, dtype=np.uint64)
+_LINKS = "a binary, b binary"
 
 
 def signatures(sets: list[np.ndarray]) -> np.ndarray:
     """MinHash signatures (uint32, a row per set); empty sets get the largest value everywhere."""
-    out = np.full((len(sets), TREES * DEPTH), 0xFFFFFFFF, np.uint32)
+    out = np.full((len(sets), SIZE), 0xFFFFFFFF, np.uint32)
     full = [i for i, s in enumerate(sets) if len(s)]
     at = 0
     while at < len(full):  # pieces that fit the cache
@@ -49,27 +59,34 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
             size += len(sets[full[to]])
             to += 1
         values, offsets = flat([sets[i] for i in full[at:to]])
-        part = np.empty((TREES * DEPTH, to - at), np.uint64)
-        for k in range(TREES * DEPTH):
+        part = np.empty((SIZE, to - at), np.uint64)
+        for k in range(SIZE):
             part[k] = np.minimum.reduceat(values * _A[k] + _B[k], offsets[:-1])
         out[full[at:to]] = (part >> U(32)).T
         at = to
     return out
 
 
+def text_hash() -> Column:
+    """What tells rows with one doc_id apart."""
+    return F.xxhash64("text").alias("text_hash")
+
+
 def sketch(docs: DataFrame, k: int) -> DataFrame:
-    """doc_id, n_shingles, set_a and set_b (a 128-bit hash of the set), signature."""
+    """doc_id, text_hash, n_shingles, set (a 128-bit hash of the set, null for an empty one) and signature of each row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            sets = shingle_sets(batch.column(1), k)
-            marks = [[int(np.bitwise_xor.reduce(mix(s ^ U(c)))) if len(s) else 0 for s in sets] for c in (0x1234567, 0xABCDEF987)]
+            sets = shingle_sets(batch.column(2), k)
+            marks = np.array([[np.bitwise_xor.reduce(mix(s ^ U(c))) if len(s) else 0 for c in (0x1234567, 0xABCDEF987)] for s in sets], np.uint64).reshape(-1, 2)
+            names = [m.tobytes() if len(s) else None for m, s in zip(marks, sets, strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), *(pa.array(np.array(m, np.uint64).view(np.int64)) for m in marks), pa.array([row.tobytes() for row in signatures(sets).astype(">u4")], pa.binary())],
-                ["doc_id", "n_shingles", "set_a", "set_b", "signature"],
+                [batch.column(0), batch.column(1), pa.array([len(s) for s in sets], pa.int64()), pa.array(names, pa.binary()), pa.array([row.tobytes() for row in signatures(sets).astype(">u4")], pa.binary())],
+                ["doc_id", "text_hash", "n_shingles", "set", "signature"],
             )
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n_shingles long, set_a long, set_b long, signature binary")
+    rows = docs.select(F.col("doc_id").cast("long"), text_hash(), "text")
+    return rows.mapInArrow(run, "doc_id long, text_hash long, n_shingles long, set binary, signature binary")
 
 
 def grouped(batches: Iterator[pa.RecordBatch], column: int = 0) -> Iterator[pa.Table]:
@@ -92,34 +109,41 @@ def grouped(batches: Iterator[pa.RecordBatch], column: int = 0) -> Iterator[pa.T
         yield pa.Table.from_batches(held)
 
 
-def chains(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[tuple[list[int], list[int]]]:
-    """Within each region, links of members whose signatures agree enough, as a chain from a leader each."""
+def chains(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
+    """Within each region, links of rows whose signatures agree enough, to a leader each.
+
+    Batches have region, set and the signature in the tree's order, sorted by region and that order.
+    """
     for table in grouped(batches):
-        ids = table.column(1).to_numpy()
-        rows = np.frombuffer(b"".join(table.column(2).to_pylist()), ">u4").reshape(len(ids), -1)
-        if len(ids) == 2:
-            if ids[0] != ids[1] and np.mean(rows[0] == rows[1]) >= least:
-                yield [int(max(ids))], [int(min(ids))]
-            continue
-        left = np.arange(len(ids))
-        a, b = [], []
-        while len(left) > 1:
-            queue, left = [left[0]], left[1:]
-            leader = int(ids[queue[0]])
-            while queue and len(left):
-                like = np.mean(rows[left] == rows[queue.pop()], axis=1) >= least
-                reached = left[like]
-                queue.extend(reached.tolist())
-                for x in ids[reached].tolist():
-                    if x != leader:
-                        a.append(max(x, leader))
-                        b.append(min(x, leader))
-                left = left[~like]
-        if a:
-            yield a, b
-
-
-def exact_links(ids: np.ndarray, sets: list[np.ndarray], threshold: int) -> Iterator[tuple[int, int]]:
+        names = table.column(1).to_pylist()
+        rows = np.frombuffer(b"".join(table.column(2).to_pylist()), ">u4").reshape(len(names), -1)
+        near = np.mean(rows[1:] == rows[:-1], axis=1) >= least  # the neighbours in the order
+        run = np.concatenate([[0], np.cumsum(~near)])
+        found: list[tuple[bytes, bytes]] = []
+        left = np.arange(len(names))
+        while len(left):
+            first = left[0]
+            queue = left[run[left] == run[first]].tolist()
+            left = left[run[left] != run[first]]
+            for at in queue:  # grows while it is read
+                if at != first:
+                    found.append((names[at], names[first]))
+                if len(left):
+                    like = np.mean(rows[left] == rows[at], axis=1) >= least
+                    if like.any():
+                        also = np.isin(run[left], run[left[like]])
+                        queue.extend(left[also].tolist())
+                        left = left[~also]
+        if found:
+            yield links_of(found)
+
+
+def links_of(found: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
+    a, b = zip(*found, strict=True) if found else ((), ())
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
+
+
+def exact_links(sets: list[np.ndarray], threshold: int) -> Iterator[tuple[int, int]]:
     """(member, leader) of the components of sets linked by 100 * both >= threshold * either.
 
     Each member is compared once with all that aren't reached yet, by one pass over their elements.
@@ -128,10 +152,10 @@ def exact_links(ids: np.ndarray, sets: list[np.ndarray], threshold: int) -> Iter
     _, number = np.unique(values, return_inverse=True)
     sizes = np.diff(offsets)
     mark = np.zeros(int(number.max()) + 1 if len(number) else 1, bool)
-    left = np.arange(len(ids))
+    left = np.arange(len(sets))
     part, at = number, offsets[:-1]
     while len(left) > 1:
-        queue, leader = [left[0]], int(ids[left[0]])
+        queue, leader = [left[0]], int(left[0])
         left = left[1:]
         fresh = True
         while queue and len(left):
@@ -148,10 +172,25 @@ def exact_links(ids: np.ndarray, sets: list[np.ndarray], threshold: int) -> Iter
             if fresh:
                 for i in left[linked].tolist():
                     queue.append(i)
-                    yield int(ids[i]), leader
+                    yield i, leader
                 left = left[~linked]
 
 
+def cross_links(sets: list[np.ndarray], component: np.ndarray, outside: np.ndarray, threshold: int) -> Iterator[tuple[int, int]]:
+    """Links of the sets outside to sets of other components."""
+    values, offsets = flat(sets)
+    _, number = np.unique(values, return_inverse=True)
+    sizes = np.diff(offsets)
+    mark = np.zeros(int(number.max()) + 1 if len(number) else 1, bool)
+    for c in np.flatnonzero(outside).tolist():
+        own = number[offsets[c] : offsets[c + 1]]
+        mark[own] = True
+        both = np.add.reduceat(mark[number].astype(np.int64), offsets[:-1])
+        mark[own] = False
+        linked = (100 * both >= threshold * (sizes + sizes[c] - both)) & (component != component[c])
+        yield from ((c, i) for i in np.flatnonzero(linked).tolist())
+
+
 def connected(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     """(node, root) of all nodes of edges (a, b): root is the least node of the component.
 
@@ -175,74 +214,134 @@ def connected(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
         seen = got
 
 
-def components(docs: DataFrame, k: int, threshold: int, scratch: Scratch) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for each row of docs, by links of 100 * both >= threshold * either."""
-    spark = docs.sparkSession
-    least = threshold / 100 - MARGIN
-    sketches = scratch.stage(sketch(docs, k), "sketches")
-    full = sketches.filter("n_shingles > 0 and doc_id is not null")
-    classes = full.groupBy("set_a", "set_b").agg(F.min("doc_id").alias("class"))
-    members = scratch.stage(full.join(classes.select(F.col("class").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"]).select("doc_id", "signature"), "classes")
-
-    def key(depth: int, tree: F.Column) -> F.Column:
-        return F.xxhash64(tree, F.expr(f"substring(signature, tree * {4 * DEPTH} + 1, {4 * depth})"))
-
-    trees = members.select("doc_id", "signature", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"))
-    shallow = trees.select("doc_id", "tree", key(DEPTH_MIN, F.col("tree")).alias("region"))
-    counts = shallow.groupBy("region").agg(F.count("*").alias("n")).filter("n > 1")
-    crowded = shallow.join(counts, "region").select("doc_id", "tree", "region", (F.col("n") > DENSE).alias("dense"))
-    crowded = scratch.stage(crowded, "regions")
-    regions = (
-        crowded.join(members, "doc_id")
-        .select(F.when(F.col("dense"), key(DEPTH, F.col("tree"))).otherwise(F.col("region")).alias("region"), "doc_id", "signature", F.expr(f"substring(signature, tree * {4 * DEPTH} + 1, {4 * DEPTH})").alias("order"))
-        .repartition("region")
-        .sortWithinPartitions("region", "order", "doc_id")
-        .select("region", "doc_id", "signature")
-    )
-
-    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for a, b in chains(batches, least):
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
-
-    blobs = connected(regions.mapInArrow(link, "a long, b long"), scratch, "blobs")
-    blobs = blobs.unionByName(blobs.select(F.col("root").alias("node"), "root").distinct())
-    sizes = blobs.groupBy("root").agg(F.count("*").alias("n")).select("root", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    tasks = (
-        blobs.join(sizes, "root")
-        .withColumn("own", own)
-        .withColumn("other", F.explode(F.when(F.col("blocks") == 1, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("blocks") - 1))))
-        .select(F.col("node").alias("doc_id"), F.xxhash64("root", F.least("own", "other"), F.greatest("own", "other")).alias("task"))
-    )
-    tasks = scratch.stage(tasks, "tasks")
-    # the list of members grows with the input, so it isn't broadcast at any size
-    work = docs.select(F.col("doc_id").cast("long"), "text").join(tasks.hint("merge"), "doc_id").select("task", "doc_id", "text").repartition("task").sortWithinPartitions("task", "doc_id")
-
-    def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def regions(members: DataFrame, scratch: Scratch) -> DataFrame:
+    """region, set, order: the rows of each tree that share a region, with the signature in the tree's order.
+
+    members: set, signature.  Regions of over DENSE rows are divided at the next depth.
+    """
+
+    def order(tree: Column) -> Column:
+        return F.expr(f"concat(substring(signature, tree * {4 * VALUES} + 1), substring(signature, 1, tree * {4 * VALUES}))")
+
+    def counted(rows: DataFrame, depth: int) -> DataFrame:
+        own = rows.select("set", "tree", F.xxhash64("tree", F.substring(order(F.col("tree")), 1, 4 * depth)).alias("region"))
+        sizes = own.groupBy("region").agg(F.count("*").alias("n")).filter("n > 1")
+        return scratch.stage(own.join(sizes, "region"), f"depth{depth}")
+
+    level = counted(members.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1)))), DEPTHS[0])
+    found = level.filter(F.col("n") <= DENSE)
+    for depth in DEPTHS[1:]:
+        crowded = level.filter(F.col("n") > DENSE)
+        if crowded.isEmpty():
+            break
+        level = counted(crowded.drop("region", "n").join(members, "set"), depth)
+        found = found.unionByName(level.filter(F.col("n") <= DENSE))
+    return found.join(members, "set").select("region", "set", order(F.col("tree")).alias("order"))
+
+
+def confirmed(docs: DataFrame, blobs: DataFrame, k: int, threshold: int, scratch: Scratch) -> DataFrame:
+    """a, b: links that connect, in each blob, all sets that links on the full sets connect.
+
+    blobs: blob, set, doc_id and text_hash (of a row with the set), n_shingles.
+    """
+    texts = docs.select(F.col("doc_id").cast("long").alias("_doc_id"), text_hash().alias("_text_hash"), "text")
+
+    def with_texts(tasks: DataFrame, *more: str) -> DataFrame:
+        # the list of members grows with the input, so it isn't broadcast at any size
+        same = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("text_hash") == F.col("_text_hash"))
+        rows = texts.join(tasks.hint("merge"), same).select("task", "set", *more, "text").dropDuplicates(["task", "set", *more])
+        return rows.repartition("task").sortWithinPartitions("task", "set")
+
+    def blocked(members: DataFrame, round_: int) -> DataFrame:
+        sizes = members.groupBy("blob").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n_shingles") / SHINGLES)).cast("int").alias("blocks"))
+        return members.join(sizes, "blob").withColumn("block", F.pmod(F.xxhash64("set", F.lit(round_)), F.col("blocks")).cast("int"))
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in grouped(batches):
-            ids = table.column(1).to_numpy()
+            names = table.column(1).to_pylist()
             sets = [s for chunk in table.column(2).chunks for s in shingle_sets(chunk, k)]
-            found = list(exact_links(ids, sets, threshold))
-            if found:
-                a, b = zip(*found, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
-
-    linked = scratch.stage(work.mapInArrow(confirm, "a long, b long"), "links")
-    if sizes.filter("blocks > 1").isEmpty():
-        roots = linked.filter("a <> b").groupBy(F.col("a").alias("node")).agg(F.min("b").alias("root"))
-    else:
-        roots = connected(linked, scratch, "roots")
-    classed = sketches.join(classes, ["set_a", "set_b"], "left").withColumn("class", F.when(F.col("n_shingles") > 0, F.col("class")).otherwise(F.col("doc_id")))
-    component = F.coalesce("root", "class").alias("component_id")
-    out = classed.join(roots.withColumnRenamed("node", "class"), "class", "left")
-    return out.select("doc_id", "n_shingles", component).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+            yield links_of([(names[a], names[b]) for a, b in exact_links(sets, threshold)])
+
+    found, members, round_, before = None, blobs, 0, None
+    while True:
+        dealt = scratch.stage(blocked(members, round_), f"blocks{round_}")
+        tasks = dealt.withColumn("task", F.xxhash64("blob", "block"))
+        links = scratch.stage(with_texts(tasks).mapInArrow(search, _LINKS), f"links{round_}")
+        found = links if found is None else found.unionByName(links)
+        many = dealt.filter("blocks > 1")
+        if round_ == 0:
+            large = many.select("blob").distinct()
+        left = many.count()  # a number, not rows
+        if not left or (before is not None and 2 * left > before):
+            break
+        members, before, round_ = many.drop("blocks", "block").join(links.select(F.col("a").alias("set")).distinct(), "set", "left_anti"), left, round_ + 1
+    if not round_ and not left:
+        return found
+    roots = connected(found, scratch, "inner")
+    whole = blocked(blobs.join(large, "blob", "left_semi"), 0).join(roots.withColumnRenamed("node", "set"), "set", "left").withColumn("root", F.coalesce("root", "set"))
+    whole = scratch.stage(whole, "whole")
+    parts = whole.groupBy("blob", "root").agg(F.count("*").alias("n"))
+    main = parts.groupBy("blob").agg(F.max(F.struct("n", "root")).alias("main")).select("blob", F.col("main.root").alias("main"))
+    outside = whole.join(main, "blob").filter("root <> main").drop("main")
+    every = outside.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("outside", F.lit(True))
+    asked = every.select("blob", "block").distinct()
+    inside = whole.join(main, "blob").filter("root = main").drop("main").join(asked, ["blob", "block"], "left_semi").withColumn("outside", F.lit(False))
+    tasks = every.unionByName(inside.select(every.columns)).withColumn("task", F.xxhash64("blob", "block"))
+
+    def across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in grouped(batches):
+            names = table.column(1).to_pylist()
+            _, component = np.unique(np.array([r.hex() for r in table.column(2).to_pylist()]), return_inverse=True)
+            sets = [s for chunk in table.column(4).chunks for s in shingle_sets(chunk, k)]
+            yield links_of([(names[a], names[b]) for a, b in cross_links(sets, component, table.column(3).to_numpy(), threshold)])
+
+    return found.unionByName(scratch.stage(with_texts(tasks, "root", "outside").mapInArrow(across, _LINKS), "across"))
+
+
+def labelled(docs: DataFrame, k: int, threshold: int, scratch: Scratch) -> DataFrame:
+    """doc_id, text_hash, n_shingles, component_id and keeper (doc_id and text_hash of the row that stays) of each row.
+
+    Links are 100 * both >= threshold * either.  Rows with an empty set have no keeper.
+    """
+    least = threshold / 100 - MARGIN
+    sketches = scratch.stage(sketch(docs, k), "sketches")
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "text_hash")).alias("keeper")
+    classes = sketches.filter("set is not null").groupBy("set").agg(best, F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature"))
+    classes = scratch.stage(classes, "classes")
+    least_set = classes.groupBy("signature").agg(F.min("set").alias("b"), F.count("*").alias("n")).filter("n > 1").select("signature", "b")
+    alike = scratch.stage(classes.select("set", "signature").join(least_set.hint("merge"), "signature").filter("set <> b").select(F.col("set").alias("a"), "b"), "alike")
+    members = classes.select("set", "signature").join(alike.select(F.col("a").alias("set")).hint("merge"), "set", "left_anti")
+    members = scratch.stage(members, "members")
+    dealt = regions(members, scratch).repartition("region").sortWithinPartitions("region", "order", "set")
+    links = dealt.mapInArrow(lambda batches: chains(batches, least), _LINKS).unionByName(alike)
+    blobs = connected(links, scratch, "blobs")
+    blobs = blobs.unionByName(blobs.select(F.col("root").alias("node"), "root").distinct()).select(F.col("node").alias("set"), F.col("root").alias("blob"))
+    blobs = scratch.stage(blobs.join(classes.select("set", "keeper.doc_id", "keeper.text_hash", "n_shingles").hint("merge"), "set"), "blobs")
+    roots = connected(confirmed(docs, blobs, k, threshold, scratch), scratch, "roots")
+    roots = roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct()).withColumnRenamed("node", "set")
+    # few classes are linked with others, so the rest don't take part in the joins by root
+    grouped_ = scratch.stage(roots.join(classes.select("set", "keeper"), "set"), "grouped")
+    keepers = grouped_.groupBy("root").agg(F.min("keeper").alias("shared"))
+    shared = grouped_.select("set", "root").join(keepers.hint("merge"), "root").select("set", "shared")
+    final = classes.select("set", "keeper").join(shared.hint("merge"), "set", "left").select("set", F.coalesce("shared", "keeper").alias("keeper"))
+    out = sketches.select("doc_id", "text_hash", "n_shingles", "set").join(final.hint("merge"), "set", "left")
+    component = F.when(F.col("set").isNull(), F.col("doc_id")).otherwise(F.col("keeper.doc_id")).alias("component_id")
+    return out.select("doc_id", "text_hash", "n_shingles", component, "keeper")
+
+
+def components(docs: DataFrame, k: int, threshold: int, scratch: Scratch) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept for each row of docs, by links of 100 * both >= threshold * either."""
+    rows = labelled(docs, k, threshold, scratch)
+    return rows.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
 def dedup(docs: DataFrame, k: int = 5, threshold: int = 80) -> DataFrame:
-    """The rows of docs that have no near duplicate with a smaller doc_id in their component."""
-    scratch = Scratch(docs.sparkSession)
-    gone = components(docs, k, threshold, scratch).filter("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["_gone"]), "left_anti")
+    """The rows of docs but those that have a near duplicate which stays in their place."""
+    rows = labelled(docs, k, threshold, Scratch(docs.sparkSession))
+    stays = F.col("doc_id").eqNullSafe(F.col("keeper.doc_id")) & (F.col("text_hash") == F.col("keeper.text_hash"))
+    gone = rows.filter(F.col("keeper").isNotNull() & ~stays).select(F.col("doc_id").alias("_gone"), F.col("text_hash").alias("_gone_hash")).distinct()
+    same = docs["doc_id"].cast("long").eqNullSafe(gone["_gone"]) & (F.xxhash64(docs["text"]) == gone["_gone_hash"])
+    return docs.join(gone, same, "left_anti")
 
 
 def op5_near_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
