@@ -4,21 +4,27 @@ Texts and items are sequences of words (runs of letters and digits, A-Z lower-ca
 contaminated by an item if a part of it is within RATE of the item's words in edit distance.
 
 1. Seeds: of m words with k edits, m - 2 - 3k triples survive; so windows with fewer of the benchmark's
-   triples within m + k words are out, without loss.  Windows begin where a run of known triples does, and
-   at every STRIDE words of it.
+   triples within m + k words are out, without loss.  Windows begin where a run of known triples does, at
+   every STRIDE words of it, and a few words before it.
 2. CGK: a random walk reads a window of the item's size; each step copies the word at the walk's place and
    moves on or not, as a random function of step and word says.  Sequences a few edits apart fall in step
    again, so edit distance becomes Hamming distance.
 3. LSH: SAMPLE random places of the embedding make a key; windows and items of the same size that share a
-   key are candidates. The number of embeddings is set so that items with RATE random edits meet with
-   probability RECALL (measured on the items when the tables are built).
+   key are candidates.  Items are classed by size, and each class has as many embeddings as bring RECALL:
+   copies of its items with RATE random edits are planted between random words, and the share whose
+   windows, as chosen above, meet the item under one embedding is measured when the tables are built.
 4. Candidates are confirmed by the exact edit distance (Myers' bit vectors) to any part near the window.
 
-The benchmark goes to the executors in blocks of at most ITEMS items, so what is broadcast is bounded.
+Items of at most SHORT words, of which edits may leave no triple, are found without loss: as they are,
+without one word, with one word changed, or with one more between (only items of 5 words may have an edit).
 
-Edge cases: null and empty texts and items match nothing; an item with fewer than 5 words only matches
-itself word for word (k = 0), one with fewer than 3 words nothing; equal items are all reported; an empty
-benchmark leaves all clean.  ``screen`` keeps other columns (names that it adds are replaced).
+The benchmark goes to the executors in blocks of at most ITEMS items and WORDS words, one after another: of
+several blocks, each one's finds are written before the next is sent, so what is broadcast is bounded.
+
+Edge cases: null and empty texts and items without words match nothing; an item of 1 to 4 words only matches
+itself word for word; equal items are all reported, each once however often a text has it; repeated rows and
+texts of any length are judged alike, by the whole text; an empty benchmark leaves all clean.  ``screen`` keeps
+other columns (names that it adds are replaced).
 """
 
 from __future__ import annotations
@@ -26,17 +32,19 @@ from __future__ import annotations
 import math
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kinsift.llm.scratch import Scratch
 from kinsift.llm.textkit import LOWER, U, mix, slices, span_hashes, spans, text_bytes, windows
 
 RATE, RECALL = 0.2, 0.999
-SAMPLE, KEYS, STRIDE, ITEMS = 2, 8, 4, 20_000
+SAMPLE, KEYS, STRIDE, ITEMS, WORDS, SHORT = 2, 8, 4, 20_000, 2_000_000, 5
 #: Windows also begin so many words before a run of known triples, in case its first words were edited.
 BEFORE = (2, 4, 7)
 _OTHER = np.ones(256, bool)
@@ -103,21 +111,79 @@ def distance(item: np.ndarray, text: np.ndarray) -> int:
     return best
 
 
+FACTOR = 0xD6E8FEB86659FD93
+
+
+def patterned(h: np.ndarray, offsets: tuple[int, ...]) -> np.ndarray:
+    """For each place a hash of the words at these offsets from it, in order (the last places are left out)."""
+    n = max(0, len(h) - offsets[-1])
+    total, factor = np.zeros(n, U), 1
+    for o in offsets:
+        factor = factor * FACTOR % 2**64
+        total += h[o : o + n] * U(factor)
+    return mix(total + U(len(offsets)))
+
+
+class Short:
+    """Items of one size of at most SHORT words, by their own words and what one edit leaves of them."""
+
+    def __init__(self, size: int, items: list[tuple[int, np.ndarray]]):
+        every = tuple(range(size))
+        #: words of an item that must stand at these places of a text
+        self.rules: list[tuple[tuple[int, ...], tuple[int, ...]]] = [(every, every)]
+        if edits(size):
+            for i in every:  # one word less
+                self.rules.append((tuple(x for x in every if x != i), tuple(range(size - 1))))
+            for i in every[1:-1]:  # another word
+                self.rules.append((tuple(x for x in every if x != i),) * 2)
+            for i in every[1:]:  # one word more
+                self.rules.append((every, tuple(x + (x >= i) for x in every)))
+        self.tables: dict[tuple[int, ...], list[tuple[int, int]]] = defaultdict(list)
+        for own, places in self.rules:
+            for x, words in items:
+                self.tables[places].append((int(patterned(words[list(own)], tuple(range(len(own))))[0]), x))
+
+    def find(self, h: np.ndarray, of: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """Text, place and item of each place that fits."""
+        for places, entries in self.tables.items():
+            if len(h) <= places[-1]:
+                continue
+            entries = sorted(entries)
+            wanted, owner = np.array([k for k, _ in entries], U), [x for _, x in entries]
+            got = patterned(h, places)
+            lo = np.searchsorted(wanted, got)
+            for at in np.flatnonzero(wanted[np.minimum(lo, len(wanted) - 1)] == got).tolist():
+                text = int(np.searchsorted(of, at, "right")) - 1
+                if at + places[-1] < of[text + 1]:
+                    for i in range(int(lo[at]), int(np.searchsorted(wanted, got[at], "right"))):
+                        yield text, at, owner[i]
+
+
 class Screen:
     """Tables of a block of benchmark items."""
 
     def __init__(self, ids: list[int], texts: pa.Array):
         h, of = word_hashes(texts)
-        self.items = [(i, h[of[n] : of[n + 1]]) for n, i in enumerate(ids) if of[n + 1] - of[n] >= 3]
-        self.triples = np.unique(np.concatenate([windows(w, 3) for _, w in self.items])) if self.items else np.zeros(0, U)
-        self.sizes = sorted({len(w) for _, w in self.items})
-        self.embeddings = self.needed()
-        words, sizes = self._rows([w for _, w in self.items])
-        self.tables = []
-        for seed in range(self.embeddings if self.items else 0):
-            k = keys(words, sizes, seed)
-            orders = [np.argsort(k[:, j], kind="stable") for j in range(KEYS)]
-            self.tables.append([(k[o, j], o) for j, o in enumerate(orders)])
+        self.items = [(i, h[of[n] : of[n + 1]]) for n, i in enumerate(ids) if of[n + 1] > of[n]]
+        self.words = [frozenset(w.tolist()) for _, w in self.items]
+        number: dict[int, list[int]] = defaultdict(list)
+        for x, (_, w) in enumerate(self.items):
+            number[len(w)].append(x)
+        self.short = [Short(m, [(x, self.items[x][1]) for x in number[m]]) for m in sorted(number) if m <= SHORT]
+        self.sizes = np.array(sorted(m for m in number if m > SHORT), np.int64)
+        self.edits = np.array([edits(m) for m in self.sizes.tolist()], np.int64)
+        self.kind = np.array([m.bit_length() for m in self.sizes.tolist()], np.int64)  # the class of each size
+        long = [w for _, w in self.items if len(w) > SHORT]
+        self.triples = np.unique(np.concatenate([windows(w, 3) for w in long])) if long else np.zeros(0, U)
+        self.tables: dict[int, list[list[tuple[np.ndarray, np.ndarray]]]] = {}
+        for kind in sorted(set(self.kind.tolist())):
+            own = np.array([x for m in self.sizes[self.kind == kind].tolist() for x in number[m]])
+            rows, sizes = self._rows([self.items[x][1] for x in own.tolist()])
+            self.tables[kind] = []
+            for seed in range(self.needed(own.tolist())):
+                k = keys(rows, sizes, seed)
+                orders = [np.argsort(k[:, j], kind="stable") for j in range(KEYS)]
+                self.tables[kind].append([(k[o, j], own[o]) for j, o in enumerate(orders)])
 
     @staticmethod
     def _rows(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -127,32 +193,39 @@ class Screen:
             row[: len(t)] = t
         return out, sizes
 
-    def needed(self) -> int:
-        """Embeddings for RECALL, from the share of items that meet a copy with RATE random edits under one."""
+    def needed(self, own: list[int]) -> int:
+        """Embeddings for RECALL of these items, by the share of edited copies of them that one finds."""
         draw = np.random.Generator(np.random.PCG64(11))
-        pairs = []
-        for _, w in self.items[:: max(1, len(self.items) // 200)]:
-            other = w.tolist()
-            for _ in range(edits(len(w))):
-                at = int(draw.integers(0, len(other)))
-                kind = int(draw.integers(0, 3))
-                other[at : at + (kind != 1)] = [int(draw.integers(1, 2**63))] if kind else []
-            pairs.append((w, np.array((other + [int(PAD)] * len(w))[: len(w)], U)))
-        if not pairs:
-            return 1
-        (a, sizes), (b, _) = self._rows([x for x, _ in pairs]), self._rows([y for _, y in pairs])
-        met = sum(int((keys(a, sizes, s) == keys(b, sizes, s)).any(axis=1).sum()) for s in range(4))
-        n = 4 * len(pairs)
-        p = min(max(met / max(n, 1), 0.05), 0.999)
+        noise = lambda n: draw.integers(1, 2**63, n, dtype=np.uint64)
+        chosen = own[:: max(1, len(own) // 200)] * max(1, 100 // len(own))
+        texts = []
+        for x in chosen:
+            words = self.items[x][1]
+            other = words.tolist()
+            for _ in range(edits(len(words))):
+                at, change = int(draw.integers(0, len(other))), int(draw.integers(0, 3))
+                other[at : at + (change != 1)] = [int(noise(1)[0])] if change else []
+            texts.append(np.concatenate([noise(20), np.array(other, U), noise(20)]))
+        h, of = np.concatenate(texts), np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+        begin, text, size = self._windows(h, of)
+        wanted = np.array([len(self.items[x][1]) for x in chosen])
+        fits = self.sizes[size] == wanted[text]
+        begin, text = begin[fits], text[fits]
+        rows, sizes = self._rows([self.items[x][1] for x in chosen])
+        places = begin[:, None] + np.arange(rows.shape[1])
+        near = np.where(places < of[text + 1][:, None], h[np.minimum(places, len(h) - 1)], PAD)
+        met = 0
+        for seed in range(4):
+            same = (keys(near, sizes[text], seed) == keys(rows, sizes, seed)[text]).any(axis=1)
+            met += len(np.unique(text[same]))
+        p = min(max(met / (4 * len(chosen)), 0.02), 0.999)
         return max(2, math.ceil(math.log(1 - RECALL) / math.log(1 - p)))
 
-    def hits(self, column: pa.Array) -> list[list[int]]:
-        """For each text the ids of items that it has."""
-        h, of = word_hashes(column)
-        n = len(of) - 1
-        found: list[set[int]] = [set() for _ in range(n)]
-        if len(h) < 3 or not self.items:
-            return [[] for _ in found]
+    def _windows(self, h: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Where windows begin, their texts and the numbers of their sizes."""
+        none = (np.zeros(0, np.int64),) * 3
+        if len(h) < 3 or not len(self.sizes):
+            return none
         known = np.zeros(len(h), bool)
         t = windows(h, 3)
         at = np.minimum(np.searchsorted(self.triples, t), len(self.triples) - 1)
@@ -161,80 +234,119 @@ class Screen:
             inner = of[1:] - d
             known[inner[(inner >= 0) & (of[1:] > of[:-1])]] = False
         sums = np.concatenate([[0], np.cumsum(known)])
-        least = min(max(1, m - 2 - 3 * edits(m)) for m in self.sizes)
+        need = np.maximum(1, self.sizes - 2 - 3 * self.edits)
         places = np.flatnonzero(known)
         if not len(places):
-            return [[] for _ in found]
+            return none
         run = np.concatenate([[True], places[1:] != places[:-1] + 1])
         begun = places[run][np.cumsum(run) - 1]
         text_of = np.searchsorted(of, places, "right") - 1
-        chosen = ((places - begun) % STRIDE == 0) & (sums[of[text_of + 1]] - sums[places] >= least)
+        chosen = ((places - begun) % STRIDE == 0) & (sums[of[text_of + 1]] - sums[places] >= need.min())
         places, text_of, run = places[chosen], text_of[chosen], run[chosen]
         early = [(np.maximum(places[run] - d, of[text_of[run]]), text_of[run]) for d in BEFORE]
         begin, text = np.concatenate([places, *(x for x, _ in early)]), np.concatenate([text_of, *(x for _, x in early)])
-        sizes = np.array(self.sizes)
-        k = np.array([edits(m) for m in self.sizes])
-        stop = of[text + 1]
-        near = sums[np.minimum(begin[:, None] + sizes + k, stop[:, None])] - sums[begin][:, None]
-        window, size = np.nonzero(near >= np.maximum(1, sizes - 2 - 3 * k))
-        for a in range(0, len(window), 20_000):
-            self._match(h, of, begin[window[a : a + 20_000]], stop[window[a : a + 20_000]], text[window[a : a + 20_000]], sizes[size[a : a + 20_000]], found)
+        near = sums[np.minimum(begin[:, None] + self.sizes + self.edits, of[text + 1][:, None])] - sums[begin][:, None]
+        window, size = np.nonzero(near >= need)
+        return begin[window], text[window], size
+
+    def hits(self, column: pa.Array) -> list[list[int]]:
+        """For each text the ids of items that it has."""
+        h, of = word_hashes(column)
+        found: list[set[int]] = [set() for _ in range(len(of) - 1)]
+        for short in self.short:
+            for text, at, x in short.find(h, of):
+                self._confirm(h, of, at, text, x, found)
+        begin, text, size = self._windows(h, of)
+        for kind in self.tables:
+            own = np.flatnonzero(self.kind[size] == kind)
+            for a in range(0, len(own), 20_000):
+                part = own[a : a + 20_000]
+                self._match(kind, h, of, begin[part], text[part], self.sizes[size[part]], found)
         return [sorted(f) for f in found]
 
-    def _match(self, h: np.ndarray, of: np.ndarray, begin: np.ndarray, stop: np.ndarray, text: np.ndarray, sizes: np.ndarray, found: list[set[int]]) -> None:
-        """Adds the items that windows share a key with and are close to."""
+    def _match(self, kind: int, h: np.ndarray, of: np.ndarray, begin: np.ndarray, text: np.ndarray, sizes: np.ndarray, found: list[set[int]]) -> None:
+        """Adds the items of a class that windows share a key with and are close to."""
         index = begin[:, None] + np.arange(int(sizes.max()))
-        words = np.where(index < stop[:, None], h[np.minimum(index, len(h) - 1)], PAD)
+        words = np.where(index < of[text + 1][:, None], h[np.minimum(index, len(h) - 1)], PAD)
         pairs: set[tuple[int, int]] = set()
-        for seed, table in enumerate(self.tables):
+        for seed, table in enumerate(self.tables[kind]):
             own = keys(words, sizes, seed)
             for j, (sorted_keys, owners) in enumerate(table):
                 lo, hi = np.searchsorted(sorted_keys, own[:, j]), np.searchsorted(sorted_keys, own[:, j], "right")
                 for w in np.flatnonzero(hi > lo).tolist():
                     pairs.update((w, int(x)) for x in owners[lo[w] : hi[w]])
         for w, x in sorted(pairs):
-            item, item_words = self.items[x]
-            m, d = len(item_words), int(text[w])
-            if item not in found[d]:
-                a, b = max(int(of[d]), int(begin[w]) - m), min(int(stop[w]), int(begin[w]) + 2 * m + edits(m))
-                near = h[a:b]
-                # k edits leave m - k of the item's words, so fewer can't be close
-                if np.isin(item_words, near).sum() >= m - edits(m) and distance(item_words, near) <= edits(m):
-                    found[d].add(item)
+            self._confirm(h, of, int(begin[w]), int(text[w]), x, found)
+
+    def _confirm(self, h: np.ndarray, of: np.ndarray, begin: int, text: int, x: int, found: list[set[int]]) -> None:
+        """Adds item x to a text's finds, if a part near the place is close enough."""
+        item, words = self.items[x]
+        if item in found[text]:
+            return
+        m = len(words)
+        near = h[max(int(of[text]), begin - m) : min(int(of[text + 1]), begin + 2 * m + edits(m))]
+        # k edits leave m - k of the item's words, so fewer different ones can't be close
+        if len(self.words[x].intersection(near.tolist())) >= len(self.words[x]) - edits(m) and distance(words, near) <= edits(m):
+            found[text].add(item)
 
 
 def blocks(benchmark: DataFrame) -> Iterator[Screen]:
-    """Screens of the benchmark's items, ITEMS at a time in item_id order."""
+    """Screens of the benchmark's items, at most ITEMS items and about WORDS words at a time, in item_id order."""
     rows = benchmark.select(F.col("item_id").cast("long"), "text").filter("item_id is not null and text is not null").orderBy("item_id").toLocalIterator()
     ids: list[int] = []
     texts: list[str] = []
+    words = 0
     for r in rows:
         ids.append(r[0])
         texts.append(r[1])
-        if len(ids) == ITEMS:
+        words += len(r[1]) // 4 + 1
+        if len(ids) == ITEMS or words > WORDS:
             yield Screen(ids, pa.array(texts, pa.string()))
-            ids, texts = [], []
+            ids, texts, words = [], [], 0
     if ids:
         yield Screen(ids, pa.array(texts, pa.string()))
 
 
+def searched(rows: DataFrame, block: Screen, only_found: bool = False) -> DataFrame:
+    """rows with item_ids, the items of a block that each text has; a map without a shuffle."""
+    shared = rows.sparkSession.sparkContext.broadcast(block)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            found = shared.value.hits(batch.column(batch.schema.get_field_index("text")))
+            out = pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.list_(pa.int64()))], [*batch.schema.names, "item_ids"])
+            yield out.filter(pa.array([bool(f) for f in found])) if only_found else out
+
+    return rows.mapInArrow(run, T.StructType(list(rows.schema)).add("item_ids", T.ArrayType(T.LongType())))
+
+
 def screen(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """docs with item_ids array<long> (the items found) and contaminated; a map per block, no shuffle."""
-    out = docs.drop("item_ids", "contaminated")
-    out = out.withColumn("item_ids", F.array().cast("array<long>"))
-    for block in blocks(benchmark):
-        shared = docs.sparkSession.sparkContext.broadcast(block)
-
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            for batch in slices(batches):
-                found = shared.value.hits(batch.column(batch.schema.get_field_index("text")))
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.list_(pa.int64()))], [*batch.schema.names, "_ids"])
-
-        schema = T.StructType(list(out.schema)).add("_ids", T.ArrayType(T.LongType()))
-        out = out.mapInArrow(run, schema).withColumn("item_ids", F.concat("item_ids", "_ids")).drop("_ids")
+    """docs with item_ids array<long> (the items found) and contaminated."""
+    docs = docs.drop("item_ids", "contaminated")
+    none = F.array().cast("array<long>")
+    several = blocks(benchmark)
+    first, second = next(several, None), next(several, None)
+    if first is None:
+        out = docs.withColumn("item_ids", none)
+    elif second is None:
+        out = searched(docs, first)
+    else:
+        scratch, found = Scratch(docs.sparkSession), None
+        texts = docs.select(*_text_keys(), "text")
+        for k, block in enumerate(chain((first, second), several)):
+            part = scratch.stage(searched(texts, block, only_found=True).drop("text"), f"found{k}")
+            found = part if found is None else found.unionByName(part)
+        found = found.select(F.col("_a").alias("_b_a"), F.col("_b").alias("_b_b"), F.explode("item_ids").alias("item")).groupBy("_b_a", "_b_b").agg(F.array_sort(F.collect_set("item")).alias("item_ids"))
+        a, b = _text_keys()
+        out = docs.join(found.hint("merge"), (a == F.col("_b_a")) & (b == F.col("_b_b")), "left").drop("_b_a", "_b_b").withColumn("item_ids", F.coalesce("item_ids", none))
     return out.withColumn("contaminated", F.size("item_ids") > 0)
 
 
+def _text_keys() -> tuple[Column, Column]:
+    """128 bits that stand for a text."""
+    return F.xxhash64("text").alias("_a"), F.xxhash64("text", F.lit(7)).alias("_b")
+
+
 def op6_edit_screen(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents: contaminated, how many items, and which."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
