@@ -6,11 +6,13 @@ A response record holds a page's HTTP response.  From each one two records are d
 carry digests of their own; ids are uuid5 of what they stand for, so a task that runs again writes the same.
 
 Text: comments, scripts, styles, templates and the title are left out, block tags end a line, entities are
-resolved, white space is collapsed, and empty lines are dropped.
+resolved, white space is collapsed, and empty lines are dropped.  A page is read in one pass from left to
+right, in time linear in its length whatever it holds.
 
 Edge cases: a null html is an empty payload and a null url a record without a target; pages with equal
-page_id, url and html have equal records (each row its own); unclosed comments and tags run to the end;
-bytes that aren't UTF-8 can't occur in a string column and are replaced when records are read from files;
+page_id, url and html have equal records (each row its own); unclosed comments, tags and hidden elements run
+to the end; quotes count after "=" only, and an unclosed one is an ordinary character; a record's fields may
+repeat, in any case and with or without a space after the colon, and the first counts; bytes that aren't UTF-8 can't occur in a string column and are replaced when records are read from files;
 an empty table gives an empty result; further columns are not looked at.
 """
 
@@ -23,6 +25,7 @@ import html
 import re
 import uuid
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -31,19 +34,87 @@ from pyspark.sql import functions as F
 from kinsift.llm.textkit import slices
 
 DATE = "2024-01-01T00:00:00Z"
-_HIDDEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|template|noscript|title)\b[^>]*>.*?(?:</\1\s*>|\Z)", re.S | re.I)
-_BLOCK = re.compile(r"</?(?:p|div|br|li|ul|ol|dl|dt|dd|h[1-6]|tr|td|th|table|section|article|header|footer|nav|main|aside|blockquote|pre|hr|figure|form|body|head|html)(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>", re.I)
-_TAG = re.compile(r"<[!/?a-z](?:[^>\"']|\"[^\"]*\"|'[^']*')*+(?:>|\Z)", re.I)
-_TITLE = re.compile(r"<title\b[^>]*>(.*?)</title\s*>", re.S | re.I)
-_LANG = re.compile(r"<html\b[^>]*?\blang\s*=\s*[\"']?([\w-]+)", re.I)
-_LINK = re.compile(r"<a\b[^>]*?\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)')", re.I)
-
-
-def text_of(page: str) -> str:
-    """A page's text."""
-    plain = html.unescape(_TAG.sub("", _BLOCK.sub("\n", _HIDDEN.sub("", page))))
-    lines = (" ".join(line.split()) for line in plain.split("\n"))
-    return "\n".join(line for line in lines if line)
+# Elements whose content is no text, and those that end a line.
+HIDDEN = ("script", "style", "template", "noscript", "title")
+BLOCKS = frozenset(
+    ("p", "div", "br", "li", "ul", "ol", "dl", "dt", "dd", "h1", "h2", "h3", "h4", "h5", "h6", "tr", "td", "th", "table", "section", "article", "header", "footer", "nav", "main", "aside", "blockquote")
+    + ("pre", "hr", "figure", "form", "body", "head", "html")
+)
+_NAME = re.compile(r"[a-z][a-z0-9:-]*", re.I)
+_MARK = re.compile(r">|=\s*+([\"'])")
+_CLOSE = {name: re.compile(rf"</{name}(?=[\s/>])", re.I) for name in HIDDEN}
+_ATTRIBUTE = re.compile(r"(?<![^\s\"'/])([^\s=\"'<>/]++)\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>]++))")
+
+
+@dataclass
+class Page:
+    text: str
+    title: str | None
+    language: str | None
+    links: list[str]
+
+
+def read_page(page: str) -> Page:
+    """Text, title, language and links of a page."""
+    out, links = [], []
+    title = language = None
+    unclosed: set[str] = set()  # quotes that don't occur any more
+    at, n = 0, len(page)
+    while at < n:
+        begin = page.find("<", at)
+        if begin < 0:
+            out.append(page[at:])
+            break
+        out.append(page[at:begin])
+        if page.startswith("<!--", begin):
+            end = page.find("-->", begin + 4)
+            at = n if end < 0 else end + 3
+            continue
+        closing = page.startswith("/", begin + 1)
+        name = _NAME.match(page, begin + 1 + closing)
+        if name is None and not closing and not page.startswith(("!", "?"), begin + 1):
+            out.append("<")  # no tag
+            at = begin + 1
+            continue
+        at = name.end() if name else begin + 2
+        while True:
+            mark = _MARK.search(page, at)
+            if mark is None:
+                at = end = n
+                break
+            at, quote = mark.end(), mark[1]
+            if quote is None:
+                end = at - 1
+                break
+            if quote not in unclosed:
+                close = page.find(quote, at)
+                if close < 0:
+                    unclosed.add(quote)
+                else:
+                    at = close + 1
+        if name is None:
+            continue
+        tag = name[0].lower()
+        if tag in BLOCKS:
+            out.append("\n")
+        if closing:
+            continue
+        if tag == "a" or (tag == "html" and language is None):
+            for key, *values in _ATTRIBUTE.findall(page, name.end(), end):
+                value = html.unescape("".join(values))
+                if tag == "a" and key.lower() == "href":
+                    links.append(value)
+                    break
+                if tag == "html" and key.lower() == "lang" and value:
+                    language = value
+                    break
+        if tag in HIDDEN:
+            close = _CLOSE[tag].search(page, at)
+            inner, at = page[at : close.start() if close else n], close.start() if close else n
+            if tag == "title" and title is None and close:
+                title = " ".join(html.unescape(inner).split())
+    lines = (" ".join(line.split()) for line in html.unescape("".join(out)).split("\n"))
+    return Page("\n".join(line for line in lines if line), title, language, links)
 
 
 def digest(data: bytes) -> str:
@@ -65,14 +136,37 @@ def clean(value: str) -> str:
     return re.sub(r"[\r\n]+", " ", value)
 
 
-def parse(data: bytes, at: int = 0) -> tuple[dict[str, str], bytes, int]:
+class Fields(list):
+    """Header fields in their order, as (name, value); a name may repeat."""
+
+    @classmethod
+    def of(cls, head: bytes) -> Fields:
+        """Of a record's lines up to the empty one."""
+        lines = head.decode(errors="replace").rstrip("\r\n").split("\r\n")
+        if not lines[0].startswith("WARC/"):
+            raise ValueError("no WARC record")
+        fields = cls()
+        for line in lines[1:]:
+            if line[:1] in (" ", "\t") and fields:  # goes on with the line before
+                fields[-1] = (fields[-1][0], f"{fields[-1][1]} {line.strip()}")
+            else:
+                name, _, value = line.partition(":")
+                fields.append((name.strip(), value.strip()))
+        return fields
+
+    def get(self, name: str) -> str | None:
+        """The first value of a name."""
+        return next((v for k, v in self if k.lower() == name.lower()), None)
+
+    def length(self) -> int:
+        return int(self.get("Content-Length") or 0)
+
+
+def parse(data: bytes, at: int = 0) -> tuple[Fields, bytes, int]:
     """Fields, block and end of the record at a place."""
     end = data.index(b"\r\n\r\n", at)
-    lines = data[at:end].decode(errors="replace").split("\r\n")
-    if not lines[0].startswith("WARC/"):
-        raise ValueError(f"no record at {at}")
-    fields = dict(line.split(": ", 1) if ": " in line else (line.rstrip(":"), "") for line in lines[1:])
-    start, size = end + 4, int(fields["Content-Length"])
+    fields = Fields.of(data[at:end])
+    start, size = end + 4, fields.length()
     return fields, data[start : start + size], start + size + 4
 
 
@@ -90,20 +184,19 @@ def derive(source: bytes) -> list[bytes]:
     fields, block, _ = parse(source)
     head, _, payload = block.partition(b"\r\n\r\n")
     page = payload.decode(errors="replace")
-    own = fields["WARC-Record-ID"]
-    links = [html.unescape(a or b) for a, b in _LINK.findall(page)]
-    title, lang = _TITLE.search(page), _LANG.search(page)
-    linked = [("WARC-Refers-To", own), *((f"WARC-Refers-To-{k}", fields[f"WARC-{k}"]) for k in ("Target-URI", "Date") if f"WARC-{k}" in fields)]
-    target = [("WARC-Target-URI", fields["WARC-Target-URI"])] if "WARC-Target-URI" in fields else []
-    notes = [("source-block-digest", fields.get("WARC-Block-Digest", "")), ("source-payload-digest", fields.get("WARC-Payload-Digest", ""))]
+    own, uri = fields.get("WARC-Record-ID") or "", fields.get("WARC-Target-URI")
+    found = read_page(page)
+    linked = [("WARC-Refers-To", own), *((f"WARC-Refers-To-{k}", v) for k in ("Target-URI", "Date") if (v := fields.get(f"WARC-{k}")) is not None)]
+    target = [("WARC-Target-URI", uri)] if uri is not None else []
+    notes = [("source-block-digest", fields.get("WARC-Block-Digest") or ""), ("source-payload-digest", fields.get("WARC-Payload-Digest") or "")]
     notes += [("http-status", head.split(b"\r\n")[0].decode(errors="replace"))] + [("http-header", x.decode(errors="replace")) for x in head.split(b"\r\n")[1:]]
-    if title:
-        notes.append(("title", " ".join(html.unescape(title[1]).split())))
-    if lang:
-        notes.append(("language", lang[1]))
-    notes += [("outlink", f"{x} L a/@href") for x in links]
+    if found.title is not None:
+        notes.append(("title", found.title))
+    if found.language is not None:
+        notes.append(("language", found.language))
+    notes += [("outlink", f"{x} L a/@href") for x in found.links]
     body = "".join(f"{k}: {clean(v)}\r\n" for k, v in notes).encode()
-    text = text_of(page).encode()
+    text = found.text.encode()
     return [
         record([("WARC-Type", "metadata"), ("WARC-Record-ID", record_id("metadata", own)), *target, ("WARC-Date", DATE), *linked, ("Content-Type", "application/warc-fields")], body),
         record([("WARC-Type", "conversion"), ("WARC-Record-ID", record_id("conversion", own)), *target, ("WARC-Date", DATE), *linked, ("Content-Type", "text/plain; charset=utf-8"), ("WARC-Payload-Digest", digest(text))], text),
@@ -116,8 +209,8 @@ SCHEMA = "page_id long, record_type string, record_id string, refers_to string,
 
 def row(page_id: int | None, data: bytes) -> tuple:
     f, block, _ = parse(data)
-    content = None if f["WARC-Type"] == "response" else block.decode(errors="replace")
-    return page_id, f["WARC-Type"], f["WARC-Record-ID"], f.get("WARC-Refers-To"), f.get("WARC-Target-URI"), f.get("Content-Type"), len(block), f.get("WARC-Block-Digest"), f.get("WARC-Payload-Digest"), content, data
+    content = None if f.get("WARC-Type") == "response" else block.decode(errors="replace")
+    return page_id, f.get("WARC-Type"), f.get("WARC-Record-ID"), f.get("WARC-Refers-To"), f.get("WARC-Target-URI"), f.get("Content-Type"), len(block), f.get("WARC-Block-Digest"), f.get("WARC-Payload-Digest"), content, data
 
 
 def rows(found: list[tuple]) -> pa.RecordBatch:
@@ -177,7 +270,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
                 with system.open_input_stream(f"{folder}/{name}", compression=None) as f, gzip.open(f) as unpacked:
                     found, size = [], 0
                     while head := read_head(unpacked):
-                        data = head + unpacked.read(int(re.search(rb"Content-Length: (\d+)", head)[1]) + 4)
+                        data = head + unpacked.read(Fields.of(head).length() + 4)
                         found.append(row(None, data))
                         size += len(data)
                         if size > 4 << 20:
