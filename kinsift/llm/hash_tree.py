@@ -86,13 +86,14 @@ def write_shards(docs: DataFrame, tree: HashTree, path: str) -> None:
     assign(docs, tree).write.mode("overwrite").partitionBy("shard").parquet(path)
 
 
-def slots(rows: DataFrame, group: str, order: list[str], buckets: int) -> DataFrame:
-    """rows with slot, gapless from 0 in each group, in order of hashed buckets and then of `order`.
+def slots(rows: DataFrame, group: str, order: list[str]) -> DataFrame:
+    """rows with slot, gapless from 0 in each group, in order of 4096 buckets (of the first of `order`) and then of `order`.
 
     Groups are numbered bucket by bucket: counts per (group, bucket) give where a bucket starts, so no
     group meets in one task.  Equal rows are counted first and expanded last, so repeats don't either.
     """
-    counted = rows.groupBy(*rows.columns).agg(F.count("*").alias("_n")).withColumn("_bucket", F.pmod(F.xxhash64(*order), F.lit(buckets)))
+    bucket = F.substring(F.md5(F.coalesce(F.col(order[0]).cast("string"), F.lit("null")).cast("binary")), 1, 3)
+    counted = rows.groupBy(*rows.columns).agg(F.count("*").alias("_n")).withColumn("_bucket", bucket)
     sizes = counted.groupBy(group, "_bucket").agg(F.sum("_n").alias("_size"))
     starts = sizes.select(group, "_bucket", (F.sum("_size").over(Window.partitionBy(group).orderBy("_bucket")) - F.col("_size")).alias("_start"))
     inside = Window.partitionBy(group, "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -115,6 +116,5 @@ def op4_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
         tree.grown().shard_of(F.col("doc_id")).alias("grown_shard"),
     )
     staged = Scratch(spark).stage(rows, "shards")
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    out = slots(staged, "shard", ["doc_id", "text_crc32", "size"], buckets)
+    out = slots(staged, "shard", ["doc_id", "text_crc32", "size"])
     return out.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")

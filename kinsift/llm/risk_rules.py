@@ -151,7 +151,7 @@ def choose_cutoffs(labelled: DataFrame, scratch: Scratch, alpha: float = ALPHA,
 
 
 def stratum() -> Column:
-    return F.coalesce(F.col("lang"), F.lit("")).alias("stratum")
+    return F.col("lang").alias("stratum")
 
 
 def judged(docs: DataFrame, labels: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
@@ -169,8 +169,8 @@ def decide(rows: DataFrame, cutoffs: DataFrame) -> DataFrame:
     rejected = F.lit(False)
     for r in RATIOS:
         rejected = rejected | F.coalesce(F.col(r) >= F.col(f"{r}_cutoff"), F.lit(False))
-    joined = rows.join(cutoffs, "stratum", "left")
-    return joined.withColumn("kept", ~F.col("base_failed") & ~rejected).drop("stratum", *(f"{r}_cutoff" for r in RATIOS))
+    joined = rows.join(cutoffs.withColumnRenamed("stratum", "_stratum"), F.col("stratum").eqNullSafe(F.col("_stratum")), "left")
+    return joined.withColumn("kept", ~F.col("base_failed") & ~rejected).drop("stratum", "_stratum", *(f"{r}_cutoff" for r in RATIOS))
 
 
 def verdicts(docs: DataFrame, labels: DataFrame) -> DataFrame:
