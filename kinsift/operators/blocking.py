@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+from typing import Protocol
+
 import numpy as np
 import pandas as pd
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kinsift import schema
 from kinsift.functions import text
 
 KEYS = ("country", "s1_id", "cand_id")
+PRIME = 2**31 - 1
 
 
 class PairBudgetExceeded(RuntimeError):
@@ -60,28 +63,50 @@ def address_blocking(s1: DataFrame, pool: DataFrame, most: float = schema.TOKEN_
 def jaccard_join(s1: DataFrame, pool: DataFrame, column: str = "name_no_accent", least: float = schema.LSH_THRESHOLD, n: int = schema.SHINGLE) -> DataFrame:
     """Pairs whose sets of character shingles have a Jaccard similarity of `least` or more, exactly, with score.
 
-    Sets are compared once for each distinct pair of names; names are joined back last.
+    Sets are compared once for each distinct pair of names; names are joined back last.  Of m shingles, ordered
+    from the rarest of the country on, similar sets share one of the first m - ceil(least * m) + 1, and their
+    sizes differ by a factor of `least` at most; only such pairs are compared as sets.
     """
     left, right = sides(s1, pool, column)
     left, right = (d.withColumn("value", F.coalesce("value", F.lit(""))) for d in (left, right))
     names = [d.select("country", "value").distinct().withColumn("grams", text.shingles(F.col("value"), n)).withColumn("n", F.size("grams")) for d in (left, right)]
-    a, b = (d.select("country", F.col("value").alias(v), F.col("n").alias(c), F.explode("grams").alias("gram")) for d, v, c in zip(names, ("v1", "v2"), ("n1", "n2"), strict=True))
-    both = a.join(b, ["country", "gram"]).groupBy("country", "v1", "v2", "n1", "n2").agg(F.count("*").alias("both"))
-    score = F.col("both") / (F.col("n1") + F.col("n2") - F.col("both"))
-    near = both.withColumn("score", score).filter(F.col("score") >= least).select("country", "v1", "v2", "score")
+    grams = [d.select("country", "value", "n", F.explode("grams").alias("gram")) for d in names]
+    counts = grams[0].unionByName(grams[1]).groupBy("country", "gram").agg(F.count("*").alias("times"))
+    order = Window.partitionBy("country", "value").orderBy("times", "gram")
+    first = F.row_number().over(order) <= F.col("n") - F.ceil(F.col("n") * least - 1e-9) + 1
+    a, b = (g.join(counts, ["country", "gram"]).withColumn("_first", first).filter("_first").select("country", "gram", F.col("value").alias(v), F.col("n").alias(c)) for g, v, c in zip(grams, ("v1", "v2"), ("n1", "n2"), strict=True))
+    sized = (F.col("n1") >= F.col("n2") * least - 1e-9) & (F.col("n2") >= F.col("n1") * least - 1e-9)
+    pairs = a.join(b, ["country", "gram"]).filter(sized).select("country", "v1", "v2").distinct()
+    one, two = (d.select("country", F.col("value").alias(v), F.col("grams").alias(g)) for d, v, g in zip(names, ("v1", "v2"), ("g1", "g2"), strict=True))
+    both = F.size(F.array_intersect("g1", "g2"))
+    score = both / (F.size("g1") + F.size("g2") - both)
+    near = pairs.join(one, ["country", "v1"]).join(two, ["country", "v2"]).withColumn("score", score).filter(F.col("score") >= least).select("country", "v1", "v2", "score")
     out = left.select("country", F.col("id").alias("s1_id"), F.col("value").alias("v1")).join(near, ["country", "v1"]).join(right.select("country", F.col("id").alias("cand_id"), F.col("value").alias("v2")), ["country", "v2"])
     return out.select(*KEYS, "score").distinct()
 
 
-def minhash_signature(grams, n: int = schema.NUM_PERM):
-    """n MinHash values of an array of shingles, by seeded 64-bit hashes."""
-    return F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.array_min(F.transform(grams, lambda g: F.xxhash64(g, i))))
+def permutations(n: int) -> list[tuple[int, int]]:
+    """n pairs (a, b) of the hash functions x -> (a * x + b) mod PRIME, by a rule of their own."""
+    out, x = [], 1
+    for _ in range(2 * n):
+        x = x * 48271 % PRIME
+        out.append(x)
+    return list(zip(out[::2], out[1::2], strict=True))
+
+
+def minhash_signature(grams: Column, n: int = schema.NUM_PERM) -> Column:
+    """n MinHash values of an array of shingles; a shingle's number is the first 28 bits of its MD5."""
+    numbers = F.transform(grams, lambda g: F.conv(F.substring(F.md5(g.cast("binary")), 1, 7), 16, 10).cast("long"))
+    pairs = F.array(*[F.struct(F.lit(a).cast("long").alias("a"), F.lit(b).cast("long").alias("b")) for a, b in permutations(n)])
+    # bound as one element, so that the numbers are made once
+    return F.flatten(F.transform(F.array(numbers), lambda own: F.transform(pairs, lambda p: F.array_min(F.transform(own, lambda x: (p["a"] * x + p["b"]) % PRIME)))))
 
 
-def minhash_blocking(s1: DataFrame, pool: DataFrame, column: str = "name_no_accent", bands: int = schema.BANDS, rows: int = schema.ROWS, parity: bool = True) -> DataFrame:
+def minhash_blocking(s1: DataFrame, pool: DataFrame, column: str = "name_no_accent", bands: int = schema.BANDS, rows: int = schema.ROWS, parity: bool = True, budget: int | None = None) -> DataFrame:
     """Pairs whose MinHash signatures agree in a band; not verified further.
 
     Signatures are made once per distinct name. parity=False leaves out empty names, which all collide.
+    budget: the most pairs, counted before the join (see join_on_keys).
     """
     keyed = []
     for side in sides(s1, pool, column):
@@ -89,9 +114,27 @@ def minhash_blocking(s1: DataFrame, pool: DataFrame, column: str = "name_no_acce
         if not parity:
             side = side.filter("value <> ''")
         names = side.select("value").distinct().withColumn("sig", minhash_signature(text.shingles(F.col("value")), bands * rows))
-        banded = names.select("value", F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda i: F.xxhash64(i, F.slice("sig", i * rows + 1, rows)))).alias("band", "bucket"))
+        banded = names.select("value", F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda i: F.array_join(F.slice("sig", i * rows + 1, rows).cast("array<string>"), ","))).alias("band", "bucket"))
         keyed.append(side.join(banded, "value").select("country", "id", "band", "bucket"))
-    return join_on_keys(keyed[0], keyed[1], ["country", "band", "bucket"])
+    return join_on_keys(keyed[0], keyed[1], ["country", "band", "bucket"], budget)
+
+
+def most_frequent(vocabulary: DataFrame, features: int) -> DataFrame:
+    """The grams (country, gram, df, times) of each country with the most `times`, ties by gram; at most so many.
+
+    No task ranks a country's whole vocabulary: a histogram of `times` tells which are in, and only grams of the
+    count at the border are ranked, within those of the same first two characters.
+    """
+    by_times = vocabulary.groupBy("country", "times").agg(F.count("*").alias("_n"))
+    above = F.sum("_n").over(Window.partitionBy("country").orderBy(F.desc("times"))) - F.col("_n")
+    by_times = by_times.withColumn("_room", features - above).filter("_room > 0").select("country", "times", "_n", "_room")
+    placed = vocabulary.join(by_times, ["country", "times"])
+    whole, border = placed.filter("_n <= _room"), placed.filter("_n > _room").withColumn("_start", F.substring("gram", 1, 2))
+    starts = border.groupBy("country", "_start").agg(F.count("*").alias("_k"))
+    starts = starts.withColumn("_before", F.sum("_k").over(Window.partitionBy("country").orderBy("_start")) - F.col("_k"))
+    inside = F.row_number().over(Window.partitionBy("country", "_start").orderBy("gram"))
+    some = border.join(starts, ["country", "_start"]).withColumn("_rank", F.col("_before") + inside).filter("_rank <= _room")
+    return whole.select(*vocabulary.columns).unionByName(some.select(*vocabulary.columns))
 
 
 def tfidf_weights(s1: DataFrame, pool: DataFrame, column: str, grams: tuple[int, int] = schema.TFIDF_GRAMS, features: int = schema.TFIDF_FEATURES) -> DataFrame:
@@ -101,8 +144,7 @@ def tfidf_weights(s1: DataFrame, pool: DataFrame, column: str, grams: tuple[int,
     counts = names.select("country", "value", F.explode(text.char_grams(F.col("value"), *grams)).alias("gram")).groupBy("country", "value", "gram").agg(F.count("*").alias("tf"))
     total = names.groupBy("country").agg(F.count("*").alias("n"))
     vocabulary = counts.groupBy("country", "gram").agg(F.count("*").alias("df"), F.sum("tf").alias("times"))
-    top = Window.partitionBy("country").orderBy(F.desc("times"), "gram")
-    vocabulary = vocabulary.withColumn("rank", F.row_number().over(top)).filter(F.col("rank") <= features).join(total, "country")
+    vocabulary = most_frequent(vocabulary, features).join(total, "country")
     idf = F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1
     raw = counts.join(vocabulary.select("country", "gram", idf.alias("idf")), ["country", "gram"]).withColumn("x", (1 + F.log("tf")) * F.col("idf"))
     norms = raw.groupBy("country", "value").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"))
@@ -127,44 +169,64 @@ def top_k(pairs: DataFrame, k: int) -> DataFrame:
     return pairs.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).drop("rank")
 
 
-def cosine_top_k(queries: DataFrame, pool: DataFrame, k: int = schema.EMBEDDING_TOP, over: float | None = schema.EMBEDDING_OVER, block: int = 4096) -> DataFrame:
-    """(q_id, cand_id, score): for each query the exact k best pool vectors by cosine, if over the bound (strictly).
+def cosine_top_k(queries: DataFrame, pool: DataFrame, k: int = schema.EMBEDDING_TOP, over: float | None = schema.EMBEDDING_OVER, block: int = 4096, by: str | None = None) -> DataFrame:
+    """([by,] q_id, cand_id, score): for each query the exact k best pool vectors by cosine, if over the bound (strictly).
 
-    Both sides have (id, vector). Both are dealt into blocks; each task multiplies a block of queries by
-    a block of the pool, keeps k a query, and a window keeps k of those: nothing is collected or broadcast.
+    Both sides have (id, vector) and, with `by`, a column that must be equal.  The pool is dealt into blocks;
+    each task multiplies a block of queries by a block of the pool with the same `by`, keeps k a query, and a
+    window keeps k of those: nothing is collected or broadcast.  The number of blocks comes from one count a
+    side, so the vectors of a side are sent once for each block of the other, as exact search needs.
     """
-    sized = [(d, max(1, -(-d.count() // block))) for d in (queries, pool)]
-    (q, nq), (p, np_) = sized
-    left = q.select(F.pmod(F.xxhash64("id"), F.lit(nq).cast("long")).alias("qb"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(np_ - 1).cast("long"))).alias("pb"), F.lit(0).alias("side"), "id", "vector")
-    right = p.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(nq - 1).cast("long"))).alias("qb"), F.pmod(F.xxhash64("id"), F.lit(np_).cast("long")).alias("pb"), F.lit(1).alias("side"), "id", "vector")
+    own = [by] if by else []
+
+    def dealt(d: DataFrame, name: str) -> DataFrame:
+        """d with the blocks of its `by` and the own one."""
+        sizes = d.groupBy(*own).agg(F.ceil(F.count("*") / block).alias(f"n_{name}"))
+        with_sizes = d.join(sizes.hint("merge"), own) if own else d.crossJoin(F.broadcast(sizes))  # one row, or one a value of `by`
+        return with_sizes.withColumn(name, F.pmod(F.xxhash64("id"), F.col(f"n_{name}")))
+
+    q, p = dealt(queries, "qb"), dealt(pool, "pb")
+    # blocks of the other side: a pool without rows of a query's `by` has none
+    q_sizes, p_sizes = q.select(*own, "n_qb").distinct(), p.select(*own, "n_pb").distinct()
+    meet = lambda d, sizes: d.join(sizes.hint("merge"), own) if own else d.crossJoin(F.broadcast(sizes))  # noqa: E731  # the latter one row
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    left = meet(q, p_sizes).select(*own, "qb", every("n_pb").alias("pb"), F.lit(0).alias("side"), "id", "vector")
+    right = meet(p, q_sizes).select(*own, every("n_qb").alias("qb"), "pb", F.lit(1).alias("side"), "id", "vector")
+    label = (lambda rows: rows[by].iloc[0]) if by else (lambda rows: None)
 
     def best(rows: pd.DataFrame) -> pd.DataFrame:
-        a, b = rows[rows.side == 0], rows[rows.side == 1]
+        a, b = rows[rows.side == 0], rows[rows.side == 1].sort_values("id")
         if not len(a) or not len(b):
-            return pd.DataFrame({"q_id": [], "cand_id": [], "score": []})
+            return pd.DataFrame({c: [] for c in [*own, "q_id", "cand_id", "score"]})
         x, y = (np.stack(d.vector.to_list()).astype(np.float64) for d in (a, b))
         x, y = (v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-30) for v in (x, y))
-        scores, ids = np.round(x @ y.T, 6), b.id.to_numpy()
-        out = []
-        for q_id, row in zip(a.id, scores, strict=True):
-            order = np.lexsort((ids, -row))[:k]
-            order = order if over is None else order[row[order] > over]
-            out.append(pd.DataFrame({"q_id": q_id, "cand_id": ids[order], "score": row[order]}))
-        return pd.concat(out)
-
-    kind = dict(queries.dtypes)["id"]
-    found = left.unionByName(right).groupBy("qb", "pb").applyInPandas(best, f"q_id {kind}, cand_id {kind}, score double")
-    order = Window.partitionBy("q_id").orderBy(F.desc("score"), "cand_id")
+        scores = np.round(x @ y.T, 6)
+        # the k-th best score of each query; ties at it are kept, and the window decides among them by id
+        least = -np.partition(-scores, min(k, scores.shape[1]) - 1, axis=1)[:, [min(k, scores.shape[1]) - 1]]
+        row, col = np.nonzero((scores >= least) & (scores > over if over is not None else True))
+        tied = scores[row, col] == least[row, 0]
+        rank = np.cumsum(tied) - np.concatenate([[0], np.cumsum(np.bincount(row, tied, len(a)))])[row]
+        room = k - np.bincount(row, ~tied, len(a))
+        fine = ~tied | (rank <= room[row])  # columns are in order of id
+        row, col = row[fine], col[fine]
+        out = pd.DataFrame({"q_id": a.id.to_numpy()[row], "cand_id": b.id.to_numpy()[col], "score": scores[row, col]})
+        if by:
+            out.insert(0, by, label(rows))
+        return out
+
+    kinds = dict(queries.dtypes)
+    schema_ = "".join(f"{by} {kinds[by]}, " for _ in own) + f"q_id {kinds['id']}, cand_id {dict(pool.dtypes)['id']}, score double"
+    found = left.unionByName(right).groupBy(*own, "qb", "pb").applyInPandas(best, schema_)
+    order = Window.partitionBy(*own, "q_id").orderBy(F.desc("score"), "cand_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).drop("rank")
 
 
 def embedding_blocking(s1: DataFrame, pool: DataFrame, encode, column: str = "name_clean", k: int = schema.EMBEDDING_TOP, over: float = schema.EMBEDDING_OVER) -> DataFrame:
-    """Pairs of s1 with pool records of other scripts by cosine of embeddings; encode: Column -> array column."""
-    other = pool.filter("has_non_latin")
-    vectors = [text.map_distinct(d.select(F.col(schema.ID).alias("id"), F.col(schema.COUNTRY).alias("country"), F.coalesce(column, F.lit("")).alias("value")), "value", encode, "vector") for d in (s1, other)]
-    found = cosine_top_k(vectors[0].select("id", "vector"), vectors[1].select("id", "vector"), k, over)
-    country = vectors[0].select(F.col("id").alias("q_id"), "country")
-    return found.join(country, "q_id").select("country", F.col("q_id").alias("s1_id"), "cand_id", "score")
+    """Pairs of s1 with pool records of its country in other scripts, by cosine of embeddings; encode: Column -> array column."""
+    sides_ = (s1, pool.filter("has_non_latin"))
+    rows = [d.filter(F.col(schema.COUNTRY).isNotNull()).select(F.col(schema.ID).alias("id"), F.col(schema.COUNTRY).alias("country"), F.coalesce(column, F.lit("")).alias("value")) for d in sides_]
+    vectors = [text.map_distinct(d, "value", encode, "vector").select("id", "country", "vector") for d in rows]
+    return cosine_top_k(*vectors, k, over, by="country").select("country", F.col("q_id").alias("s1_id"), "cand_id", "score")
 
 
 def merge_candidates(strategies: list[DataFrame], entities: DataFrame | None = None, most: int = schema.CANDIDATES, by_score: bool = False) -> DataFrame:
@@ -185,9 +247,19 @@ def merge_candidates(strategies: list[DataFrame], entities: DataFrame | None = N
     return entities.select("s1_id").distinct().join(lists, "s1_id", "left").withColumn("ids", F.coalesce("ids", F.array().cast("array<string>")))
 
 
-def run_blocking(s1: DataFrame, pool: DataFrame, encode=None, most: int = schema.CANDIDATES) -> tuple[dict[str, DataFrame], DataFrame]:
+class Strategy(Protocol):
+    """A way to find candidates: both sides in, (country, s1_id, cand_id[, score]) out."""
+
+    def __call__(self, s1: DataFrame, pool: DataFrame) -> DataFrame: ...
+
+
+#: Strategies that run_blocking uses unless it is given others; own ones may be added.
+STRATEGIES: dict[str, Strategy] = {"minhash": minhash_blocking, "tfidf": tfidf_blocking, "token": token_blocking}
+
+
+def run_blocking(s1: DataFrame, pool: DataFrame, encode=None, most: int = schema.CANDIDATES, strategies: dict[str, Strategy] | None = None) -> tuple[dict[str, DataFrame], DataFrame]:
     """All strategies over all countries in one plan each, and their merged lists; s1 may be restricted, the pool is whole."""
-    found = {"minhash": minhash_blocking(s1, pool), "tfidf": tfidf_blocking(s1, pool), "token": token_blocking(s1, pool)}
+    found = {name: strategy(s1, pool) for name, strategy in (STRATEGIES if strategies is None else strategies).items()}
     if encode is not None:
         found["embedding"] = embedding_blocking(s1, pool, encode)
     return found, merge_candidates(list(found.values()), s1.select(F.col(schema.ID).alias("s1_id")), most)

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 from kinsift.functions import text
 
-FEATURES = ("name_levenshtein", "name_jaccard", "addr_levenshtein", "addr_jaccard", "same_name", "length_ratio", "shared_tokens", "pin_match", "number_overlap", "has_both_addr", "name_x_addr", "token_sort", "token_set")
+FEATURES = ("name_levenshtein", "name_jaccard", "addr_levenshtein", "addr_jaccard", "same_name", "length_ratio", "shared_tokens", "pin_match", "number_overlap", "has_both_addr", "name_x_addr", "token_sort", "token_set", "city_match", "state_match", "from_s3", "missing_addr")
+#: Features of pairs that bring a TF-IDF or an embedding cosine.
+GIVEN_FEATURES = ("tfidf", "embedding", "name_or_embedding")
 
 
 def similarity(a: Column, b: Column) -> Column:
@@ -47,12 +49,21 @@ def address_parts(c: Column) -> Column:
 
 
 def features(pairs: DataFrame) -> DataFrame:
-    """pairs (name1, addr1, name2, addr2, ...) with FEATURES, all expressions of the JVM."""
+    """pairs (cand_id, name1, addr1, name2, addr2, ...) with FEATURES, all expressions of the JVM.
+
+    Pairs may bring the cosines ``tfidf`` and ``embedding`` (of blocking); missing ones count as 0, and
+    ``name_or_embedding`` is the better of the name's similarity and the embedding's.
+    """
     n1, n2, a1, a2 = (F.coalesce(c, F.lit("")) for c in ("name1", "name2", "addr1", "addr2"))
     t1, t2 = F.array_distinct(text.words(n1)), F.array_distinct(text.words(n2))
     numbers = [F.array_distinct(F.regexp_extract_all(a, F.lit("[0-9]+"), F.lit(0))) for a in (a1, a2)]
     pins = [F.regexp_extract(a, r"(\d{4,6})\D*$", 1) for a in (a1, a2)]
+    part1, part2 = address_parts(a1), address_parts(a2)
     out = pairs.withColumns({
+        "city_match": F.coalesce(part1["city"] == part2["city"], F.lit(False)).cast("double"),
+        "state_match": F.coalesce(part1["state"] == part2["state"], F.lit(False)).cast("double"),
+        "from_s3": F.col("cand_id").startswith("S3-").cast("double"),
+        "missing_addr": ((a1 == "") | (a2 == "")).cast("double"),
         "name_levenshtein": similarity(n1, n2),
         "name_jaccard": jaccard(t1, t2),
         "addr_levenshtein": similarity(a1, a2),
@@ -66,7 +77,10 @@ def features(pairs: DataFrame) -> DataFrame:
         "token_sort": token_sort_ratio(n1, n2),
         "token_set": token_set_ratio(n1, n2),
     })
-    return out.withColumn("name_x_addr", F.col("name_levenshtein") * F.col("addr_levenshtein"))
+    out = out.withColumn("name_x_addr", F.col("name_levenshtein") * F.col("addr_levenshtein"))
+    given = {c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in ("tfidf", "embedding") if c in pairs.columns}
+    out = out.withColumns(given) if given else out
+    return out.withColumn("name_or_embedding", F.greatest("name_levenshtein", "embedding")) if "embedding" in given else out
 
 
 def best_of_alias(legal: Column, alias: Column, other: Column) -> Column:
@@ -189,6 +203,19 @@ def error_causes(outcomes: DataFrame, candidates: DataFrame) -> DataFrame:
     return outcomes.join(blocked, ["s1_id", "cand_id"], "left").groupBy("outcome", cause.alias("cause")).agg(F.count("*").alias("n"))
 
 
+def stage_ablation(pairs: DataFrame, truth: DataFrame, stages: dict[str, Column], bound: float = 0.5) -> DataFrame:
+    """(stage, macro_f05): pairs whose score by a stage (an expression over pairs) is at the bound or above are matches."""
+    from kinsift.operators.evaluate import macro_f05
+    from kinsift.sources.tables import lists_of
+
+    out = None
+    for stage, score in stages.items():
+        found = lists_of(pairs.filter(score >= bound).select("s1_id", "cand_id"), truth.select("s1_id"))
+        one = macro_f05(found, truth).select(F.lit(stage).alias("stage"), F.round("macro_f05", 6).alias("macro_f05"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def ablation(evaluate, toggles: tuple[str, ...]) -> pd.DataFrame:
     """evaluate({rule: False}) -> float, for no rule and then for each rule switched off."""
     return pd.DataFrame([("none", evaluate({}))] + [(t, evaluate({t: False})) for t in toggles], columns=["off", "value"])

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kinsift.sources.tables import seeded
+
 
 def bracket(n: Column) -> Column:
     """0, 1, 2, 3-5 or 6+ matches."""
@@ -18,11 +20,18 @@ def with_stratum(truth: DataFrame) -> DataFrame:
 
 
 def stratified_split(truth: DataFrame, share: float = 0.1, seed: int = 42) -> DataFrame:
-    """truth with stratum and is_val: of each stratum the rounded share whose seeded hash comes first."""
-    rows = with_stratum(truth)
-    w = Window.partitionBy("stratum")
-    rows = rows.withColumn("_rank", F.row_number().over(w.orderBy(F.xxhash64("s1_id", F.lit(seed)), "s1_id"))).withColumn("_n", F.count("*").over(w))
-    return rows.withColumn("is_val", F.col("_rank") <= F.round(F.col("_n") * share)).drop("_rank", "_n")
+    """truth with stratum and is_val: of each stratum the rounded share whose seeded hash comes first.
+
+    Strata are few and large, so rows are ranked in 4096 buckets of their hashes: whole buckets below the share
+    are in, and only inside the bucket that holds its end are rows ranked one by one.
+    """
+    rows = with_stratum(truth).withColumn("_hash", seeded(F.col("s1_id"), seed)).withColumn("_bucket", F.substring("_hash", 1, 3))
+    sizes = rows.groupBy("stratum", "_bucket").agg(F.count("*").alias("_size"))
+    inside = Window.partitionBy("stratum")
+    sizes = sizes.withColumn("_before", F.sum("_size").over(inside.orderBy("_bucket")) - F.col("_size")).withColumn("_in", F.round(F.sum("_size").over(inside) * share))
+    own = Window.partitionBy("stratum", "_bucket").orderBy("_hash", "s1_id")
+    ranked = rows.join(sizes, ["stratum", "_bucket"]).withColumn("is_val", F.col("_before") + F.row_number().over(own) <= F.col("_in"))
+    return ranked.select(*truth.columns, "bracket", "stratum", "is_val")
 
 
 def proportions(rows: DataFrame, column: str = "stratum") -> DataFrame:

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from kinsift import schema
 from kinsift.functions import rules, scripts, text
 from kinsift.operators import blocking, evaluate, matching, normalize, profile, split, validate
+from kinsift.plans import chains
 from kinsift.sources import tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -105,7 +106,7 @@ def vocabulary_size(spark, sf_dir):
     return profile.vocabulary_size(records(spark, sf_dir), "business_name")
 
 
-_SUFFIX = "nullif(regexp_extract(lower(trim(business_name)), '\\b(" + "|".join(text.PROFILE_SUFFIXES) + ")$', 1), '')"
+_SUFFIX = f"nullif(regexp_extract(lower(trim(business_name)), '(^|{chains.NOT_W})(" + "|".join(text.PROFILE_SUFFIXES) + ")$', 2), '')"
 
 
 @query(f"WITH {_REC}, f AS (SELECT entity_id, {_SUFFIX} AS suffix FROM rec), r AS (SELECT *, row_number() OVER (PARTITION BY suffix ORDER BY entity_id) AS k FROM f WHERE suffix IS NOT NULL) SELECT suffix, count(*) AS n, string_agg(CASE WHEN k <= 5 THEN entity_id END, ',' ORDER BY entity_id) AS examples FROM r GROUP BY 1")
@@ -135,7 +136,7 @@ def noise_scan_addr(spark, sf_dir):
     return profile.noise_scan(records(spark, sf_dir), "business_address", profile.ADDRESS_NOISE)
 
 
-@query()
+@query(f"WITH {_REC}, t AS (SELECT {chains.words_and_gaps('business_name')} AS t FROM rec), m AS (SELECT len(list_filter(range(1, len(t) + 1), lambda i: coalesce({chains.repeated('t', 'i', '[a-zA-Z0-9_]{3,}')}, false))) > 0 AS hit FROM t) SELECT 'duplicate_adj_word' AS pattern, count(*) FILTER (hit) AS n, round(100 * count(*) FILTER (hit) / count(*), 4) AS pct, count(*) AS total FROM m")
 def noise_scan_duplicate_word(spark, sf_dir):
     return profile.noise_scan(records(spark, sf_dir), "business_name", {"duplicate_adj_word": profile.NAME_NOISE["duplicate_adj_word"]})
 
@@ -150,17 +151,17 @@ def anomalous_tokens(spark, sf_dir):
     return profile.anomalous_tokens(records(spark, sf_dir), "business_name")
 
 
-@query()
+@query(f"WITH {_REC}, c AS (SELECT ch, CASE WHEN regexp_matches(ch, '\\p{{Latin}}') THEN 'LATIN' ELSE 'OTHER' END AS script FROM (SELECT DISTINCT unnest(string_split(business_name, '')) AS ch FROM rec) WHERE regexp_matches(ch, '[^\\x00-\\x7F]')), r AS (SELECT *, row_number() OVER (PARTITION BY script ORDER BY ch) AS k FROM c) SELECT script, count(*) AS n_chars, string_agg(CASE WHEN k <= 8 THEN ch END, '' ORDER BY ch) AS samples FROM r GROUP BY 1")
 def script_inventory(spark, sf_dir):
     return profile.script_inventory(records(spark, sf_dir), "business_name")
 
 
-@query()
+@query(f"WITH {_REC} SELECT 'LATIN' AS script, count(*) AS n FROM rec WHERE regexp_matches(regexp_replace(business_name, '[\\x00-\\x7F]', '', 'g'), '\\p{{Latin}}') HAVING count(*) > 0 UNION ALL SELECT 'MIXED', count(*) FILTER (regexp_matches(regexp_replace(business_name, '[\\x00-\\x7F]', '', 'g'), '\\p{{Latin}}') AND regexp_matches(regexp_replace(business_name, '[\\x00-\\x7F]|\\p{{Latin}}', '', 'g'), '[\\p{{L}}\\p{{M}}]')) FROM rec")
 def scripts_per_record(spark, sf_dir):
     return profile.scripts_per_record(records(spark, sf_dir), "business_name")
 
 
-@query()
+@query(f"WITH {_TRUTH}, f AS (SELECT entity_id, CASE WHEN regexp_matches(regexp_replace(business_name, '[\\x00-\\x7F]|\\p{{Latin}}', '', 'g'), '[\\p{{L}}\\p{{M}}]') THEN 'OTHER' ELSE 'LATIN' END AS script FROM rec) SELECT a.script AS s1_script, b.script AS cand_script, count(*) AS n FROM truth t JOIN f a ON a.entity_id = s1_id JOIN f b ON b.entity_id = cand_id GROUP BY 1, 2 ORDER BY n DESC, 1, 2 LIMIT 10")
 def cross_script_pairs(spark, sf_dir):
     r = records(spark, sf_dir)
     return profile.cross_script_pairs(truth_pairs(*both(spark, sf_dir)), r.select(F.col("entity_id").alias("id"), F.col("business_name").alias("name")))
@@ -171,7 +172,7 @@ def match_histogram(spark, sf_dir):
     return profile.match_histogram(truth_lists(*both(spark, sf_dir)))
 
 
-@query()
+@query(f"WITH {_REC} SELECT entity_id, country FROM rec ORDER BY md5(entity_id || ':42'), entity_id LIMIT 200")
 def sampled_scan(spark, sf_dir):
     return tables.sample(records(spark, sf_dir), 200).select("entity_id", "country")
 
@@ -206,10 +207,11 @@ _rule("collapse_whitespace", "trim(regexp_replace({c}, '\\s+', ' ', 'g'))")
 _rule("leetspeak_digit", "regexp_matches({c}, '\\d[a-zA-Z]|[a-zA-Z]\\d')", function=lambda c: rules.has_leetspeak(c, parity=False))
 _rule("remove_null_literals", "regexp_replace({c}, '\\bnull\\b', '', 'g')", "business_address")
 _rule("strip_po_box", "trim(regexp_replace({c}, '\\bpo box 12', '', 'g'))", "business_address")
-_rule("expand_address_abbrev", "regexp_replace({c}, ' st$', ' street')", "business_address", function=lambda c: F.regexp_replace(c, rf"(?i){rules.B}st$", "street"))
+_rule("expand_address_abbrev", chains.abbreviations("lower(business_address)").replace("{", "{{").replace("}", "}}"), "business_address")
+_rule("flag_leetspeak", chains.leetspeak("lower(business_name)").replace("{", "{{").replace("}", "}}"), function=rules.has_leetspeak)
 
 
-@query()
+@query(f"WITH {_REC}, n AS (SELECT entity_id, lower(business_name) AS v FROM rec) SELECT entity_id, {chains.duplicate_words('v')} AS value FROM n")
 def rule_collapse_duplicate_words(spark, sf_dir):
     return records(spark, sf_dir).select("entity_id", rules.collapse_duplicate_words(F.lower("business_name")).alias("value"))
 
@@ -223,37 +225,40 @@ def rule_strip_urls(spark, sf_dir):
     return records(spark, sf_dir).select("entity_id", rules.strip_urls(F.lower("business_name")).alias("value"))
 
 
-@query()
+@query(f"WITH {_REC} SELECT entity_id, {chains.nfkd('business_name')} AS value FROM rec")
 def rule_unicode_nfkd(spark, sf_dir):
     return records(spark, sf_dir).select("entity_id", scripts.nfkd("business_name").alias("value"))
 
 
-@query()
+@query(f"WITH {_REC} SELECT entity_id, strip_accents(business_name) AS value FROM rec")
 def rule_unicode_accents(spark, sf_dir):
     return records(spark, sf_dir).select("entity_id", scripts.accents_and_scripts(F.col("business_name"))["no_accent"].alias("value"))
 
 
-@query()
+@query(f"WITH {_REC}, {chains.names()} SELECT entity_id, {', '.join(normalize.NAME_COLUMNS)} FROM n_done")
 def normalize_name_full(spark, sf_dir):
     return normalize.normalize_names(records(spark, sf_dir)).select("entity_id", *normalize.NAME_COLUMNS)
 
 
-@query()
+@query(f"WITH {_REC}, {chains.addresses()} SELECT entity_id, {', '.join(normalize.ADDRESS_COLUMNS)} FROM d_done")
 def normalize_addr_full(spark, sf_dir):
     return normalize.normalize_addresses(records(spark, sf_dir)).select("entity_id", *normalize.ADDRESS_COLUMNS)
 
 
-@query()
+_BOUNDS = ", ".join(f"('{rule}', {low}::DOUBLE, {high}::DOUBLE)" for rule, (low, high) in normalize.FIRE_RATES.items())
+
+
+@query(f"WITH {_REC}, {chains.names()}, f AS (SELECT unnest(string_split(name_rules_fired, ',')) AS rule FROM n_done), r AS (SELECT rule, round(count(*) / (SELECT count(*) FROM rec), 6) AS rate FROM f GROUP BY 1), b(rule, low, high) AS (VALUES {_BOUNDS}) SELECT b.rule, low, high, coalesce(rate, 0.0) AS rate, coalesce(rate, 0.0) BETWEEN low AND high AS within FROM b LEFT JOIN r ON r.rule = b.rule")
 def rule_fire_rates(spark, sf_dir):
     return normalize.check_fire_rates(normalize.fire_rates(normalize.normalize_names(records(spark, sf_dir))))
 
 
-@query()
+@query(f"WITH {_REC}, {chains.names()}, {chains.addresses('n_done')} SELECT count(*) AS n, count(*) FILTER (name_clean <> lower(coalesce(business_name, ''))) AS n_changed, count(*) FILTER (has_non_latin) AS n_non_latin, count(alias_name) AS n_alias, count(*) FILTER (has_addr) AS n_addr FROM d_done")
 def change_statistics(spark, sf_dir):
     return normalize.change_statistics(normalize.normalize(records(spark, sf_dir)))
 
 
-@query()
+@query("SELECT p_partkey, p_name, (CASE WHEN length(p_name) < 3 THEN 1 ELSE len(list_distinct(list_transform(range(1, length(p_name) - 1), lambda i: substr(p_name, i, 3)))) END)::INT AS n_shingles FROM part")
 def map_distinct_names(spark, sf_dir):
     part = spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey", "p_name")
     return text.map_distinct(part, "p_name", lambda c: F.size(text.shingles(c)), "n_shingles")
@@ -273,6 +278,11 @@ def token_blocking(spark, sf_dir):
     return blocking.token_blocking(*both(spark, sf_dir), column="business_name", most=0.05)
 
 
+@query(f"WITH {_TOK.replace('0.05', str(schema.TOKEN_FREQUENCY))} SELECT country, s1_id, cand_id FROM tok")
+def token_blocking_default(spark, sf_dir):
+    return blocking.token_blocking(*both(spark, sf_dir), column="business_name")
+
+
 _ADDRESS = _TOKENS.format(c="business_address", stop="''")
 
 
@@ -308,7 +318,15 @@ def shingle_jaccard_join(spark, sf_dir):
     return blocking.jaccard_join(*both(spark, sf_dir), column="business_name").withColumn("score", F.round("score", 6))
 
 
-@query()
+_PERMUTED = ", ".join(f"({i}, {a}, {b})" for i, (a, b) in enumerate(blocking.permutations(schema.BANDS * schema.ROWS)))
+_MINHASH = f"""nm AS (SELECT DISTINCT left(text, 40) AS v FROM rec),
+g AS (SELECT v, ('0x' || substr(md5(gram), 1, 7))::BIGINT AS h FROM (SELECT v, unnest(CASE WHEN length(v) < 3 THEN [v] ELSE list_distinct(list_transform(range(1, length(v) - 1), lambda i: substr(v, i, 3))) END) AS gram FROM nm)),
+sig AS (SELECT v, i, min((a * h + b) % 2147483647) AS x FROM g, (VALUES {_PERMUTED}) perm(i, a, b) GROUP BY v, i),
+band AS (SELECT v, i // {schema.ROWS} AS band, string_agg(x::VARCHAR, ',' ORDER BY i) AS bucket FROM sig GROUP BY 1, 2),
+keyed AS (SELECT src, country, entity_id, band, bucket FROM rec JOIN band ON band.v = left(rec.text, 40))"""
+
+
+@query(f"WITH {_REC}, {_MINHASH} SELECT DISTINCT a.country, a.entity_id AS s1_id, b.entity_id AS cand_id FROM keyed a JOIN keyed b ON a.src = 'S1' AND b.src <> 'S1' AND a.country = b.country AND a.band = b.band AND a.bucket = b.bucket")
 def minhash_lsh_blocking(spark, sf_dir):
     return blocking.minhash_blocking(*map(plain, both(spark, sf_dir)), column="nm")
 
@@ -350,6 +368,21 @@ def embedding_threshold_strict(spark, sf_dir):
     return blocking.cosine_top_k(*_vectors(spark, sf_dir))
 
 
+_SPLIT_VECTORS = "q AS (SELECT vec_id AS id, embedding AS e, CASE vec_id % 6 WHEN 0 THEN 'A' WHEN 2 THEN 'B' ELSE 'C' END AS country FROM embeddings WHERE vec_id % 2 = 0), p AS (SELECT vec_id AS id, embedding AS e, CASE vec_id % 3 WHEN 0 THEN 'A' WHEN 1 THEN 'B' ELSE 'D' END AS country FROM embeddings WHERE vec_id % 2 = 1)"
+
+
+@query(
+    f"WITH {_SPLIT_VECTORS}, near AS (SELECT q.country, q.id AS q_id, p.id AS cand_id, round(list_cosine_similarity(q.e::DOUBLE[], p.e::DOUBLE[]), 6) AS score FROM q JOIN p ON q.country = p.country), ranked AS (SELECT *, row_number() OVER (PARTITION BY q_id ORDER BY score DESC, cand_id) AS k FROM near)"
+    " SELECT country, 'S1-' || q_id AS s1_id, 'S2-' || cand_id AS cand_id, score FROM ranked WHERE k <= 30 AND score > 0.35"
+)
+def embedding_blocking(spark, sf_dir):
+    """Vectors as the encoder's output; countries by id, one of them on each side only."""
+    v = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    side = lambda odd, country: v.filter(f"vec_id % 2 = {odd}").select(F.expr(f"'S{odd + 1}-' || vec_id").alias("entity_id"), F.expr(country).alias("country"), F.lit(True).alias("has_non_latin"), F.array_join(F.transform("embedding", lambda x: x.cast("double").cast("string")), " ").alias("name_clean"))
+    s1, pool = side(0, "CASE vec_id % 6 WHEN 0 THEN 'A' WHEN 2 THEN 'B' ELSE 'C' END"), side(1, "CASE vec_id % 3 WHEN 0 THEN 'A' WHEN 1 THEN 'B' ELSE 'D' END")
+    return blocking.embedding_blocking(s1, pool, lambda c: F.transform(F.split(c, " "), lambda x: x.cast("double")))
+
+
 _MERGED = f"{_TOK}, {_EXACT_SQL}, u AS (SELECT s1_id, cand_id FROM tok UNION SELECT s1_id, cand_id FROM ex), capped AS (SELECT s1_id, cand_id FROM (SELECT *, row_number() OVER (PARTITION BY s1_id ORDER BY cand_id) AS k FROM u) WHERE k <= {{cap}})"
 
 
@@ -435,7 +468,7 @@ def macro_f05(spark, sf_dir):
 
 @query(f"WITH {_TRUTH}, {_EXACT_SQL} SELECT s1.entity_id AS s1_id, coalesce(string_agg(cand_id, ',' ORDER BY cand_id), '') AS matched_entity_ids FROM s1 LEFT JOIN ex ON ex.s1_id = s1.entity_id GROUP BY 1")
 def matching_results_export(spark, sf_dir):
-    lines = tables.id_list_lines(_exact_lists(spark, sf_dir)[0], schema.TRUTH_HEADER)
+    lines = tables.id_list_lines(_exact_lists(spark, sf_dir)[0])
     return lines.select(F.split("value", "\t")[0].alias("s1_id"), F.split("value", "\t")[1].alias("matched_entity_ids"))
 
 
@@ -467,7 +500,7 @@ def matched_subset_of_candidates(spark, sf_dir):
     return validate.unlisted_matches(truth_lists(s1, pool), cands).select("s1_id", F.array_join("extra", ",").alias("extra"))
 
 
-_STRATA = f"{_TRUTH}, b AS (SELECT s1.country, s1.entity_id, count(t.cand_id) AS m FROM s1 LEFT JOIN truth t ON t.s1_id = s1.entity_id GROUP BY 1, 2), st AS (SELECT country || '__' || CASE WHEN m = 0 THEN '0' WHEN m = 1 THEN '1' WHEN m = 2 THEN '2' WHEN m <= 5 THEN '3-5' ELSE '6+' END AS stratum FROM b)"
+_STRATA = f"{_TRUTH}, b AS (SELECT s1.country, s1.entity_id, count(t.cand_id) AS m FROM s1 LEFT JOIN truth t ON t.s1_id = s1.entity_id GROUP BY 1, 2), st AS (SELECT entity_id, country || '__' || CASE WHEN m = 0 THEN '0' WHEN m = 1 THEN '1' WHEN m = 2 THEN '2' WHEN m <= 5 THEN '3-5' ELSE '6+' END AS stratum FROM b)"
 
 
 @query(f"WITH {_STRATA} SELECT stratum, count(*) AS n, round(count(*) / (SELECT count(*) FROM st), 4) AS share FROM st GROUP BY 1")
@@ -475,12 +508,15 @@ def split_bracket_distribution(spark, sf_dir):
     return split.proportions(split.with_stratum(truth_lists(*both(spark, sf_dir))))
 
 
-@query()
+_SPLIT = "sp AS (SELECT s1_id, stratum, k <= round(n * 0.1::DOUBLE) AS is_val FROM (SELECT entity_id AS s1_id, stratum, row_number() OVER (PARTITION BY stratum ORDER BY md5(entity_id || ':42'), entity_id) AS k, count(*) OVER (PARTITION BY stratum) AS n FROM st))"
+
+
+@query(f"WITH {_STRATA}, {_SPLIT} SELECT s1_id, stratum, is_val FROM sp")
 def split_stratified(spark, sf_dir):
     return split.stratified_split(truth_lists(*both(spark, sf_dir))).select("s1_id", "stratum", "is_val")
 
 
-@query()
+@query(f"WITH {_STRATA}, {_SPLIT}, a AS (SELECT stratum, is_val, count(*) AS n FROM sp GROUP BY 1, 2), p AS (SELECT stratum, is_val, round(n / sum(n) OVER (PARTITION BY is_val), 4) AS share FROM a) SELECT stratum, coalesce(max(CASE WHEN NOT is_val THEN share END), 0.0) AS train_share, coalesce(max(CASE WHEN is_val THEN share END), 0.0) AS val_share FROM p GROUP BY 1")
 def split_quality(spark, sf_dir):
     return split.split_quality(split.stratified_split(truth_lists(*both(spark, sf_dir))))
 
@@ -510,14 +546,31 @@ def _ascii(pairs: DataFrame) -> DataFrame:
     return pairs.withColumns({c: F.regexp_replace(c, "[^ -~]", "") for c in ("name1", "name2", "addr1", "addr2")})
 
 
-@query(
-    f"WITH {_PAIRS} SELECT s1_id, cand_id, label, round({_SIM.format(a='name1', b='name2')}, 6) AS name_levenshtein, round({_JAC.format(a=_LIST.format('name1'), b=_LIST.format('name2'))}, 6) AS name_jaccard, round({_SIM.format(a='addr1', b='addr2')}, 6) AS addr_levenshtein, round({_JAC.format(a=_LIST.format('addr1'), b=_LIST.format('addr2'))}, 6) AS addr_jaccard,"
-    f" (name1 = name2)::INT::DOUBLE AS same_name, len(list_intersect({_LIST.format('name1')}, {_LIST.format('name2')}))::DOUBLE AS shared_tokens, (addr1 <> '' AND addr2 <> '')::INT::DOUBLE AS has_both_addr FROM p"
-)
+_NUMBERS = "list_distinct(regexp_extract_all({0}, '[0-9]+'))"
+_PIN = "regexp_extract({0}, '(\\d{{4,6}})\\D*$', 1)"
+_SORTED = "array_to_string(list_sort(regexp_extract_all(lower({0}), '[a-z0-9]+')), ' ')"
+_ROUNDED = ("name_levenshtein", "name_jaccard", "addr_levenshtein", "addr_jaccard", "length_ratio", "number_overlap", "token_sort", "token_set", "name_x_addr")
+
+
+def _feature_sql() -> str:
+    """The features of p, step by step: lists first, then what they have in common."""
+    lists = ", ".join(f"{_LIST.format(f'name{i}')} AS t{i}, {_LIST.format(f'addr{i}')} AS b{i}, {_NUMBERS.format(f'addr{i}')} AS k{i}, {_PIN.format(f'addr{i}')} AS pin{i}, nullif(regexp_extract(lower(addr{i}), '([a-z][a-z ]*),[^,]*$', 1), '') AS city{i}, nullif(regexp_extract(lower(addr{i}), ',\\s*([a-z]{{2}})(?:\\s+\\d+)?\\s*$', 1), '') AS state{i}, {_SORTED.format(f'name{i}')} AS o{i}" for i in (1, 2))
+    with_both = "SELECT *, list_sort(list_intersect(t1, t2)) AS tb, list_sort(list_filter(t1, lambda x: NOT list_contains(t2, x))) AS x1, list_sort(list_filter(t2, lambda x: NOT list_contains(t1, x))) AS x2 FROM l"
+    joined = "SELECT *, array_to_string(tb, ' ') AS jb, array_to_string(list_concat(tb, x1), ' ') AS j1, array_to_string(list_concat(tb, x2), ' ') AS j2 FROM m"
+    sim, jac = lambda a, b: _SIM.format(a=a, b=b), lambda a, b: _JAC.format(a=a, b=b)
+    return f"""WITH {_PAIRS}, l AS (SELECT *, {lists} FROM p), m AS ({with_both}), j AS ({joined}),
+f AS (SELECT s1_id, cand_id, label, {sim('name1', 'name2')} AS name_levenshtein, {jac('t1', 't2')} AS name_jaccard, {sim('addr1', 'addr2')} AS addr_levenshtein, {jac('b1', 'b2')} AS addr_jaccard, (name1 = name2)::INT::DOUBLE AS same_name,
+CASE WHEN greatest(length(name1), length(name2)) = 0 THEN 1.0 ELSE least(length(name1), length(name2)) / greatest(length(name1), length(name2)) END AS length_ratio, len(tb)::DOUBLE AS shared_tokens, (pin1 <> '' AND pin1 = pin2)::INT::DOUBLE AS pin_match,
+{jac('k1', 'k2')} AS number_overlap, (addr1 <> '' AND addr2 <> '')::INT::DOUBLE AS has_both_addr, {sim('o1', 'o2')} AS token_sort, greatest(CASE WHEN len(tb) > 0 THEN greatest({sim('jb', 'j1')}, {sim('jb', 'j2')}) ELSE 0.0 END, {sim('j1', 'j2')}) AS token_set,
+coalesce(city1 = city2, false)::INT::DOUBLE AS city_match, coalesce(state1 = state2, false)::INT::DOUBLE AS state_match, (cand_id LIKE 'S3-%')::INT::DOUBLE AS from_s3, (addr1 = '' OR addr2 = '')::INT::DOUBLE AS missing_addr FROM j),
+x AS (SELECT *, name_levenshtein * addr_levenshtein AS name_x_addr FROM f)
+SELECT * REPLACE ({', '.join(f'round({c}, 6) AS {c}' for c in _ROUNDED)}) FROM x"""
+
+
+@query(_feature_sql())
 def feature_matrix(spark, sf_dir):
     f = matching.features(_ascii(_pairs(spark, sf_dir)))
-    rounded = [F.round(c, 6).alias(c) for c in ("name_levenshtein", "name_jaccard", "addr_levenshtein", "addr_jaccard")]
-    return f.select("s1_id", "cand_id", "label", *rounded, "same_name", "shared_tokens", "has_both_addr")
+    return f.select("s1_id", "cand_id", "label", *[F.round(c, 6).alias(c) if c in _ROUNDED else F.col(c) for c in matching.FEATURES])
 
 
 _SCORED = f"{_PAIRS}, scored AS (SELECT s1_id, cand_id, label, round({_JAC.format(a=_LIST.format('name1'), b=_LIST.format('name2'))}, 6) AS p FROM p)"
@@ -576,9 +629,9 @@ def gbdt_scores(spark, sf_dir):
     return matching.predict(model, pairs).select("s1_id", "cand_id", "label", F.round("p", 6).alias("p"))
 
 
-@query()
+@query(f"WITH {_SCORED}, g AS (SELECT p, sum(label) AS y, count(*) AS n, row_number() OVER (ORDER BY p) AS k FROM scored GROUP BY p), a AS (SELECT i.k AS i, j.k AS j, sum(m.y) / sum(m.n) AS mean FROM g i JOIN g j ON j.k >= i.k JOIN g m ON m.k BETWEEN i.k AND j.k GROUP BY 1, 2), low AS (SELECT g.k, a.i, min(mean) AS v FROM g JOIN a ON a.i <= g.k AND a.j >= g.k GROUP BY 1, 2), fit AS (SELECT k, max(v) AS v FROM low GROUP BY 1) SELECT s1_id, cand_id, label, scored.p, round(v, 6) AS calibrated FROM scored JOIN g ON g.p = scored.p JOIN fit ON fit.k = g.k")
 def isotonic_scores(spark, sf_dir):
-    return matching.calibrate_isotonic(_scored(spark, sf_dir))
+    return matching.calibrate_isotonic(_scored(spark, sf_dir)).withColumn("calibrated", F.round("calibrated", 6))
 
 
 @query()
@@ -586,12 +639,15 @@ def platt_scores(spark, sf_dir):
     return matching.calibrate_platt(_scored(spark, sf_dir))
 
 
-@query()
+@query(f"WITH {_REC} SELECT entity_id, nullif(regexp_extract(business_address, '(\\d{{4,6}})\\D*$', 1), '') AS pin, nullif(regexp_extract(lower(business_address), ',\\s*([a-z]{{2}})(?:\\s+\\d+)?\\s*$', 1), '') AS state, nullif(regexp_extract(lower(business_address), '([a-z][a-z ]*),[^,]*$', 1), '') AS city, nullif(regexp_extract(lower(business_address), '\\b(?:near|opp|opposite|behind)\\b\\.?\\s+([^,]+)', 1), '') AS landmark FROM rec")
 def address_fields(spark, sf_dir):
     return records(spark, sf_dir).select("entity_id", matching.address_parts(F.col("business_address")).alias("a")).select("entity_id", "a.*")
 
 
-@query()
+_OFF = ((), ("lowercase",), ("strip_urls",), ("split_dba",))
+
+
+@query("WITH " + _REC + "".join(f", {chains.names(off, f'n{i}')}" for i, off in enumerate(_OFF)) + " " + " UNION ALL ".join(f"SELECT '{off[0] if off else 'none'}' AS off, count(DISTINCT name_no_accent)::DOUBLE AS value FROM n{i}_done" for i, off in enumerate(_OFF)))
 def ablation_rules(spark, sf_dir):
     r = records(spark, sf_dir)
 
@@ -601,6 +657,60 @@ def ablation_rules(spark, sf_dir):
     return spark.createDataFrame(matching.ablation(distinct, ("lowercase", "strip_urls", "split_dba")))
 
 
+# --- results by kind of entity, and without parts of the chain -----------------------------------
+
+
+@query(
+    f"WITH {_F05}, k AS (SELECT f.s1_id, f05, n_truth, country FROM f JOIN per ON per.s1_id = f.s1_id), x AS (SELECT 'country' AS dimension, coalesce(country, 'UNKNOWN') AS value, f05 FROM k UNION ALL SELECT 'singleton', CASE WHEN n_truth = 0 THEN 'yes' ELSE 'no' END, f05 FROM k"
+    " UNION ALL SELECT 'bracket', CASE WHEN n_truth = 0 THEN '0' WHEN n_truth = 1 THEN '1' WHEN n_truth = 2 THEN '2' WHEN n_truth <= 5 THEN '3-5' ELSE '6+' END, f05 FROM k"
+    f" UNION ALL SELECT 'cross_script', CASE WHEN EXISTS (SELECT 1 FROM truth t JOIN rec a ON a.entity_id = t.s1_id JOIN rec b ON b.entity_id = t.cand_id WHERE t.s1_id = k.s1_id AND regexp_matches(a.business_name, '[^\\x00-\\x7F]') <> regexp_matches(b.business_name, '[^\\x00-\\x7F]')) THEN 'yes' ELSE 'no' END, f05 FROM k)"
+    " SELECT dimension, value, count(*) AS n, round(avg(f05), 6) AS macro_f05 FROM x GROUP BY 1, 2"
+)
+def f05_breakdown(spark, sf_dir):
+    """Names in Latin letters only differ in whether they have any beyond ASCII, which stands for the script here."""
+    r = records(spark, sf_dir)
+    script = r.select(F.col("entity_id").alias("id"), F.array_join(scripts.accents_and_scripts(F.col("business_name"))["scripts"], "+").alias("scripts"))
+    return evaluate.breakdowns(*_exact_lists(spark, sf_dir), script)
+
+
+def _ablated_sql(i: int, off: tuple[str, ...]) -> str:
+    return (
+        f"{chains.names(off, f'n{i}')}, ab{i} AS (SELECT DISTINCT a.entity_id AS s1_id, b.entity_id AS cand_id FROM n{i}_done a JOIN n{i}_done b ON a.src = 'S1' AND b.src <> 'S1' AND a.country = b.country AND a.name_no_accent = b.name_no_accent WHERE a.name_no_accent <> ''),"
+        f" pe{i} AS (SELECT s1.entity_id, (SELECT count(*) FROM truth t WHERE t.s1_id = s1.entity_id) AS nt, (SELECT count(*) FROM ab{i} c WHERE c.s1_id = s1.entity_id) AS nc, (SELECT count(*) FROM truth t JOIN ab{i} c ON c.s1_id = t.s1_id AND c.cand_id = t.cand_id WHERE t.s1_id = s1.entity_id) AS nf FROM s1)"
+    )
+
+
+_F05_OF = "round(avg(CASE WHEN nt = 0 THEN CASE WHEN nc = 0 THEN 1.0 ELSE 0.0 END WHEN nc = 0 OR nf = 0 THEN 0.0 ELSE 1.25 * (nf / nc) * (nf / nt) / (0.25 * nf / nc + nf / nt) END), 6)"
+_RULES_OFF = ((), ("normalize_legal_suffix",), ("strip_hashtag_prefix",), ("collapse_duplicate_words",), ("split_dba",))
+
+
+@query(f"WITH {_TRUTH}, " + ", ".join(_ablated_sql(i, off) for i, off in enumerate(_RULES_OFF)) + " " + " UNION ALL ".join(f"SELECT '{off[0] if off else 'none'}' AS off, {_F05_OF} AS value FROM pe{i}" for i, off in enumerate(_RULES_OFF)))
+def ablation_f05(spark, sf_dir):
+    """The F-measure of equal normalized names, with all rules and without one each."""
+    s1, pool = both(spark, sf_dir)
+    truth = truth_lists(s1, pool)
+
+    def measure(toggles: dict) -> float:
+        pairs = blocking.exact_blocking(*(normalize.normalize_names(d, toggles=toggles) for d in (s1, pool)), "name_no_accent")
+        return round(evaluate.macro_f05(tables.lists_of(pairs, truth.select("s1_id")), truth).first()[0], 6)
+
+    return spark.createDataFrame(matching.ablation(measure, tuple(off[0] for off in _RULES_OFF if off)))
+
+
+@query(f"WITH {_SCORED}, st(stage, low) AS (VALUES ('blocking', 0.0::DOUBLE), ('name', 0.5::DOUBLE)), c AS (SELECT stage, s1_id, cand_id FROM scored JOIN st ON p >= low OR stage = 'blocking'), pe AS (SELECT stage, s1.entity_id, (SELECT count(*) FROM truth t WHERE t.s1_id = s1.entity_id) AS nt, (SELECT count(*) FROM c WHERE c.stage = st.stage AND c.s1_id = s1.entity_id) AS nc, (SELECT count(*) FROM truth t JOIN c ON c.s1_id = t.s1_id AND c.cand_id = t.cand_id WHERE c.stage = st.stage AND t.s1_id = s1.entity_id) AS nf FROM s1, st) SELECT stage, {_F05_OF} AS macro_f05 FROM pe GROUP BY 1")
+def ablation_stages(spark, sf_dir):
+    return matching.stage_ablation(_scored(spark, sf_dir), truth_lists(*both(spark, sf_dir)), {"blocking": F.lit(1.0), "name": F.col("p")})
+
+
+@query(f"WITH {_REC}, v AS (SELECT entity_id, lower(business_address) AS v FROM rec), a AS (SELECT entity_id, {chains.bordered('v', 'null', '')} AS v FROM v), b AS (SELECT entity_id, {chains.po_box('v')} AS v FROM a) SELECT entity_id, {chains.abbreviations('v')} AS value FROM b")
+def addr_rules(spark, sf_dir):
+    step = lambda d, rule: d.select("entity_id", rule(F.col("value")).alias("value"))
+    rows = records(spark, sf_dir).select("entity_id", F.lower("business_address").alias("value"))
+    for rule in (rules.remove_null_literals, rules.strip_po_box, rules.expand_address_abbrev):
+        rows = step(rows, rule)
+    return rows
+
+
 # --- whole texts ---------------------------------------------------------------------------------
 
 

@@ -12,12 +12,12 @@ def canonical(rows):
     return sorted(tuple(f"{x:.6f}" if isinstance(x, float) else str(x) for x in r) for r in rows)
 
 
-@pytest.mark.parametrize("name", ["token_blocking", "noise_scan_name", "blocking_recall", "merge_cap_candidates", "feature_matrix", "validate_findings", "rule_strip_urls"])
+@pytest.mark.parametrize("name", sorted(catalog.ORACLE_SQL))
 def test_sql(spark, name):
     import duckdb
 
     connection = duckdb.connect()
-    for table in ("documents", "embeddings"):
+    for table in ("documents", "embeddings", "part"):
         connection.sql(f"create view {table} as select * from '{SF}/{table}.parquet'")
     df = catalog.QUERIES[name](spark, SF)
     columns = sorted(df.columns)
