@@ -19,8 +19,10 @@ Phrases with one trigger can only share a window if the SIDE bytes left of the t
 right of it, as a window has one or the other; one byte of a hash of each side rules out nearly all others.
 Phrases travel packed, a block per batch and bucket of trigger hashes, so the shuffle carries about as many
 bytes as the text has, and answers travel packed by buckets of documents.  A document's phrases spread over
-all buckets, so large groups of copies do too.  What a bucket holds is bounded by the number of buckets,
-except for the entries of one trigger that very many documents share.
+all buckets, so large groups of copies do too.  There are so many buckets that each stands for BUCKET bytes of
+text, and a task holds one bucket at a time.  A trigger with over HOT windows to compare (a passage of very many
+documents, which differ around it) is not compared in one task: its windows are dealt by their own hashes, and
+one aggregation finds the smallest document of each.
 
 Edge cases: null and empty texts have nothing to remove; texts shorter than WIDTH are left whole; equal
 texts lose everything in all but the smallest document; rows with the same doc_id do not count as earlier
@@ -41,13 +43,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinsift.llm.scratch import Scratch
-from kinsift.llm.textkit import _BYTE, U, mix, powers, slices, text_bytes
+from kinsift.llm.textkit import _BYTE, SAME, U, mix, powers, slices, span_hashes, text_bytes
 
 WIDTH, GRAM = 50, 19
 SPAN = WIDTH - GRAM + 1  # places of a trigger in a window: a power of two
 SIDE = (WIDTH - GRAM) // 2  # a window has at least so many bytes left of its trigger, or more right of it
+BUCKET, HOT = 64 << 20, 1 << 20
 LAST = np.iinfo(np.int64).max
 _CODEC = pa.Codec("zstd", 1)
+_TURNED = SAME[::-1].copy()  # other values of the bytes, for a second hash
 
 
 def phrases(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -179,7 +183,7 @@ def answers(blocks: list[bytes]) -> list[np.ndarray]:
     return [x[order] for x in out]
 
 
-WHOLE, ASKED = 1, 0
+WHOLE, ASKED, SPREAD = 1, 0, 2
 _ANSWER = "bucket int, kind int, block binary"
 
 
@@ -203,7 +207,7 @@ def runs(batches: Iterator[pa.RecordBatch], column: int = 0) -> Iterator[tuple[i
 
 
 def settle(buckets: int):
-    """Blocks of phrases to answers: spans of phrases that a smaller document has (WHOLE), and phrases whose bytes must be compared (ASKED)."""
+    """Blocks of phrases to answers: spans of phrases that a smaller document has (WHOLE), and phrases whose bytes must be compared (ASKED, or SPREAD for those of hot triggers)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for bucket, blocks in runs(batches):
@@ -217,17 +221,20 @@ def settle(buckets: int):
             h, left, right, doc, tag, pos, count = (x[first] for x in (h, left, right, doc, tag, pos, count))
             with_unknown = np.isin(h, h[left == 0])
             ask = (shared(doc, left, h) & (left != 255)) | (shared(doc, right, h) & (right != 255)) | (with_unknown & shared(doc, h))
-            found += packed(*(x[ask] for x in (doc, tag, pos, count)), h[ask] * U(buckets) + U(bucket), buckets, ASKED)
+            triggers, own = np.unique(h[ask], return_inverse=True)
+            hot = (np.bincount(own, count[ask], len(triggers)) > HOT)[own]
+            for kind, part in ((ASKED, np.flatnonzero(ask)[~hot]), (SPREAD, np.flatnonzero(ask)[hot])):
+                found += packed(*(x[part] for x in (doc, tag, pos, count)), h[part] * U(buckets) + U(bucket), buckets, kind)
             yield rows_of(found)
 
     return run
 
 
-def documents_with(docs: DataFrame, blocks: DataFrame, buckets: int) -> DataFrame:
+def documents_with(docs: DataFrame, blocks: DataFrame, buckets: int, tasks: int) -> DataFrame:
     """bucket, kind, doc_id, text, block: for each bucket the answers and then the documents."""
     kept = docs.select(F.pmod(F.col("doc_id"), F.lit(buckets)).cast("int").alias("bucket"), F.lit(2).alias("kind"), "doc_id", "text", F.lit(None).cast("binary").alias("block"))
     own = blocks.select("bucket", F.lit(0).alias("kind"), F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("string").alias("text"), "block")
-    return own.unionByName(kept).repartition("bucket").sortWithinPartitions("bucket", "kind")
+    return own.unionByName(kept).repartition(tasks, "bucket").sortWithinPartitions("bucket", "kind")
 
 
 def with_answers(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int | None, np.ndarray, list[np.ndarray]]]:
@@ -271,6 +278,30 @@ def dictionary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch_of()
 
 
+def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The windows of the asked phrases: 128 bits of hash, doc_id, tag, pos."""
+    for doc, text, (pos, count, _) in with_answers(batches):
+        for a in range(0, len(pos), 10_000):
+            part = count[a : a + 10_000].astype(np.int64)
+            if not len(part):
+                continue
+            places = np.repeat(pos[a : a + 10_000].astype(np.int64) - (np.cumsum(part) - part), part) + np.arange(part.sum())
+            hashes = [span_hashes(text, places, places + WIDTH, fold) for fold in (SAME, _TURNED)]
+            same = pa.array(np.full(len(places), doc)), pa.array(np.full(len(places), zlib.crc32(text), np.int64))
+            yield pa.RecordBatch.from_arrays([*(pa.array(h.view(np.int64)) for h in hashes), *same, pa.array(places)], ["wa", "wb", "doc_id", "tag", "pos"])
+
+
+def pack(buckets: int):
+    """doc_id, tag, pos of single windows to answers."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            doc, tag, pos = (batch.column(i).to_numpy() for i in range(3))
+            yield rows_of(list(packed(doc, tag, pos, np.ones(len(doc), np.int64), np.zeros(len(doc), "<u8"), buckets, WHOLE)))
+
+    return run
+
+
 def suffix_order(doc: np.ndarray, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The windows of phrases in suffix order: phrase, place in it, and whether a smaller document has it.
 
@@ -357,19 +388,28 @@ def remove_repeats(docs: DataFrame, with_bytes: bool = False) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 (and the kept bytes) of each row of docs."""
     spark = docs.sparkSession
     scratch = Scratch(spark)
-    buckets = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    parsed = rows.mapInArrow(parse(buckets), "bucket int, block binary").repartition("bucket").sortWithinPartitions("bucket")
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    tasks = max(partitions, -(-size // BUCKET))
+    buckets = max(2 * partitions, tasks)
+    parsed = rows.mapInArrow(parse(buckets), "bucket int, block binary").repartition(tasks, "bucket").sortWithinPartitions("bucket")
     settled = scratch.stage(parsed.mapInArrow(settle(buckets), _ANSWER), "settled")
     del parsed
     scratch.release()
-    asked = documents_with(rows, settled.filter(F.col("kind") == ASKED), buckets).mapInArrow(dictionary, "trigger long, doc_id long, tag long, pos long, bytes binary")
-    windows = scratch.stage(asked.repartition("trigger").sortWithinPartitions("trigger").mapInArrow(compare(buckets), _ANSWER), "windows")
+    asked = documents_with(rows, settled.filter(F.col("kind") == ASKED), buckets, tasks).mapInArrow(dictionary, "trigger long, doc_id long, tag long, pos long, bytes binary")
+    windows = scratch.stage(asked.repartition(tasks, "trigger").sortWithinPartitions("trigger").mapInArrow(compare(buckets), _ANSWER), "windows")
     del asked
     scratch.release()
     spans = settled.filter(F.col("kind") == WHOLE).unionByName(windows)
+    hot = settled.filter(F.col("kind") == SPREAD)
+    if not hot.isEmpty():
+        single = scratch.stage(documents_with(rows, hot, buckets, tasks).mapInArrow(spread, "wa long, wb long, doc_id long, tag long, pos long"), "single")
+        first = single.groupBy("wa", "wb").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last").select("wa", "wb", "first")
+        again = single.join(first.hint("merge"), ["wa", "wb"]).filter("doc_id > first").select("doc_id", "tag", "pos")
+        spans = spans.unionByName(scratch.stage(again.mapInArrow(pack(buckets), _ANSWER), "spread"))
     result = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_bytes
-    return documents_with(rows, spans, buckets).mapInArrow(remove(with_bytes), result)
+    return documents_with(rows, spans, buckets, tasks).mapInArrow(remove(with_bytes), result)
 
 
 def op2_parsed_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
