@@ -1,14 +1,15 @@
 """Intermediate tables in the folder that all executors share.
 
-The folder is the session's ``spark.checkpoint.dir``.  Only where that is unset (tests on one
-machine) a temporary folder is made and set.  Tables are Parquet with zstd; reading them back cuts the
-lineage, so a lost executor costs at most the stage that reads or writes one of them.
+The folder is the session's ``spark.checkpoint.dir``.  Where that is unset, a local session (tests on one
+machine) gets a temporary folder, and on a cluster it is an error.  Tables are Parquet with zstd; reading them
+back cuts the lineage, so a lost executor costs at most the stage that reads or writes one of them.  An
+operator's tables go when its results can't be read any more: when the driver's JVM ends.
 """
 
 from __future__ import annotations
 
-import atexit
 import gc
+import re
 import tempfile
 import uuid
 
@@ -19,6 +20,8 @@ def shared_dir(spark: SparkSession) -> str:
     """The shared folder's URI."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="kinsift-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
@@ -29,7 +32,9 @@ class Scratch:
 
     def __init__(self, spark: SparkSession):
         self.spark, self.root = spark, f"{shared_dir(spark)}/kinsift-{uuid.uuid4().hex}"
-        atexit.register(self.drop)
+        system, path = self._system()
+        system.mkdirs(path)
+        system.deleteOnExit(path)
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -39,14 +44,15 @@ class Scratch:
         df.write.mode("overwrite").option("compression", "zstd").parquet(self.path(name))
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
+    def _system(self, name: str = ""):
+        jvm = self.spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(self.path(name) if name else self.root)
+        return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), path
+
     def drop(self, name: str = "") -> None:
         """Deletes one table, or all."""
-        try:
-            jvm = self.spark.sparkContext._jvm
-            path = jvm.org.apache.hadoop.fs.Path(self.path(name) if name else self.root)
-            path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-        except Exception:  # the session may be over
-            pass
+        system, path = self._system(name)
+        system.delete(path, True)
 
     def release(self) -> None:
         """Lets Spark's cleaner remove the shuffle files of plans that nothing refers to any more."""
