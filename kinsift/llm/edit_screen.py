@@ -336,9 +336,10 @@ def screen(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         for k, block in enumerate(chain((first, second), several)):
             part = scratch.stage(searched(texts, block, only_found=True).drop("text"), f"found{k}")
             found = part if found is None else found.unionByName(part)
-        found = found.select(F.col("_a").alias("_b_a"), F.col("_b").alias("_b_b"), F.explode("item_ids").alias("item")).groupBy("_b_a", "_b_b").agg(F.array_sort(F.collect_set("item")).alias("item_ids"))
-        a, b = _text_keys()
-        out = docs.join(found.hint("merge"), (a == F.col("_b_a")) & (b == F.col("_b_b")), "left").drop("_b_a", "_b_b").withColumn("item_ids", F.coalesce("item_ids", none))
+        found = found.select("_a", "_b", F.explode("item_ids").alias("item")).groupBy("_a", "_b").agg(F.array_sort(F.collect_set("item")).alias("item_ids"))
+        # the row travels in a struct, so that none of its columns is taken for one of those made here
+        rows = docs.select(F.struct(*docs.columns).alias("_row"), *_text_keys())
+        out = rows.join(found.hint("merge"), ["_a", "_b"], "left").select("_row.*", F.coalesce("item_ids", none).alias("item_ids"))
     return out.withColumn("contaminated", F.size("item_ids") > 0)
 
 
