@@ -9,8 +9,9 @@ these the whole texts.  Only their features (2 bytes each) go to the driver.  Al
 one map without a shuffle; what is broadcast is 2**BITS weights.
 
 Edge cases: null and empty texts have no feature and get the score of the bias; texts of any length are
-read whole; repeated labels of a doc_id count once (the least); labels that are null or other than 0 and 1
-are left out; with no labels of either class all scores are 0.5; an empty table gives an empty result.
+read whole; repeated labels of a doc_id count once (the least); labels that are null or other than 0 and 1,
+or of documents that aren't there, are left out; of rows with one doc_id the fit takes one (by text hash), and
+each is scored; with no labels of either class all scores are 0.5; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -125,13 +126,15 @@ def texts_of(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """The model of at most `sample` labelled rows of docs."""
     marks = labels.filter("quality in (0, 1)").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    chosen = marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    known = marks.join(docs.select("doc_id").distinct(), "doc_id")
+    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([grams(t).tobytes() for t in texts_of(batch)], pa.binary())], ["doc_id", "quality", "grams"])
 
     joined = docs.select("doc_id", "text").join(chosen, "doc_id").select(F.col("doc_id").cast("long"), F.col("quality").cast("int"), "text")
+    joined = joined.groupBy("doc_id", "quality").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
     rows = joined.mapInArrow(run, "doc_id long, quality int, grams binary").toArrow()
     order = np.argsort(rows.column(0).to_numpy(), kind="stable")
     features = rows.column(2).to_pylist()
