@@ -41,7 +41,7 @@ from kinsift.llm.textkit import U, flat, mix, shingle_sets, slices
 TREES, VALUES = 20, 6
 SIZE = TREES * VALUES
 DEPTHS = (4, 6, 9, 14, 24, 48, SIZE)
-DENSE, MARGIN, BLOCK, SHINGLES = 2048, 0.15, 4000, 4_000_000
+DENSE, MARGIN, BLOCK, SHINGLES, FEW = 2048, 0.15, 4000, 4_000_000, 500_000
 _RANDOM = np.random.Generator(np.random.PCG64(7))
 _A = _RANDOM.integers(1, 2**63, SIZE, dtype=np.uint64) * U(2) + U(1)
 _B = _RANDOM.integers(0, 2**63, SIZE, dtype=np.uint64)
@@ -191,12 +191,32 @@ def cross_links(sets: list[np.ndarray], component: np.ndarray, outside: np.ndarr
         yield from ((c, i) for i in np.flatnonzero(linked).tolist())
 
 
+def components_of_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, root) of all nodes of all edges (a, b): root is the least node of the component."""
+    edges = [(a, b) for batch in batches for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)]
+    root: dict[bytes, bytes] = {}
+
+    def find(x: bytes) -> bytes:
+        while (up := root.setdefault(x, x)) != x:
+            root[x] = x = root[up]
+        return x
+
+    for a, b in edges:
+        low, high = sorted((find(a), find(b)))
+        root[high] = low
+    nodes = list(root)
+    yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.binary()), pa.array([find(x) for x in nodes], pa.binary())], ["node", "root"])
+
+
 def connected(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     """(node, root) of all nodes of edges (a, b): root is the least node of the component.
 
-    Alternates large-star and small-star steps, each an aggregation and a join, until nothing changes.
+    Up to FEW edges are joined by one task.  More alternate large-star and small-star steps, each an
+    aggregation and a join, until nothing changes, which gives the same.
     """
     now = scratch.stage(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), f"{name}0")
+    if now.count() <= FEW:
+        return scratch.stage(now.coalesce(1).mapInArrow(components_of_edges, "node binary, root binary").filter("node <> root"), f"{name}1")
     seen, step = None, 0
     while True:
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
