@@ -176,7 +176,12 @@ def decide(rows: DataFrame, cutoffs: DataFrame) -> DataFrame:
 def verdicts(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """docs with counts, ratios, base_failed and kept; cutoffs come from the labelled rows of docs."""
     _, cutoffs = judged(docs, labels, Scratch(docs.sparkSession))
-    return decide(measured(docs.drop("kept", "stratum")).withColumn("stratum", stratum()), cutoffs)
+    # the columns that the rules don't need travel in a struct, so that none is taken for one of those made here
+    rest = [c for c in docs.columns if c not in ("doc_id", "text", "lang", "kept", "base_failed", *COUNTS, *RATIOS)]
+    packed = docs.select("doc_id", "text", "lang", F.struct(*rest, F.lit(0).alias("")).alias("_rest"))
+    judged_ = decide(measured(packed).withColumn("stratum", stratum()), cutoffs)
+    own = [c for c in docs.columns if c in ("doc_id", "text", "lang", *rest)]
+    return judged_.select(*(F.col("_rest").getField(c).alias(c) if c in rest else F.col(c) for c in own), *COUNTS, *RATIOS, "base_failed", "kept")
 
 
 def op8_risk_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

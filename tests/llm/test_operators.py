@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import math
 import random
 import re
 import time
@@ -11,9 +12,10 @@ import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from kinsift.llm import catalog, edit_screen, hash_tree, near_forest, oracle, parsed_repeats, piece_codec, ratio_svm, risk_rules, template_lines, token_store, warc_derive
-from kinsift.llm.scratch import Scratch
+from kinsift.llm.scratch import Scratch, shared_dir
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -39,9 +41,17 @@ def empty(spark):
     return spark.createDataFrame([], "doc_id long, text string, lang string, kept string")
 
 
-def test_repeats(docs, empty):
+@pytest.mark.parametrize("hot", [1 << 20, 30])
+def test_repeats(spark, monkeypatch, empty, hot):
+    """By force; with a passage of many documents, which differ around it, and triggers of over 30 windows spread out."""
+    monkeypatch.setattr(parsed_repeats, "HOT", hot)
+    rng = random.Random(2)
+    letters = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    passage = letters(200)
+    table = corpus() + [(100 + i, letters(rng.randint(0, 90)) + passage + letters(rng.randint(0, 90)), None, None) for i in range(60)]
+    docs = spark.createDataFrame(table, "doc_id long, text string, lang string, kept string")
     seen, want = set(), {}
-    for d, t, *_ in corpus():
+    for d, t, *_ in table:
         b = (t or "").encode()
         windows = [b[i : i + 50] for i in range(len(b) - 49)]
         gone = bytearray(len(b))
@@ -55,6 +65,21 @@ def test_repeats(docs, empty):
     assert parsed_repeats.remove_repeats(empty).count() == 0
 
 
+def test_scratch(spark, monkeypatch):
+    scratch = Scratch(spark)
+    assert scratch.stage(spark.range(3), "t").count() == 3
+    scratch.drop()
+
+    class Cluster:
+        master = "yarn"
+
+    class Session:
+        sparkContext, conf = Cluster, {}
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(Session)
+
+
 def linked_by_force(rows, k, threshold):
     """n_shingles and smallest reachable doc_id (None: none) of each row, with all pairs of rows compared."""
 
@@ -113,9 +138,10 @@ def test_near_of_missing_and_repeated_ids(spark):
     assert sorted(map(tuple, kept), key=str) == sorted([(1, a), (1, a), (1, b), (None, "alone here now"), (None, "alone here now"), (7, None), (8, "")], key=str)
 
 
-@pytest.mark.parametrize(("dense", "block"), [(2048, 4000), (8, 4000), (2048, 7), (8, 7)])
-def test_recall_of_the_forest(spark, monkeypatch, dense, block):
-    """Groups of near copies of 5 to 90 rows, pairs at similarities around the threshold; regions and blocks of all sizes."""
+@pytest.mark.parametrize(("dense", "block", "few"), [(2048, 4000, 500_000), (8, 4000, 500_000), (2048, 7, 0), (8, 7, 500_000)])
+def test_recall_of_the_forest(spark, monkeypatch, dense, block, few):
+    """Groups of near copies of 5 to 90 rows, pairs at similarities around the threshold; regions, blocks and graphs of all sizes."""
+    monkeypatch.setattr(near_forest, "FEW", few)
     monkeypatch.setattr(near_forest, "DENSE", dense)
     monkeypatch.setattr(near_forest, "BLOCK", block)
     rng = random.Random(12)
@@ -150,6 +176,40 @@ def test_tree(spark, docs, empty):
     assert hash_tree.assign(empty, tree).count() == 0
 
 
+def test_weights_of_the_tree(spark):
+    """Draws by force; a changed weight moves rows only out of, or into, the subtree that it changes."""
+    tree = hash_tree.HashTree()
+    for shard, (region, rack, weight) in enumerate([("a", "a1", 1.0), ("a", "a1", 3.0), ("a", "a2", 2.0), ("b", "b1", 6.0)]):
+        tree.add(shard, region, rack, weight)
+    heavier = hash_tree.HashTree({k: list(v) for k, v in tree.children.items()}, dict(tree.shards))
+    heavier.children["a1"] = [(n, 2 * w if n == "shard1" else w) for n, w in heavier.children["a1"]]
+    ids = spark.range(6000).withColumnRenamed("id", "doc_id").unionByName(spark.createDataFrame([(None,), (None,)], "doc_id long"))
+    rows = hash_tree.assign(hash_tree.assign(ids, tree), heavier, "after").collect()
+
+    def drawn(doc_id):
+        node = "root"
+        while node in tree.children:
+            u = lambda name: (int(hashlib.md5(f"{name}:{'null' if doc_id is None else doc_id}".encode()).hexdigest()[:12], 16) + 0.5) / 2**48  # noqa: B023, E731
+            node = min((-math.log(u(name)) / weight, name) for name, weight in tree.children[node])[1]
+        return tree.shards[node]
+
+    assert all(r.shard == drawn(r.doc_id) for r in rows)
+    assert all(r.shard == r.after or (r.shard, r.after) == (0, 1) for r in rows) and any(r.shard != r.after for r in rows)
+    counts = collections.Counter(r.shard for r in rows)
+    assert all(abs(counts[s] / 6000 - w / 12) < 0.03 for s, w in enumerate((1, 3, 2, 6)))
+
+
+def test_pieces_of_odd_rows(spark):
+    """Long texts without spaces, of spaces only, repeated rows, null doc_ids, clashing names."""
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=piece_codec.model_path())
+    texts = ["abcdefgh" * 5000, " " * 3000, "日本語" * 3000, "a" * 9000, None, "same", "same"]
+    docs = spark.createDataFrame([(None if t == "same" else i, t, "own", 1) for i, t in enumerate(texts)], "doc_id long, text string, decoded string, ids int")
+    got = piece_codec.encode(docs, piece_codec.model_path()).collect()
+    assert sorted((r.text or "", list(r.piece_ids), r.decoded, r.ids) for r in got) == sorted((t or "", model.encode(t or ""), model.decode(model.encode(t or "")), 1) for t in texts)
+
+
 def test_pieces(docs, empty):
     import sentencepiece
 
@@ -181,6 +241,30 @@ def test_rules(spark, docs, empty):
     assert risk_rules.certified(1000, [0, 1, 400], 0.01, 0.05) == 2 and risk_rules.certified(20, [0], 0.01, 0.05) == 0
 
 
+def test_cutoffs_keep_their_promise():
+    """Of 2,000 holdouts whose true rate of false rejection is just over ALPHA, at most a share of DELTA (and chance) certifies."""
+    rng = np.random.default_rng(6)
+    for n in (100, 400, 2000):
+        wrong = sum(risk_rules.certified(n, [int(x)], 0.05, 0.05) for x in rng.binomial(n, 0.0501, 2000))
+        assert wrong <= 2000 * 0.05 + 3 * math.sqrt(2000 * 0.05)
+    # one failed cutoff ends the walk, whatever comes after it
+    assert risk_rules.certified(1000, [0, 400, 0], 0.01, 0.05) == 1
+    for rejected, n, rate in ((3, 60, 0.1), (0, 5, 0.5), (40, 800, 0.05)):
+        assert risk_rules.tail(rejected, n, rate) == pytest.approx(sum(math.comb(n, k) * rate**k * (1 - rate) ** (n - k) for k in range(rejected + 1)))
+
+
+def test_strata(spark):
+    """A null language is a stratum of its own, with cutoffs of its own; own columns of the rules' names stay or are replaced."""
+    prose = " ".join(f"word{i}" for i in range(100))
+    rows = [(i, prose + " *" * (30 if i % 2 else 0), None if i % 2 else "") for i in range(1200)] + [(9000, prose + " *" * 30, ""), (9001, prose + " *" * 30, None), (None, prose, "xx")]
+    docs = spark.createDataFrame([(*r, "own", "mine") for r in rows], "doc_id long, text string, lang string, stratum string, kept string")
+    labels = spark.createDataFrame([(i, 1) for i in range(1200)], "doc_id long, quality int")
+    found = risk_rules.verdicts(docs, labels)
+    assert found.columns[:4] == ["doc_id", "text", "lang", "stratum"] and found.columns.count("kept") == 1
+    got = {r.doc_id: (r.kept, r.stratum) for r in found.collect()}
+    assert got[9000] == (False, "own") and got[9001] == (True, "own") and got[None] == (True, "own") and got[1] == got[0] == (True, "own")
+
+
 def test_lines(spark):
     a, b = "licensed to alice under terms of version 3", "licensed to alice under terms of version 4"
     rows = [(1, f"first own line of this text here\n{a}"), (2, f"{b}\nanother line that is only here 1"), (3, None), (4, ""), (5, "short line\nshort line"), (6, "short line")]
@@ -190,7 +274,10 @@ def test_lines(spark):
     assert template_lines.strip_templates(docs.limit(0)).count() == 0
 
 
-def test_lines_of_several_templates(spark):
+@pytest.mark.parametrize("held", [2000, 3])
+def test_lines_of_several_templates(spark, monkeypatch, held):
+    """Of a leaf with several templates and unrelated lines; also with blocks of far more lines than a task may hold."""
+    monkeypatch.setattr(template_lines, "HELD", held)
     word = lambda i: "".join(chr(97 + int(c)) for c in str(i))
     one = lambda x: f"thank you for visiting our shop in {x} today my friend"
     two = lambda x: f"thank you for calling the {x} office on behalf of others"
@@ -205,6 +292,61 @@ def test_lines_of_several_templates(spark):
     assert got == {i: "" if i in gone else t for i, t in rows}
 
 
+def test_lines_of_odd_rows(spark):
+    """Repeated rows and doc_ids, null doc_ids, a long text, clashing names; lines differ in case and white space."""
+    long = "\n".join(f"unique line number {i} of text {'x' * (i % 7)}{chr(97 + i % 26)}{chr(97 + i // 26 % 26)} end" for i in range(3000))
+    rows = [(1, "shared line\nown a"), (1, "shared line\nown a"), (1, "own b\nshared line"), (2, "shared line\n\nlast"), (None, "shared line\nnull own"), (None, None), (3, long), (4, long + "\nnew"), (5, "Shared line"), (6, " shared  line ")]
+    docs = spark.createDataFrame([(d, t, "own", 7, "kept") for d, t in rows], "doc_id long, text string, template string, n_chars int, _dropped string")
+    got = template_lines.strip_templates(docs, shortest=1)
+    assert got.columns == [*docs.columns, "dropped_lines"]
+    # lines of texts with a digit or one letter changed are one template, of which document 3 keeps all
+    want = [(1, "own b\nshared line"), (1, "shared line\nown a"), (1, "shared line\nown a"), (2, "\nlast"), (None, "null own"), (None, None), (3, long), (4, "new"), (5, "Shared line"), (6, "")]
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=str) == sorted(want, key=str)
+    assert {r.template for r in got.collect()} == {"own"}
+
+
+def test_lines_by_force(spark):
+    """On the driver's table: every line that recurs by the exact rule goes, and every other one that goes has a like line in an earlier document."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    got = {r.doc_id: r.text for r in template_lines.strip_templates(docs, shortest=1).collect()}
+
+    def parts(line):
+        tokens = [None if re.search("[0-9]", w) else w for w in WORD.findall(line)]
+        return tokens, sum(t is not None for t in tokens)
+
+    def exact(line):
+        tokens, constants = parts(line)
+        return tuple(tokens) if len(tokens) >= 5 and constants >= 0.5 * len(tokens) else tuple(WORD.findall(line))
+
+    seen, leaves, n_exact, n_like = set(), collections.defaultdict(list), 0, 0
+    for d in sorted(texts):
+        lines = texts[d].split("\n")
+        kept = iter([*got[d].split("\n"), None])
+        at = next(kept)
+        left = []
+        for i, line in enumerate(lines):
+            # what is left is a subsequence: a line is dropped if it isn't the next one that is left, or must go
+            gone = exact(line) in seen if WORD.search(line) else False
+            if not gone and at == line:
+                at = next(kept)
+                left.append(i)
+            elif gone:
+                n_exact += 1
+            else:
+                tokens, constants = parts(line)
+                need = max(template_lines.MIN_CONSTANT, math.ceil(template_lines.CONSTANT_SHARE * len(tokens) - 1e-9))
+                assert any(sum(a is not None and a == b for a, b in zip(tokens, other, strict=True)) >= need for other in leaves[len(tokens), tuple(tokens[:3])]), line
+                n_like += 1
+        assert at is None or (not left and got[d] == ""), d  # all that is left was met
+        for line in lines:
+            if WORD.search(line):
+                seen.add(exact(line))
+                tokens, _ = parts(line)
+                leaves[len(tokens), tuple(tokens[:3])].append(tokens)
+    assert n_exact > 1000
+
+
 def test_short_lines(spark, tmp_path):
     rows = [(1, "All rights reserved.\nPage 1\n一行文字"), (2, "own\nAll  rights reserved."), (3, "Page 1\nPage 2\nrights reserved."), (4, "一行文字\n\nlast")]
     spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
@@ -276,7 +418,7 @@ def test_screen_against_force(spark, monkeypatch, sizes):
     assert {(r.doc_id, i) for r in again.collect() for i in r.item_ids} >= short and again.count() == 2 * len(rows)
 
 
-def test_store(spark, docs, empty, tmp_path):
+def test_store(spark, docs, empty, tmp_path, monkeypatch):
     import public_tokenizers
     from tokenizers import Tokenizer
 
@@ -290,6 +432,14 @@ def test_store(spark, docs, empty, tmp_path):
         assert (got[d].start, got[d].n_tokens, got[d].ids_crc32, got[d].ids) == (start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()), ids)
         start += len(ids)
     token_store.write_store(empty, str(tmp_path / "e"), path)
+    assert token_store.read_store(spark, str(tmp_path / "e")).count() == 0
+    monkeypatch.setattr(token_store, "FILE_DOCS", 3)  # several files a task; null and repeated doc_ids
+    odd = [(None, "null"), (5, "five"), (5, "five"), (5, "other five"), (-3, "x" * 200_000), (None, None), (2**40, "far")]
+    token_store.write_store(spark.createDataFrame([(*r, 0) for r in odd], "doc_id long, text string, start int"), str(tmp_path / "o"), path, files=2)
+    read = sorted(token_store.read_store(spark, str(tmp_path / "o"), with_ids=True).collect(), key=lambda r: r.start)
+    ids = lambda t: [*tokenizer.encode(t or "", add_special_tokens=False).ids, 2]
+    assert sorted((str(r.doc_id), r.ids) for r in read) == sorted((str(d), ids(t)) for d, t in odd)
+    assert [r.doc_id for r in read] == [None, None, -3, 5, 5, 5, 2**40] and [r.start for r in read] == [sum(q.n_tokens for q in read[:i]) for i in range(7)]
     for n in (0, 1, 5, 64, 65, 3000):
         values = np.cumsum(np.random.default_rng(n).integers(0, 5000, n))
         packed = token_store.EliasFano.unpack(token_store.EliasFano.of(values).pack())
@@ -339,6 +489,35 @@ def test_classifier(spark, empty):
     got = {r.doc_id: r.score for r in ratio_svm.score(docs, model).collect()}
     assert all((got[i] >= 0.7) == bool(i % 2) for i in range(100, 200)) and got[200] == got[201] and 0 <= got[200] <= 1
     assert {r.score for r in ratio_svm.score(docs, ratio_svm.train(docs, labels.limit(0))).collect()} == {0.5}
+    assert ratio_svm.score(empty, model).count() == 0 and ratio_svm.train(empty, labels).bias == 0.0
+    # repeated rows, other labels of a document, labels of none, clashing names, a long text; slots go to documents that are there
+    more = docs.unionByName(docs).unionByName(spark.createDataFrame([(300, "good fine " * 100_000)], "doc_id long, text string")).withColumn("score", F.lit("own")).withColumn("quality", F.lit(9))
+    odd = labels.unionByName(spark.createDataFrame([(7, 1), (7, None), (8, 5), *((i, i % 2) for i in range(1000, 1400))], "doc_id long, quality int"))
+    again = ratio_svm.train(more, odd, sample=100)
+    assert np.allclose(again.weight, model.weight) and again.bias == pytest.approx(model.bias)
+    scores = ratio_svm.score(more, again).collect()
+    assert len(scores) == 405 and all(r.score == pytest.approx(got[r.doc_id]) for r in scores if r.doc_id < 300) and max(r.score for r in scores if r.doc_id == 300) >= 0.7
+
+
+def test_descent_against_force(monkeypatch):
+    """The model of dual coordinate descent has the least hinge loss that many small steps find."""
+    monkeypatch.setattr(ratio_svm, "EPOCHS", 200)
+    rng = np.random.default_rng(4)
+    labels = np.array([0, 1] * 20)
+    rows = [np.unique(rng.integers(0, 40, 12) + 15 * y).astype(np.uint16) for y in labels]
+    ratio = ratio_svm.log_ratios(rows, labels)
+    w, b = ratio_svm.descend(rows, labels, ratio)
+    x = np.zeros((40, 60))
+    for i, r in enumerate(rows):
+        x[i, r] = ratio[r] / np.sqrt(ratio[r] @ ratio[r])
+    x, sign = np.hstack([x, np.ones((40, 1))]), labels * 2 - 1
+    loss = lambda v: v @ v / 2 + np.maximum(0, 1 - sign * (x @ v)).sum()
+    best, v = np.inf, np.zeros(61)
+    for step in range(1, 20_000):
+        active = sign * (x @ v) < 1
+        v -= (v - (x[active] * sign[active, None]).sum(axis=0)) / (step + 10)
+        best = min(best, loss(v))
+    assert loss(np.append(w[:60], b)) <= best * 1.005
 
 
 def test_warc(spark, tmp_path):
@@ -420,6 +599,47 @@ def test_pipeline_keeps_columns(spark):
         assert docs_next.columns == docs.columns
 
 
+def test_pipeline_by_force(spark):
+    """Each stage of the pipeline on its own input, against brute force, the SQL or the library."""
+    import corpus_pipeline
+    import sentencepiece
+
+    folder = "/root/testdata/sf0.001"
+    stages, benchmark = dict(corpus_pipeline.STAGES), [(r.item_id, r.text) for r in spark.read.parquet(f"{folder}/benchmark.parquet").collect()]
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    con = duckdb.connect()
+    for table in ("documents", "labels"):
+        con.sql(f"create view {table} as select * from '{folder}/{table}.parquet'")
+    ruled = stages["quality rules"](spark, docs, folder)
+    assert sorted(r.doc_id for r in ruled.collect()) == sorted(d for d, kept in con.sql(f"select doc_id, kept from ({oracle.RULES})").fetchall() if kept)
+    lined = Scratch(spark).stage(stages["line dedup"](spark, ruled, folder), "lined")
+    rows = [(r.doc_id, r.text) for r in lined.collect()]
+    assert all(r.n_chars == len(r.text) for r in lined.collect())
+    copies = [(10**6 + i, t.replace(" ", "  ").replace(".", " ", 1) + " tail") for i, (_, t) in enumerate(rows) if len(t.split()) > 60]
+    both = lined.unionByName(lined.limit(0).unionByName(spark.createDataFrame([(d, t, "en", "x", 0) for d, t in copies], lined.schema)))
+    alone = stages["near-duplicate removal"](spark, both, folder)
+    want = [d for d, _, component in linked_by_force(rows + copies, 5, 80) if d == component]
+    assert sorted(r.doc_id for r in alone.collect()) == sorted(want) and len(want) < len(rows) + len(copies) / 10
+    alone = Scratch(spark).stage(stages["near-duplicate removal"](spark, lined, folder), "alone")
+    clean = stages["benchmark decontamination"](spark, alone, folder)
+    h, of = edit_screen.word_hashes(pa.array([t for _, t in benchmark], pa.string()))
+    items = [h[of[i] : of[i + 1]] for i in range(len(benchmark))]
+    hit = set()
+    for r in alone.collect():
+        words, _ = edit_screen.word_hashes(pa.array([r.text], pa.string()))
+        seen = set(words.tolist())
+        if any(len(seen.intersection(w.tolist())) >= len(set(w.tolist())) - edit_screen.edits(len(w)) and edit_screen.distance(w, words) <= edit_screen.edits(len(w)) for w in items):
+            hit.add(r.doc_id)
+    kept = {r.doc_id: r.text for r in clean.collect()}
+    assert set(kept) == {r.doc_id for r in alone.collect()} - hit and hit
+    model = sentencepiece.SentencePieceProcessor(model_file=piece_codec.model_path())
+    final = {r.doc_id: r for r in corpus_pipeline.run(spark, folder).collect()}
+    assert set(final) == set(kept)
+    for d, t in kept.items():
+        ids = model.encode(t)
+        assert (final[d].n_tokens, list(final[d].piece_ids), final[d].decoded) == (len(ids), ids, model.decode(ids))
+
+
 def test_pipeline_leaves_other_columns_alone(spark):
     import corpus_pipeline
 
