@@ -48,36 +48,50 @@ def address_parts(c: Column) -> Column:
     )
 
 
+def _address_fields(a: Column) -> dict[str, Column]:
+    """What features need of an address: words, numbers, pin, city, state."""
+    parts = address_parts(a)
+    numbers = F.array_distinct(F.regexp_extract_all(a, F.lit("[0-9]+"), F.lit(0)))
+    return {"words": F.array_distinct(text.words(a)), "numbers": numbers, **{c: parts[c] for c in ("pin", "city", "state")}}
+
+
 def features(pairs: DataFrame) -> DataFrame:
     """pairs (cand_id, name1, addr1, name2, addr2, ...) with FEATURES, all expressions of the JVM.
 
     Pairs may bring the cosines ``tfidf`` and ``embedding`` (of blocking); missing ones count as 0, and
     ``name_or_embedding`` is the better of the name's similarity and the embedding's.
     """
-    n1, n2, a1, a2 = (F.coalesce(c, F.lit("")) for c in ("name1", "name2", "addr1", "addr2"))
-    t1, t2 = F.array_distinct(text.words(n1)), F.array_distinct(text.words(n2))
-    numbers = [F.array_distinct(F.regexp_extract_all(a, F.lit("[0-9]+"), F.lit(0))) for a in (a1, a2)]
-    pins = [F.regexp_extract(a, r"(\d{4,6})\D*$", 1) for a in (a1, a2)]
-    part1, part2 = address_parts(a1), address_parts(a2)
-    out = pairs.withColumns({
-        "city_match": F.coalesce(part1["city"] == part2["city"], F.lit(False)).cast("double"),
-        "state_match": F.coalesce(part1["state"] == part2["state"], F.lit(False)).cast("double"),
+    own = pairs.columns
+    # what several features need stands in columns of its own, so that it is made once a pair
+    made = pairs.withColumns({f"_{c}": F.coalesce(c, F.lit("")) for c in ("name1", "name2", "addr1", "addr2")})
+    n1, n2, a1, a2 = (F.col(f"_{c}") for c in ("name1", "name2", "addr1", "addr2"))
+    made = made.withColumns({f"_w{i}": text.words(n) for i, n in ((1, n1), (2, n2))})
+    made = made.withColumns({f"_t{i}": F.array_distinct(f"_w{i}") for i in (1, 2)} | {f"_{part}{i}": value for i, a in ((1, a1), (2, a2)) for part, value in _address_fields(a).items()})
+    made = made.withColumns({"_both": F.array_sort(F.array_intersect("_t1", "_t2")), "_only1": F.array_sort(F.array_except("_t1", "_t2")), "_only2": F.array_sort(F.array_except("_t2", "_t1"))})
+    made = made.withColumns({"_base": F.array_join("_both", " "), **{f"_set{i}": F.array_join(F.concat("_both", f"_only{i}"), " ") for i in (1, 2)}, **{f"_sorted{i}": F.array_join(F.array_sort(f"_w{i}"), " ") for i in (1, 2)}})
+    of = lambda part: (F.col(f"_{part}1"), F.col(f"_{part}2"))
+    base, (set1, set2), (pin1, pin2) = F.col("_base"), of("set"), of("pin")
+    same = lambda part: F.coalesce(F.col(f"_{part}1") == F.col(f"_{part}2"), F.lit(False)).cast("double")
+    shared, either = F.size("_both"), F.size("_both") + F.size("_only1") + F.size("_only2")
+    out = made.withColumns({
+        "city_match": same("city"),
+        "state_match": same("state"),
         "from_s3": F.col("cand_id").startswith("S3-").cast("double"),
         "missing_addr": ((a1 == "") | (a2 == "")).cast("double"),
         "name_levenshtein": similarity(n1, n2),
-        "name_jaccard": jaccard(t1, t2),
+        "name_jaccard": F.when(either == 0, 0.0).otherwise(shared / either),
         "addr_levenshtein": similarity(a1, a2),
-        "addr_jaccard": jaccard(F.array_distinct(text.words(a1)), F.array_distinct(text.words(a2))),
+        "addr_jaccard": jaccard(*of("words")),
         "same_name": (n1 == n2).cast("double"),
         "length_ratio": F.when(F.greatest(F.length(n1), F.length(n2)) == 0, 1.0).otherwise(F.least(F.length(n1), F.length(n2)) / F.greatest(F.length(n1), F.length(n2))),
-        "shared_tokens": F.size(F.array_intersect(t1, t2)).cast("double"),
-        "pin_match": ((pins[0] != "") & (pins[0] == pins[1])).cast("double"),
-        "number_overlap": jaccard(*numbers),
+        "shared_tokens": shared.cast("double"),
+        "pin_match": F.coalesce(pin1 == pin2, F.lit(False)).cast("double"),
+        "number_overlap": jaccard(*of("numbers")),
         "has_both_addr": ((a1 != "") & (a2 != "")).cast("double"),
-        "token_sort": token_sort_ratio(n1, n2),
-        "token_set": token_set_ratio(n1, n2),
+        "token_sort": similarity(*of("sorted")),
+        "token_set": F.greatest(F.when(shared > 0, F.greatest(similarity(base, set1), similarity(base, set2))).otherwise(0.0), similarity(set1, set2)),
     })
-    out = out.withColumn("name_x_addr", F.col("name_levenshtein") * F.col("addr_levenshtein"))
+    out = out.withColumn("name_x_addr", F.col("name_levenshtein") * F.col("addr_levenshtein")).select(*[c for c in own if c not in FEATURES], *FEATURES)
     given = {c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in ("tfidf", "embedding") if c in pairs.columns}
     out = out.withColumns(given) if given else out
     return out.withColumn("name_or_embedding", F.greatest("name_levenshtein", "embedding")) if "embedding" in given else out

@@ -38,6 +38,22 @@ def bound(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+SMALL = 1 << 30  # bytes
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A small table that would come in fewer partitions than there are cores, dealt to all of them.
+
+    Rules cost far more than moving a row; large tables and streams stay as they are.
+    """
+    if df.isStreaming:
+        return df
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores) if size < min(SMALL, cores * (128 << 20)) else df
+
+
 def _with(step: Callable[[Column], Column]) -> Callable[[Column], Column]:
     """Appends the step's result on the last text."""
     return lambda texts: F.concat(texts, F.array(step(F.element_at(texts, -1))))
@@ -107,7 +123,7 @@ def normalize_names(df: DataFrame, column: str = schema.NAME, toggles: Mapping[s
     parenthesised suffix keeps the space after it.
     """
     own = df.columns
-    df = df.withColumn("_raw", F.when(rules.strip(F.coalesce(F.col(column), F.lit(""))) == "", F.lit("")).otherwise(F.col(column)))
+    df = spread(df).withColumn("_raw", F.when(rules.strip(F.coalesce(F.col(column), F.lit(""))) == "", F.lit("")).otherwise(F.col(column)))
     df, text, alias, fired = _name_chain(df, "_raw", toggles, "_n", True, parity)
     df = df.withColumn("_accents", scripts.accents_and_scripts(F.col(text)))
     found = F.col("_accents.scripts") if parity else F.array_remove(F.col("_accents.scripts"), "COMBINING")
@@ -130,12 +146,12 @@ def normalize_names(df: DataFrame, column: str = schema.NAME, toggles: Mapping[s
     return df.select(*[c for c in own if c not in NAME_COLUMNS], *NAME_COLUMNS)
 
 
-def normalize_addresses(df: DataFrame, column: str = schema.ADDRESS, toggles: Mapping[str, bool] | None = None) -> DataFrame:
-    """df with ADDRESS_COLUMNS; without the column they are empty."""
+def normalize_addresses(df: DataFrame, column: str = schema.ADDRESS, toggles: Mapping[str, bool] | None = None, dealt: bool = False) -> DataFrame:
+    """df with ADDRESS_COLUMNS; without the column they are empty. dealt: a small df need not be spread any more."""
     own = [c for c in df.columns if c not in ADDRESS_COLUMNS]
     if column not in df.columns:
         return df.select(*own, F.lit("").alias("addr_clean"), F.lit("").alias("addr_no_accent"), F.lit(False).alias("has_addr"), F.lit("").alias("addr_rules_fired"))
-    df = df.withColumn("_raw", F.when(rules.strip(F.coalesce(F.col(column), F.lit(""))) == "", F.lit("")).otherwise(F.col(column)))
+    df = (df if dealt else spread(df)).withColumn("_raw", F.when(rules.strip(F.coalesce(F.col(column), F.lit(""))) == "", F.lit("")).otherwise(F.col(column)))
     df, at, fired = _unicode_steps(df, "_raw", toggles, "_d")
     df, at, more = fold(df, at, rules.ADDRESS_RULES, toggles, "_d")
     bare = scripts.accents_and_scripts(F.col(at))["no_accent"] if enabled(toggles, "strip_accent_noise") else F.col(at)
@@ -146,7 +162,7 @@ def normalize_addresses(df: DataFrame, column: str = schema.ADDRESS, toggles: Ma
 
 def normalize(df: DataFrame, toggles: Mapping[str, bool] | None = None, parity: bool = True) -> DataFrame:
     """A source table with all derived columns; also works on a stream, as it keeps no state."""
-    return normalize_addresses(normalize_names(df, toggles=toggles, parity=parity), toggles=toggles)
+    return normalize_addresses(normalize_names(df, toggles=toggles, parity=parity), toggles=toggles, dealt=True)
 
 
 def fire_rates(normalized: DataFrame, column: str = "name_rules_fired") -> DataFrame:

@@ -14,11 +14,12 @@ from contextvars import ContextVar
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinsift import schema
+from kinsift import jobs, schema
 from kinsift.functions import rules, scripts, text
 from kinsift.operators import blocking, evaluate, matching, normalize, profile, split, validate
 from kinsift.plans import chains
 from kinsift.sources import tables
+from kinsift.streaming import normalize as stream
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -527,7 +528,8 @@ def split_quality(spark, sf_dir):
 def _pairs(spark, sf_dir) -> DataFrame:
     """Candidate pairs with names, addresses and label."""
     s1, pool = both(spark, sf_dir)
-    cands = blocking.token_blocking(s1, pool, "business_name", 0.05)
+    # pairs are few bytes and much work: without this, small tables end up in one task
+    cands = blocking.token_blocking(s1, pool, "business_name", 0.05).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
     truth = truth_pairs(s1, pool).withColumn("label", F.lit(1))
     left = s1.select(F.col("entity_id").alias("s1_id"), F.col("business_name").alias("name1"), F.col("business_address").alias("addr1"))
     right = pool.select(F.col("entity_id").alias("cand_id"), F.col("business_name").alias("name2"), F.col("business_address").alias("addr2"))
@@ -711,6 +713,163 @@ def addr_rules(spark, sf_dir):
     return rows
 
 
+@query(f"WITH {_REC} SELECT entity_id, business_name AS value FROM rec")
+def rule_fix_encoding(spark, sf_dir):
+    """Names whose UTF-8 was read as Latin-1 are themselves again."""
+    broken = F.decode(F.encode("business_name", "UTF-8"), "ISO-8859-1")
+    return records(spark, sf_dir).select("entity_id", scripts.fix_encoding(broken).alias("value"))
+
+
+@query(f"WITH {_MERGED.format(cap=5)} SELECT s1.entity_id AS s1_id, coalesce(string_agg(cand_id, ',' ORDER BY cand_id), '') AS ids FROM s1 LEFT JOIN capped c ON c.s1_id = s1.entity_id GROUP BY 1")
+def run_blocking_lists(spark, sf_dir):
+    s1, pool = map(plain, both(spark, sf_dir))
+    own = {"token": lambda a, b: blocking.token_blocking(a, b, "business_name", 0.05), "exact": lambda a, b: blocking.exact_blocking(a, b, "nm")}
+    return blocking.run_blocking(s1, pool, most=5, strategies=own)[1].select("s1_id", F.array_join("ids", ",").alias("ids"))
+
+
+@query(f"WITH {_REC}, {_RAW}, f AS (SELECT 'self_match' AS \"check\", id AS offender FROM item WHERE id LIKE 'S1-%' UNION SELECT 'wrong_prefix', id FROM item WHERE NOT regexp_matches(id, '^S[123]-') UNION SELECT 'extra_id', s1_id FROM raw WHERE s1_id NOT IN (SELECT entity_id FROM rec WHERE src = 'S1')), r AS (SELECT *, row_number() OVER (PARTITION BY \"check\" ORDER BY offender) AS k FROM f) SELECT \"check\", count(*) AS n_total, string_agg(CASE WHEN k <= 5 THEN offender END, ', ' ORDER BY offender) AS examples FROM r GROUP BY 1")
+def finding_examples(spark, sf_dir):
+    found = validate_findings(spark, sf_dir).filter(F.col("check").isin("self_match", "wrong_prefix", "extra_id"))
+    return validate.examples(found)
+
+
+@query(f"WITH {_SCORED}, r AS (SELECT p, label, rank() OVER (ORDER BY p) + (count(*) OVER (PARTITION BY p) - 1) / 2.0 AS k FROM scored) SELECT round((sum(CASE WHEN label = 1 THEN k END) - count(*) FILTER (label = 1) * (count(*) FILTER (label = 1) + 1) / 2.0) / (count(*) FILTER (label = 1) * count(*) FILTER (label = 0)), 6) AS area_under_roc FROM r")
+def roc_area(spark, sf_dir):
+    return spark.createDataFrame([(round(matching.areas(_scored(spark, sf_dir))["areaUnderROC"], 6),)], "area_under_roc double")
+
+
+@query("SELECT a.vec_id AS a_id, b.vec_id AS b_id, round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 6) AS cosine FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1")
+def embedding_cosine(spark, sf_dir):
+    v = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    a, b = v.select(F.col("vec_id").alias("a_id"), F.col("embedding").alias("x")), v.select(F.col("vec_id").alias("b_id"), F.col("embedding").alias("y"))
+    return a.join(b, F.col("b_id") == F.col("a_id") + 1).select("a_id", "b_id", F.round(matching.cosine(F.col("x"), F.col("y")), 6).alias("cosine"))
+
+
+_DBA_SQL = r"(?i)^(.*?)\s+d/?b/?a\s+(.*)$"
+
+
+@query(f"WITH {_PAIRS}, a AS (SELECT *, CASE WHEN regexp_matches(name1, '{_DBA_SQL}') THEN trim(regexp_extract(name1, '{_DBA_SQL}', 1)) ELSE name1 END AS legal, CASE WHEN regexp_matches(name1, '{_DBA_SQL}') THEN trim(regexp_extract(name1, '{_DBA_SQL}', 2)) END AS alias FROM p) SELECT s1_id, cand_id, round(greatest({_SIM.format(a='legal', b='name2')}, CASE WHEN alias IS NULL THEN 0.0 ELSE {_SIM.format(a='alias', b='name2')} END), 6) AS best FROM a")
+def alias_similarity(spark, sf_dir):
+    pairs = _ascii(_pairs(spark, sf_dir))
+    legal, alias = rules.dba_parts(F.col("name1"))
+    parted = pairs.select("s1_id", "cand_id", "name2", legal.alias("legal"), alias.alias("alias"))
+    return parted.select("s1_id", "cand_id", F.round(matching.best_of_alias(F.col("legal"), F.col("alias"), F.col("name2")), 6).alias("best"))
+
+
+# --- through files ---------------------------------------------------------------------------------
+
+_NA = ", ".join(f"'{v}'" for v in schema.NA_VALUES)
+_READ = ", ".join(f"CASE WHEN {c} IN ({_NA}) THEN NULL ELSE {c} END AS {c}" for c in schema.SOURCE.names)
+
+
+def _source_files(spark, sf_dir, prefix: str = "train") -> str:
+    """Writes the records as three source tables; returns the folder."""
+    folder = tables.shared_folder(spark)
+    for i in (1, 2, 3):
+        rows = records(spark, sf_dir).filter(F.col("src") == f"S{i}").select(*schema.SOURCE.names)
+        tables.write_normalized(rows, f"{folder}/{prefix}/{prefix}_source{i}.tsv", tsv=True)
+    return folder
+
+
+@query(f"WITH {_REC} SELECT {_READ} FROM rec")
+def source_files_scan(spark, sf_dir):
+    folder = _source_files(spark, sf_dir)
+    parts = [tables.read_source(spark, f"{folder}/train/train_source{i}.tsv") for i in (1, 2, 3)]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query(f"WITH {_TRUTH}, {_EXACT_SQL} SELECT s1.entity_id AS s1_id, coalesce(string_agg(cand_id, ',' ORDER BY cand_id), '') AS ids FROM s1 LEFT JOIN ex ON ex.s1_id = s1.entity_id GROUP BY 1")
+def id_list_file(spark, sf_dir):
+    path = f"{tables.shared_folder(spark)}/matching_results.tsv"
+    tables.write_id_lists(_exact_lists(spark, sf_dir)[0], path)
+    return tables.read_id_lists(spark, path).select("s1_id", F.array_join(F.array_sort("ids"), ",").alias("ids"))
+
+
+@query(f"WITH {_SIDES} SELECT entity_id AS id, (SELECT count(*) FROM s1) AS n_lines FROM s1")
+def first_column_ids(spark, sf_dir):
+    path = f"{tables.shared_folder(spark)}/matching_results.tsv"
+    tables.write_id_lists(_exact_lists(spark, sf_dir)[0], path)
+    return tables.read_ids(spark, path).withColumn("n_lines", F.lit(tables.count_physical(spark, path)))
+
+
+@query(f"WITH {_SIDES} SELECT DISTINCT entity_id AS id FROM pool")
+def match_target_ids(spark, sf_dir):
+    return tables.match_targets(spark, _source_files(spark, sf_dir, "test") + "/test")
+
+
+@query(f"WITH {_STRATA}, {_SPLIT} SELECT sp.s1_id, CASE WHEN is_val THEN 'val' ELSE 'train' END AS part, coalesce(string_agg(cand_id, ',' ORDER BY cand_id), '') AS ids FROM sp LEFT JOIN truth t ON t.s1_id = sp.s1_id GROUP BY 1, 2")
+def split_files(spark, sf_dir):
+    folder = tables.shared_folder(spark)
+    jobs.write_split(split.stratified_split(truth_lists(*both(spark, sf_dir))), folder)
+    out = None
+    for part in ("train", "val"):
+        lists = tables.read_id_lists(spark, f"{folder}/{part}_ground_truth.tsv")
+        ids = tables.read_ids(spark, f"{folder}/{part}_s1_ids.txt", header=False).withColumnRenamed("id", "s1_id")
+        one = lists.join(ids, "s1_id").select("s1_id", F.lit(part).alias("part"), F.array_join(F.array_sort("ids"), ",").alias("ids"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+_DERIVED = ("entity_id", *normalize.NAME_COLUMNS, *normalize.ADDRESS_COLUMNS)
+
+
+@query(f"WITH {_REC}, {chains.names()}, {chains.addresses('n_done')} SELECT {', '.join(_DERIVED)} FROM d_done WHERE src = 'S1'")
+def normalized_file(spark, sf_dir):
+    folder = _source_files(spark, sf_dir)
+    return jobs.normalize_file(spark, f"{folder}/train/train_source1.tsv", f"{folder}/train_source1_norm").select(*_DERIVED)
+
+
+_VAL_PAIRS = "found AS (SELECT DISTINCT a.entity_id AS s1_id, b.entity_id AS cand_id FROM n_done a JOIN n_done b ON a.src = 'S1' AND b.src <> 'S1' AND a.country = b.country AND a.name_clean = b.name_clean JOIN sp ON sp.s1_id = a.entity_id AND sp.is_val WHERE a.name_clean <> '')"
+_VAL_SQL = f"{_STRATA}, {_SPLIT}, {chains.names()}, {_VAL_PAIRS}, mine AS (SELECT s1_id, cand_id FROM (SELECT *, row_number() OVER (PARTITION BY s1_id ORDER BY cand_id) AS k FROM found) WHERE k <= 100)"
+
+
+@query(f"WITH {_VAL_SQL}, {_ENTITY.format(c='mine')}, v AS (SELECT per.* FROM per JOIN sp ON sp.s1_id = per.s1_id AND sp.is_val) SELECT country, {_RECALL}, CASE WHEN CASE WHEN sum(n_truth) > 0 THEN sum(n_found) / sum(n_truth) ELSE 1.0 END >= 0.95 THEN 'MET' ELSE 'BELOW' END AS status FROM v GROUP BY GROUPING SETS ((country), ())")
+def validation_blocking(spark, sf_dir):
+    """The whole way: source files, normalized; truth, split and written; the validation part blocked against the pool."""
+    folder = _source_files(spark, sf_dir)
+    jobs.normalize_sources(spark, folder, f"{folder}/norm", kinds=("train",))
+    jobs.write_split(split.stratified_split(truth_lists(*both(spark, sf_dir))), f"{folder}/splits")
+    stats, _ = jobs.block_validation(spark, f"{folder}/norm", f"{folder}/splits", folder, strategies={"exact": blocking.exact_blocking})
+    return stats.withColumns({c: F.round(c, 6) for c in _RATES if c in stats.columns})
+
+
+@query(f"WITH {_SIDES} SELECT entity_id AS s1_id, '' AS matches, coalesce((SELECT string_agg(DISTINCT p.entity_id, ',' ORDER BY p.entity_id) FROM pool p WHERE p.country = s1.country AND p.text = s1.text), '') AS candidates FROM s1")
+def submission_files(spark, sf_dir):
+    folder = _source_files(spark, sf_dir, "test")
+    jobs.write_submission(spark, folder, folder, candidates=truth_pairs(*both(spark, sf_dir)))
+    files = [tables.read_id_lists(spark, f"{folder}/{name}.tsv").select("s1_id", F.array_join(F.array_sort("ids"), ",").alias(c)) for name, c in (("matching_results", "matches"), ("candidate_pairs", "candidates"))]
+    return files[0].join(files[1], "s1_id", "full")
+
+
+@query(f"WITH {_F05} SELECT round(coalesce(avg(f05), 0.0), 6) AS macro_f05 FROM f")
+def score_files(spark, sf_dir):
+    folder = tables.shared_folder(spark)
+    found, truth = _exact_lists(spark, sf_dir)
+    tables.write_id_lists(found, f"{folder}/matching_results.tsv")
+    tables.write_id_lists(truth, f"{folder}/truth.tsv", ends="\n")
+    score = evaluate.score_files(spark, f"{folder}/matching_results.tsv", f"{folder}/truth.tsv")
+    return spark.createDataFrame([(round(score, 6),)], "macro_f05 double")
+
+
+@query(f"WITH x AS ({ORACLE_SQL['feature_matrix']}) SELECT s1_id, cand_id, label, round(name_levenshtein::FLOAT::DOUBLE, 4) AS name_levenshtein, round(token_set::FLOAT::DOUBLE, 4) AS token_set, shared_tokens FROM x")
+def feature_store(spark, sf_dir):
+    folder = tables.shared_folder(spark)
+    tables.write_features(feature_matrix(spark, sf_dir), folder, "train")
+    stored = tables.read_features(spark, folder, "train")
+    return stored.select("s1_id", "cand_id", "label", *[F.round(F.col(c).cast("double"), 4).alias(c) for c in ("name_levenshtein", "token_set")], F.col("shared_tokens").cast("double").alias("shared_tokens"))
+
+
+@query(f"WITH {_REC}, {chains.names()}, {chains.addresses('n_done')} SELECT {', '.join(_DERIVED)} FROM d_done WHERE src = 'S2'")
+def normalized_stream(spark, sf_dir):
+    """One source table as a stream, to its end."""
+    folder = _source_files(spark, sf_dir)
+    rows = spark.readStream.schema(schema.SOURCE).csv(f"{folder}/train/train_source2.tsv", sep="\t", header=True, quote='"', escape='"')
+    running = stream.normalize_stream(rows, f"{folder}/out", f"{folder}/checkpoint")
+    running.processAllAvailable()
+    running.stop()
+    return spark.read.parquet(f"{folder}/out").select(*_DERIVED)
+
+
 # --- whole texts ---------------------------------------------------------------------------------
 
 

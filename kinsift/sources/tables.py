@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 import warnings
 
@@ -171,11 +172,29 @@ def write_normalized(rows: DataFrame, path: str, tsv: bool = False) -> None:
     """Parquet by country, or a tab-separated export with True/False and empty cells for null."""
     if tsv:
         flat = [F.initcap(F.col(c).cast("string")).alias(c) if t == "boolean" else F.col(c) for c, t in rows.dtypes]
-        rows.select(flat).write.mode("overwrite").csv(path, sep="\t", header=True, nullValue="", emptyValue="")
+        exact = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+        rows.select(flat).write.mode("overwrite").csv(path, sep="\t", header=True, nullValue="", emptyValue="", **exact)
     else:
         rows.write.mode("overwrite").partitionBy(schema.COUNTRY).parquet(path)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder for files of this session, below the folder that all executors share (spark.checkpoint.dir).
+
+    Only a local session may go without that setting.  The folder goes when the driver's JVM ends.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        base = f"file://{tempfile.gettempdir()}"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/kinsift-files-{uuid.uuid4().hex}")
+    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    system.mkdirs(path)
+    system.deleteOnExit(path)
+    return path.toString()
+
+
 def require(spark: SparkSession, *paths: str) -> None:
     """Raises if an input is missing."""
     gone = [p for p in paths if not exists(spark, p)]
