@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import html
+import re
 import unicodedata
 
 import pandas as pd
@@ -12,25 +14,45 @@ from pyspark.sql import types as T
 # Typographic characters and what they stand for.
 PLAIN = str.maketrans(
     {"\u2018": "'", "\u2019": "'", "\u201a": "'", "\u201b": "'", "\u201c": '"', "\u201d": '"', "\u201e": '"', "\u201f": '"'}
-    | {"\ufb00": "ff", "\ufb01": "fi", "\ufb02": "fl", "\ufb03": "ffi", "\ufb04": "ffl", "\u2028": "\n", "\u2029": "\n", "\x85": "\n"}
+    | {"\ufb00": "ff", "\ufb01": "fi", "\ufb02": "fl", "\ufb03": "ffi", "\ufb04": "ffl", "\ufb05": "ſt", "\ufb06": "st", "\u2028": "\n", "\u2029": "\n", "\x85": "\n"}
+    | {"\u0132": "IJ", "\u0133": "ij", "\u0149": "ʼn", "\u01f1": "DZ", "\u01f2": "Dz", "\u01f3": "dz", "\u01c4": "DŽ", "\u01c5": "Dž", "\u01c6": "dž", "\u01c7": "LJ", "\u01c8": "Lj", "\u01c9": "lj", "\u01ca": "NJ", "\u01cb": "Nj", "\u01cc": "nj"}
 )
 WIDE = {c: c - 0xFEE0 for c in range(0xFF01, 0xFF5F)} | {0x3000: 0x20}
 CONTROL = {c: None for c in (*range(0, 9), 11, *range(14, 32), 127, 0xFEFF)}
 
 
+# HTML entities in a text, and escape sequences of terminals.
+ENTITY = re.compile(r"&#?[0-9A-Za-z]{1,24};")
+TERMINAL = re.compile(r"\x1b\[(?:\d|;)*[a-zA-Z]")
+#: C1 control characters as Windows-1252 reads their bytes, where it has a character for them.
+C1 = {b: c for b in range(0x80, 0xA0) if b != 0x85 and (c := bytes([b]).decode("cp1252", "ignore"))}
+
+
+def decoded(text: str) -> str:
+    """The text that was read as Windows-1252 or Latin-1 but is UTF-8, as often as it was."""
+    for _ in range(4):
+        for code in ("cp1252", "latin-1"):
+            try:
+                fixed = text.encode(code).decode("utf-8")
+            except UnicodeError:
+                continue
+            break
+        else:
+            return text
+        if fixed == text:
+            return text
+        text = fixed
+    return text
+
+
 def fix_text(text: str) -> str:
-    """A subset of text repair: doubly encoded UTF-8, quotes, ligatures, wide forms, line ends, control characters, NFC.
+    """A subset of text repair: entities (of texts without tags), terminal escapes, doubly encoded UTF-8, C1 controls, quotes, ligatures, wide forms, line ends, control characters, NFC.
 
-    Not covered: HTML entities, mixed encodings within one text, and encodings other than Windows-1252 and Latin-1.
+    Not covered: mixed encodings within one text, and encodings other than Windows-1252 and Latin-1.
     """
-    for code in ("cp1252", "latin-1"):
-        try:
-            fixed = text.encode(code).decode("utf-8")
-        except UnicodeError:
-            continue
-        if fixed != text:
-            text = fixed
-            break
+    if "<" not in text and "&" in text:
+        text = ENTITY.sub(lambda m: html.unescape(m[0]), text)
+    text = decoded(TERMINAL.sub("", text)).translate(C1)
     text = text.replace("\r\n", "\n").replace("\r", "\n")
     return unicodedata.normalize("NFC", text.translate(PLAIN).translate(WIDE).translate(CONTROL))
 
@@ -63,7 +85,7 @@ def scripts_in(text: str) -> list[str]:
 
 @F.pandas_udf(T.StructType([T.StructField("fixed", T.StringType()), T.StructField("nfkd", T.StringType())]))
 def _unicode(texts: pd.Series) -> pd.DataFrame:
-    fixed = [None if t is None else t if t.isascii() and t.isprintable() else fix_text(t) for t in texts]
+    fixed = [None if t is None else t if t.isascii() and t.isprintable() and "&" not in t else fix_text(t) for t in texts]
     return pd.DataFrame({"fixed": fixed, "nfkd": [None if t is None else unicodedata.normalize("NFKD", t) for t in fixed]}, dtype=object)
 
 

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from kinsift import jobs, schema
+from kinsift.functions import scripts
 from kinsift.operators import blocking, evaluate, matching, normalize, validate
 from kinsift.sources import tables
 from kinsift.streaming.normalize import normalize_stream
@@ -161,3 +162,23 @@ def test_stream(spark, data):
     query.processAllAvailable()
     query.stop()
     assert spark.read.parquet(str(data / "stream")).filter("name_clean like 'acme widgets%'").count() == 120
+
+
+@pytest.mark.parametrize(
+    ("broken", "whole"),
+    [
+        ("Caf\u00c3\u00a9", "Café"),
+        ("Caf\u00c3\u0192\u00c2\u00a9", "Café"),  # twice
+        ("Smith &amp; S&ouml;hne", "Smith & Söhne"),
+        ("a <b> &amp; c", "a <b> &amp; c"),
+        ("\x1b[31mred\x1b[0m", "red"),
+        ("\u201cx\u201d \ufb01t \uff21\uff22", '"x" fit AB'),
+        ("a\r\nb\x00\x08c", "a\nbc"),
+        ("e\u0301", "é"),
+        ("5 \x80", "5 €"),
+        ("plain", "plain"),
+        ("", ""),
+    ],
+)
+def test_text_repair(broken, whole):
+    assert scripts.fix_text(broken) == whole
