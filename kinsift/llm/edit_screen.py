@@ -36,6 +36,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -307,9 +308,8 @@ def blocks(benchmark: DataFrame) -> Iterator[Screen]:
         yield Screen(ids, pa.array(texts, pa.string()))
 
 
-def searched(rows: DataFrame, block: Screen, only_found: bool = False) -> DataFrame:
+def searched(rows: DataFrame, shared: Broadcast, only_found: bool = False) -> DataFrame:
     """rows with item_ids, the items of a block that each text has; a map without a shuffle."""
-    shared = rows.sparkSession.sparkContext.broadcast(block)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -325,16 +325,19 @@ def screen(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     docs = docs.drop("item_ids", "contaminated")
     none = F.array().cast("array<long>")
     several = blocks(benchmark)
+    context = docs.sparkSession.sparkContext
     first, second = next(several, None), next(several, None)
     if first is None:
         out = docs.withColumn("item_ids", none)
     elif second is None:
-        out = searched(docs, first)
+        out = searched(docs, context.broadcast(first))
     else:
         scratch, found = Scratch(docs.sparkSession), None
         texts = docs.select(*_text_keys(), "text")
         for k, block in enumerate(chain((first, second), several)):
-            part = scratch.stage(searched(texts, block, only_found=True).drop("text"), f"found{k}")
+            shared = context.broadcast(block)
+            part = scratch.stage(searched(texts, shared, only_found=True).drop("text"), f"found{k}")
+            shared.destroy()  # its finds are written
             found = part if found is None else found.unionByName(part)
         found = found.select("_a", "_b", F.explode("item_ids").alias("item")).groupBy("_a", "_b").agg(F.array_sort(F.collect_set("item")).alias("item_ids"))
         # the row travels in a struct, so that none of its columns is taken for one of those made here
