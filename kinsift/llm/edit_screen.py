@@ -355,4 +355,4 @@ def op6_edit_screen(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents: contaminated, how many items, and which."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     found = screen(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return found.select("doc_id", "contaminated", F.size("item_ids").cast("long").alias("n_items"), "item_ids")
+    return found.select("doc_id", "contaminated", F.size("item_ids").cast("long").alias("n_items"), F.array_join(F.col("item_ids").cast("array<string>"), ",").alias("item_ids"))

@@ -5,6 +5,7 @@ It states each contract anew and shares no code with the operators but their fix
 
 from __future__ import annotations
 
+from kinsift.llm.edit_screen import RATE
 from kinsift.llm.hash_tree import LEVELS, HashTree
 from kinsift.llm.risk_rules import ALPHA, CUTOFFS, DELTA
 
@@ -106,4 +107,21 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
 FROM c LEFT JOIN rejected ON rejected.r = c.r
 """
 
-ORACLE_SQL = {"op2_parsed_repeats": REPEATS, "op4_hash_tree": SHARDS, "op5_near_forest": COMPONENTS, "op8_risk_rules": RULES}
+# --- op6: every part of a document as long as an item, give or take its edits; words as letters of the item's own ---
+
+_WORDS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+
+#: A document's words that an item hasn't are one letter, and DuckDB's distance counts bytes; so items may have 90 different words.
+CONTAMINATED = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+i AS (SELECT item_id, w, list_sort(list_distinct(w)) AS own, len(w) AS m, floor({RATE}::DOUBLE * len(w))::BIGINT AS k FROM (SELECT item_id, {_WORDS} AS w FROM benchmark WHERE item_id IS NOT NULL) WHERE len(w) > 0),
+dw AS (SELECT DISTINCT r, unnest(w) AS x FROM d), iw AS (SELECT item_id, unnest(own) AS x FROM i),
+likely AS (SELECT near.r, i.item_id, i.m, i.k, array_to_string(list_transform(i.w, lambda x: chr(33 + list_position(i.own, x)::INT)), '') AS a, array_to_string(list_transform(d.w, lambda x: CASE WHEN list_contains(i.own, x) THEN chr(33 + list_position(i.own, x)::INT) ELSE '!' END), '') AS b
+  FROM (SELECT r, iw.item_id, count(*) AS n FROM dw JOIN iw ON iw.x = dw.x GROUP BY 1, 2) near JOIN i ON i.item_id = near.item_id AND n >= len(own) - k JOIN d ON d.r = near.r),
+part AS (SELECT r, item_id, k, a, b, pos, unnest(range(greatest(m - k, 1), m + k + 1)) AS n FROM (SELECT *, unnest(range(1, length(b) + 1)) AS pos FROM likely) WHERE substr(b, pos, 1) <> '!'),
+hit AS (SELECT DISTINCT r, item_id FROM part WHERE levenshtein(a, substr(b, pos, n)) <= k),
+found AS (SELECT r, count(*) AS n, string_agg(item_id::VARCHAR, ',' ORDER BY item_id) AS ids FROM hit GROUP BY r)
+SELECT doc_id, found.r IS NOT NULL AS contaminated, coalesce(n, 0)::BIGINT AS n_items, coalesce(ids, '') AS item_ids FROM d LEFT JOIN found ON found.r = d.r
+"""
+
+ORACLE_SQL = {"op6_edit_screen": CONTAMINATED, "op2_parsed_repeats": REPEATS, "op4_hash_tree": SHARDS, "op5_near_forest": COMPONENTS, "op8_risk_rules": RULES}

@@ -582,8 +582,9 @@ def test_sql(spark, tmp_path, name, odd):
         rows = corpus() + corpus()[:3] + [(None, "null id " * 40, None, None), (None, None, "", None), (2, "another text of two " * 30, "de", None)]
         spark.createDataFrame(rows, "doc_id long, text string, lang string, kept string").coalesce(1).write.parquet(f"{folder}/documents.parquet")
         spark.createDataFrame([(d, d % 2) for d in range(40)] + [(3, None), (5, 0)], "doc_id long, quality int").coalesce(1).write.parquet(f"{folder}/labels.parquet")
+        spark.createDataFrame([(i, t) for i, t in enumerate([corpus()[3][1][:120], "one two", None, "", corpus()[7][1][:300], "no such words here at all"])], "item_id long, text string").coalesce(1).write.parquet(f"{folder}/benchmark.parquet")
     con = duckdb.connect()
-    for table in ("documents", "labels"):
+    for table in ("documents", "labels", "benchmark"):
         con.sql(f"create view {table} as select * from '{folder}/{table}.parquet{'/*.parquet' if odd else ''}'")
     got = catalog.QUERIES[name](spark, folder)
     columns = ", ".join(sorted(got.columns))
