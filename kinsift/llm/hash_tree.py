@@ -7,9 +7,10 @@ subtree that changed.  Growth is tagged with a generation: a shard added later s
 its own at every level, so a row that its subtree draws can end nowhere but in the new shard, and one
 more shard takes rows only into itself (law ``key``).
 
-Edge cases: a null doc_id draws as the text "null"; null text has 16 bytes and checksum 0; rows with
-equal doc_id share a shard; repeated rows get slots of their own; an empty table gives an empty result.
-Columns besides doc_id and text pass through ``assign`` (names that it adds are replaced).
+Edge cases: a null doc_id draws as the text "null"; null text has 16 bytes and checksum 0; texts of any length
+are only measured; of equal straws the child with the lesser name wins; rows with equal doc_id share a shard;
+repeated rows get slots of their own; an empty table gives an empty result. Columns besides doc_id and text
+pass through ``assign`` (names that it adds are replaced).
 """
 
 from __future__ import annotations

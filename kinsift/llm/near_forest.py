@@ -19,11 +19,12 @@ For a pair at Jaccard 0.85 the chance that no tree of 20 has them in a region is
 5e-3 at 9 (2e-4, 2e-3 and 6e-2 at 0.8); a signature of 120 values is below the margin for 1 in 10^5 such pairs.
 Regions deeper than 4 are those of over DENSE classes, where a class also meets many others of its group.
 
-Edge cases: null and empty texts and those without words have an empty set, linked with nothing; fewer than
-k words make one shingle; repeated rows and equal texts share a class; rows with one doc_id and different texts
-are told apart by their texts; a null doc_id is linked as any other and takes its component's smallest doc_id
-(null if there is none); an empty table gives an empty result; other columns pass through ``dedup``, which keeps
-of each component the document with the smallest doc_id (null last) and text hash, and all rows equal to it.
+Edge cases: null and empty texts and those without words have an empty set, linked with nothing; fewer than k
+words make one shingle; texts of any length count whole; a similarity of just the threshold links; repeated
+rows and equal texts share a class; rows with one doc_id and different texts are told apart by their texts; a
+null doc_id is linked as any other and takes its component's smallest doc_id (null if there is none); an empty
+table gives an empty result; other columns pass through ``dedup``, which keeps of each component the document
+with the smallest doc_id (null last) and text hash, and all rows equal to it.
 """
 
 from __future__ import annotations

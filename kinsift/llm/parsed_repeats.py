@@ -24,10 +24,10 @@ text, and a task holds one bucket at a time.  A trigger with over HOT windows to
 documents, which differ around it) is not compared in one task: its windows are dealt by their own hashes, and
 one aggregation finds the smallest document of each.
 
-Edge cases: null and empty texts have nothing to remove; texts shorter than WIDTH are left whole; equal
-texts lose everything in all but the smallest document; rows with the same doc_id do not count as earlier
-for each other; a null doc_id counts as larger than all; empty tables give empty results; further columns
-are not looked at.
+Edge cases: null and empty texts have nothing to remove; texts shorter than WIDTH are left whole, and texts of
+any length are read whole; equal texts lose everything in all but the smallest document; rows with the same
+doc_id do not count as earlier for each other; a null doc_id counts as larger than all; empty tables give
+empty results; further columns are not looked at.
 """
 
 from __future__ import annotations

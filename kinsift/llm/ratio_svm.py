@@ -8,10 +8,10 @@ The fit uses a bounded sample: at most SAMPLE labelled rows, those whose hashed
 these the whole texts.  Only their features (2 bytes each) go to the driver.  All documents are scored, in
 one map without a shuffle; what is broadcast is 2**BITS weights.
 
-Edge cases: null and empty texts have no feature and get the score of the bias; texts of any length are
-read whole; repeated labels of a doc_id count once (the least); labels that are null or other than 0 and 1,
-or of documents that aren't there, are left out; of rows with one doc_id the fit takes one (by text hash), and
-each is scored; with no labels of either class all scores are 0.5; an empty table gives an empty result.
+Edge cases: null and empty texts have no feature and get the score of the bias; texts of any length are read
+whole; repeated labels of a doc_id count once (the least); labels that are null or other than 0 and 1, or of
+documents that aren't there, are left out; of rows with one doc_id the fit takes one (by text hash), and each
+is scored; with no labels of either class all scores are 0.5; an empty table gives an empty result.
 """
 
 from __future__ import annotations

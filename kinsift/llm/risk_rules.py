@@ -9,9 +9,10 @@ Bonferroni, DELTA / (strata * rules).  So with probability 1 - DELTA or more, in
 ALPHA of good texts are rejected by all rules together.  A stratum with too few labels certifies nothing
 and rejects nothing.  All labelled rows are counted, by one aggregation; nothing is sampled.
 
-Edge cases: null and empty texts have no words and fail the base rule; a null language is a stratum;
-repeated rows count as they come; empty tables, or no labels, give no cutoffs; more columns pass through
-``verdicts`` (names that it adds are replaced).
+Edge cases: null and empty texts have no words and fail the base rule; texts of any length are measured whole;
+a ratio equal to a cutoff rejects; a null language is a stratum of its own; repeated rows count as they come;
+empty tables, or no labels, give no cutoffs; more columns pass through ``verdicts`` (names that it adds are
+replaced).
 """
 
 from __future__ import annotations

@@ -9,10 +9,11 @@ positions of every 64th one-bit, so no table of 64-bit offsets exists in the fil
 Layout: ids | JSON footer | its length, uint32 | b"KSTOK1".  A file's first id has the global number
 ``start`` of the manifest (counts of the files before it).
 
-Edge cases: a null or empty text has no ids besides the end id; rows with null doc_id come first and are
-counted in the footer; repeated rows are documents of their own; an empty table makes an empty store;
-further columns are ignored.  Files are written to a name of the task's attempt, and the manifest names
-those whose tasks succeeded, so a task that runs again does no harm.
+Edge cases: a null or empty text has no ids besides the end id; texts of any length are encoded whole; rows of
+one doc_id are in order of their text's checksum; rows with null doc_id come first and are counted in the
+footer; repeated rows are documents of their own; an empty table makes an empty store; further columns are
+ignored. Files are written to a name of the task's attempt, and the manifest names those whose tasks
+succeeded, so a task that runs again does no harm.
 """
 
 from __future__ import annotations
