@@ -14,7 +14,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from kinsift.llm import catalog, edit_screen, hash_tree, near_forest, oracle, parsed_repeats, piece_codec, ratio_svm, risk_rules, template_lines, token_store, warc_derive
+from kinsift.llm import catalog, edit_screen, hash_tree, near_forest, oracle, parsed_repeats, piece_codec, ratio_svm, risk_rules, template_lines, token_store, units, warc_derive
 from kinsift.llm.scratch import Scratch, shared_dir
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -466,6 +466,27 @@ def test_units_against_the_library(most):
         assert ids_of(coder, texts) == [tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
 
 
+@pytest.mark.parametrize("collide", [False, True])
+@pytest.mark.parametrize("most", [1 << 30, 3000])
+def test_table_of_units(monkeypatch, collide, most):
+    """Every unit gets its own ids, also where all hashes are equal, and where the table forgets."""
+    if collide:
+        monkeypatch.setattr(units, "mix", lambda x: x * np.uint64(0))
+        monkeypatch.setattr(units, "span_hashes", lambda data, starts, ends: np.zeros(len(starts), np.uint64))
+    solve = lambda found: [[len(u), *u][: 1 + len(u) % 50] for u in found]
+    table = units.UnitTable(solve, "i4", most)
+    rng = random.Random(1)
+    for _ in range(12):
+        words = [bytes(rng.choice(b"ab\0") for _ in range(rng.choice([1, 2, 7, 8, 9, 15, 16, 17, 40, 90]))) for _ in range(60)]
+        ends = np.cumsum([len(w) for w in words])
+        data = np.frombuffer(b"".join(words), np.uint8)
+        flat, counts = table.runs(table.find(data, ends - np.array([len(w) for w in words]), ends))
+        assert [x.tolist() for x in np.split(flat, np.cumsum(counts)[:-1])] == solve(words)
+    assert most > 1 << 20 or table.held() < most + 60 * 400
+    flat, counts = table.runs(table.find(np.zeros(0, np.uint8), np.zeros(0, np.int64), np.zeros(0, np.int64)))
+    assert len(flat) == len(counts) == 0
+
+
 def test_added_tokens():
     import public_tokenizers
     from tokenizers import Tokenizer
