@@ -2,25 +2,23 @@
 
 A line's tokens (split at white space) are masked: one that holds a digit is a variable field, ``<*>``.
 The tree has a fixed depth: the number of tokens, then the first LEAD masked tokens; a leaf holds the lines
-that agree in these.  A leaf keeps several groups of similar lines, each with a template: the tokens that all
-lines of the group share at their places, the others being variable fields.  A group's template has
-MIN_CONSTANT constants or more, a CONSTANT_SHARE of its tokens.  Lines of one masked text enter once, by
-first document, and join the group that keeps most constants, or begin one.
+that agree in these.  Two lines of a leaf are linked if they agree in MIN_CONSTANT constants or more, a
+CONSTANT_SHARE of their tokens: these are a template of both, the other places being variable fields.  Lines of
+one masked text enter once, by first and last document.
 
-A template with enough constants has, of the blocks into which a line's places are cut (one more than the
-variable fields allowed), at least one without variable fields.  So all lines of a group agree in a block, and
-groups are made among the lines of a leaf that agree in one; unrelated lines of the leaf never matter.  A line
-that is in groups of several blocks stays in that with most lines.  Where over HELD different lines agree in a
-block, groups are made of parts of them, each in a task of its own, and then of the parts' templates.
+Of the blocks into which a line's places are cut (one more than the variable fields allowed), two linked lines
+agree in at least one without variable fields.  So lines are compared with those of their leaf that agree in a
+block, each with each, and no link is left out; unrelated lines of the leaf never matter.  Where over HELD
+different lines agree in a block, they are dealt into parts, and each two parts are compared in a task of
+their own.
 
-A template recurs if MIN_DOCS or more documents have it; a masked line needs MIN_TOKENS tokens and a
-MASKED_SHARE of constants, and other lines recur only word for word.  The first document that has a recurring template (the least doc_id) keeps its lines; other documents drop theirs.
+A line recurs if it and those linked with it are in MIN_DOCS or more documents; a masked line needs MIN_TOKENS
+tokens and a MASKED_SHARE of constants, and other lines recur only word for word.  The first document (the least
+doc_id) that has a line or one linked with it keeps it; later documents drop theirs.
 
 Edge cases: a null text stays null and an empty one empty; blank lines are kept and have no template; texts of
-any length count whole; of groups that keep equally many constants a line joins the first, and of equally
-large groups of several blocks the one with the larger name; rows with equal doc_id are one document; a null
-doc_id loses recurring lines but counts for no document; an empty table gives an empty result; other columns
-pass through (n_chars, if there, is recounted).
+any length count whole; rows with equal doc_id are one document; a null doc_id loses recurring lines but
+counts for no document; an empty table gives an empty result; other columns pass through (n_chars, if there, is recounted).
 """
 
 from __future__ import annotations
@@ -43,7 +41,7 @@ VARIABLE = U(0xA5A5A5A5)  # stands for the hash of a masked token
 
 
 def least(n: int) -> int:
-    """How many constants a group's template of n tokens needs."""
+    """In how many constants two lines of n tokens must agree."""
     return max(MIN_CONSTANT, math.ceil(CONSTANT_SHARE * n - 1e-9))
 
 
@@ -76,7 +74,7 @@ class Lines:
         sums_of = np.where((self.count < MIN_TOKENS) | (constants < MASKED_SHARE * self.count), plain[self.first + self.count] - plain[self.first], sums[self.first + self.count] - sums[self.first])
         self.template = mix(sums_of + size)
         leaf = mix(sums[self.first + np.minimum(LEAD, self.count)] - sums[self.first] + (size << U(32)))
-        # lines with too few constants for a group are a leaf of their own
+        # lines with too few constants for a link are a leaf of their own
         self.leaf = np.where(constants >= np.maximum(MIN_CONSTANT, np.ceil(CONSTANT_SHARE * self.count - 1e-9)), leaf, self.template)
 
 
@@ -118,78 +116,32 @@ def fields(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array([a for a, _ in found.values()], pa.binary()), pa.array([k for _, k in found.values()], pa.list_(pa.int64()))], ["template", "tokens", "keys"])
 
 
-def similar(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each row of tokens (0: masked) the number of its group, joined or begun in this order; and the groups' tokens."""
-    need, held = least(tokens.shape[1]), 0
-    groups = np.zeros_like(tokens)
-    out = np.zeros(len(tokens), np.int64)
-    for i, row in enumerate(tokens):
-        same = (groups[:held] == row) & (row != 0)
-        constants = same.sum(axis=1)
-        best = int(constants.argmax()) if held else 0
-        if held and constants[best] >= need:
-            groups[best] = np.where(same[best], row, U(0))
-        else:
-            best, held = held, held + 1
-            groups[best] = row
-        out[i] = best
-    return out, groups[:held]
-
-
-def group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """template, first, last, size (lines) and number of its group, of groups of several templates.
-
-    Batches have key, template, first and last document, number of lines and tokens, sorted by key.
-    """
-    for table in grouped(batches):
-        column = table.column(5).combine_chunks().to_pylist()
-        number, _ = similar(np.frombuffer(b"".join(column), U).reshape(len(column), -1))
-        members = np.bincount(number)
-        if members.max() < 2:
-            continue
-        size = np.bincount(number, table.column(4).to_numpy()).astype(np.int64)
-        key = U(table.column(0)[0].as_py() & 0xFFFFFFFFFFFFFFFF)
-        names = mix(key ^ mix(np.arange(len(members)).astype(U)))
-        own = np.flatnonzero(members[number] > 1)
-        part = table.select([1, 2, 3]).take(pa.array(own)).combine_chunks()
-        yield pa.RecordBatch.from_arrays([*(part.column(k).combine_chunks() for k in range(3)), pa.array(size[number[own]]), signed(names[number[own]])], ["template", "first", "last", "size", "group"])
-
-
-def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The rows (task, key, id, first, last, times, n, tokens, sorted by task), with their group's tokens for their own."""
-    for table in grouped(batches):
-        column = table.column(7).combine_chunks().to_pylist()
-        number, tokens = similar(np.frombuffer(b"".join(column), U).reshape(len(column), -1))
-        of_group = [row.tobytes() for row in tokens]
-        yield pa.RecordBatch.from_arrays([*(table.column(i).combine_chunks() for i in range(1, 7)), pa.array([of_group[i] for i in number.tolist()], pa.binary())], table.schema.names[1:])
+def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """template, first and last document of it and of the templates of the same task that are like it.
 
-
-def merged(rows: DataFrame, scratch: Scratch, name: str) -> tuple[DataFrame, DataFrame]:
-    """Groups of rows (key, id, first, last, times, n, tokens) with one key, at most about HELD rows a task.
-
-    Returns (key, id, group) and the groups in the form of rows; groups of one key with equal tokens are one.
+    Batches have task, template, first and last document and tokens, sorted by task.
     """
-    sizes = rows.groupBy("key").agg(F.ceil(F.count("*") / HELD).alias("_parts"))
-    dealt = rows.join(sizes.hint("merge"), "key").withColumn("task", F.xxhash64("key", F.pmod(F.xxhash64("id", F.lit(name)), F.col("_parts"))))
-    dealt = dealt.select("task", "key", "id", "first", "last", "times", "n", "tokens").repartition("task").sortWithinPartitions(F.col("task"), F.col("first").asc_nulls_last(), F.col("id"))
-    found = scratch.stage(dealt.mapInArrow(assign, "key long, id long, first long, last long, times long, n long, tokens binary"), f"{name}_rows")
-    groups = found.groupBy("key", "tokens").agg(F.min("id").alias("group"), F.min("first").alias("first"), F.max("last").alias("last"), F.sum("times").alias("times"), F.sum("n").alias("n"))
-    groups = scratch.stage(groups, f"{name}_groups")
-    return found.select("key", "id", "tokens").join(groups.select("key", "tokens", "group").hint("merge"), ["key", "tokens"]).select("key", "id", "group"), groups.withColumnRenamed("group", "id")
-
-
-def grouped_widely(members: DataFrame, scratch: Scratch) -> DataFrame:
-    """What ``group`` gives, for keys with very many members: template, first, last, size, group."""
-    rows = members.select("key", F.col("template").alias("id"), "first", "last", "times", F.lit(1).cast("long").alias("n"), "tokens")
-    rows = scratch.stage(rows, "wide")
-    parts, tops = merged(rows, scratch, "wide1")
-    wholes, finals = merged(tops.select(rows.columns), scratch, "wide2")
-    # the key keeps groups of equal names in different blocks apart
-    name = F.xxhash64("key", "group").alias("group")
-    named = wholes.join(finals.filter("n > 1").select("key", F.col("id").alias("group"), F.col("times").alias("size")).hint("merge"), ["key", "group"])
-    named = named.select("key", F.col("id").alias("part"), "size", name)
-    own = parts.withColumnRenamed("group", "part").join(named.hint("merge"), ["key", "part"]).select("key", "id", "size", "group")
-    return own.join(rows.select("key", "id", "first", "last").hint("merge"), ["key", "id"]).select(F.col("id").alias("template"), "first", "last", "size", "group")
+    low, high = -(2**63), 2**63 - 1
+    for table in grouped(batches):
+        column = table.column(4).combine_chunks()
+        size = column.to_numpy(zero_copy_only=False)
+        lengths = np.fromiter(map(len, size), np.int64, len(size))
+        template, first, last = (table.column(i).fill_null(x).to_numpy() for i, x in ((1, 0), (2, high), (3, low)))
+        for length in np.unique(lengths).tolist():  # one, but for hash accidents
+            own = np.flatnonzero(lengths == length)
+            tokens = np.frombuffer(b"".join(size[own]), U).reshape(len(own), -1)
+            need, k = least(tokens.shape[1]), len(own)
+            others = np.where(tokens == 0, U(2), tokens)  # tokens are odd, and masked ones agree with nothing
+            a, b = first[own], last[own]
+            before, after = a.copy(), b.copy()
+            step = max(1, (1 << 22) // tokens.size)
+            for i in range(0, k, step):
+                like = (tokens[i : i + step, None, :] == others[None, :, :]).sum(axis=2) >= need
+                before[i : i + step] = np.minimum(a[i : i + step], np.where(like, a, high).min(axis=1))
+                after[i : i + step] = np.maximum(b[i : i + step], np.where(like, b, low).max(axis=1))
+            # of a line without a doc_id, documents of several tasks count together
+            fine = np.flatnonzero((before < after) | (a == high) & (before < high))
+            yield pa.RecordBatch.from_arrays([pa.array(x[fine]) for x in (template[own], before, after)], ["template", "first", "last"])
 
 
 def dropped(docs: DataFrame, scratch: Scratch, shortest: int) -> DataFrame:
@@ -198,7 +150,7 @@ def dropped(docs: DataFrame, scratch: Scratch, shortest: int) -> DataFrame:
     lines = scratch.stage(texts.mapInArrow(lambda batches: parse(batches, shortest), "doc_id long, at int, template long, leaf long"), "lines")
     templates = lines.groupBy("template").agg(F.first("leaf").alias("leaf"), F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.count("*").alias("times"))
     templates = scratch.stage(templates, "templates")
-    exact = templates.filter("first < last").select("template", "first")
+    exact = templates.filter("first < last").select("template", "first", "last")
     # leaves of several documents whose lines differ; the lists grow with the input, so none is broadcast
     mixed = templates.groupBy("leaf").agg(F.min("first").alias("a"), F.max("last").alias("b"), F.count("*").alias("k")).filter("a < b and k > 1").select("leaf").hint("merge")
     wanted = scratch.stage(templates.join(mixed, "leaf").select("template", "first", "last", "times"), "wanted")
@@ -208,23 +160,17 @@ def dropped(docs: DataFrame, scratch: Scratch, shortest: int) -> DataFrame:
     words = scratch.stage(words.join(wanted.hint("merge"), "template"), "words")
     # blocks of lines that differ, of several documents; of those with the same lines one will do
     keys = words.select("template", "first", "last", F.explode("keys").alias("key"))
-    blocks = keys.groupBy("key").agg(F.min("first").alias("a"), F.max("last").alias("b"), F.count("*").alias("k"), F.sum(F.col("template").cast("decimal(20,0)")).alias("sum")).filter("a < b and k > 1")
-    blocks = scratch.stage(blocks.groupBy("k", "sum").agg(F.min("key").alias("key")).select("key", (F.col("k") > HELD).alias("wide")), "blocks")
-
-    def members(wide: bool) -> DataFrame:
-        own = blocks.filter(F.col("wide") == wide).select("key").hint("merge")
-        return keys.select("template", "key").join(own, "key").join(words.drop("keys").hint("merge"), "template").select("key", "template", "first", "last", "times", "tokens")
-
-    narrow = members(False).repartition("key").sortWithinPartitions(F.col("key"), F.col("first").asc_nulls_last(), F.col("template"))
-    groups = narrow.mapInArrow(group, "template long, first long, last long, size long, group long")
-    if not blocks.filter("wide").isEmpty():
-        groups = groups.unionByName(grouped_widely(members(True), scratch))
-    best = F.max(F.struct("size", "group")).alias("best")
-    chosen = scratch.stage(groups.groupBy("template", "first", "last").agg(best).select("template", "first", "last", "best.group"), "chosen")
-    general = chosen.groupBy("group").agg(F.min("first").alias("a"), F.max("last").alias("b")).filter("a < b").select("group", "a").hint("merge")
-    general = chosen.join(general, "group").select("template", F.col("a").alias("first"))
+    blocks = keys.groupBy("key").agg(F.min("first").alias("a"), F.max("last").alias("b"), F.count("*").alias("k"), F.sum(F.col("template").cast("decimal(20,0)")).alias("sum"), F.count("first").alias("known")).filter("(a < b or known < k) and k > 1")
+    # lines of a block with many are dealt into parts, fewer than in proportion, and each two parts meet in a task
+    parts = F.when(F.col("k") > HELD, F.ceil(F.least(F.col("k") / HELD, 4 * F.sqrt(F.col("k") / HELD)))).otherwise(F.lit(1)).cast("long").alias("parts")
+    blocks = scratch.stage(blocks.groupBy("k", "sum").agg(F.min("key").alias("key")).select("key", parts), "blocks")
+    members = keys.select("template", "key").join(blocks.hint("merge"), "key").join(words.drop("keys").hint("merge"), "template")
+    own = members.withColumn("_own", F.pmod(F.xxhash64("template"), F.col("parts"))).withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    task = F.when(F.col("parts") == 1, F.col("key")).otherwise(F.xxhash64("key", F.least("_own", "_other"), F.greatest("_own", "_other"))).alias("task")
+    dealt = own.select(task, "template", "first", "last", "tokens").repartition("task").sortWithinPartitions("task")
+    general = dealt.mapInArrow(linked, "template long, first long, last long")
     # staged, so that the join can split a template with very many lines
-    recurring = scratch.stage(exact.unionByName(general).groupBy("template").agg(F.min("first").alias("first")), "recurring")
+    recurring = scratch.stage(exact.unionByName(general).groupBy("template").agg(F.min("first").alias("first"), F.max("last").alias("last")).filter("first < last").select("template", "first"), "recurring")
     gone = lines.join(recurring.hint("merge"), "template").filter("doc_id is null or doc_id > first").select("doc_id", "at")
     return scratch.stage(gone.groupBy("doc_id").agg(F.array_sort(F.collect_set("at")).alias("dropped")), "dropped")
 

@@ -674,3 +674,30 @@ def test_pipeline_leaves_other_columns_alone(spark):
         rows = docs.collect()
         assert len(rows) > 50 and all(r[c] == f"{c}{r.doc_id}" for r in rows if r.doc_id is not None for c in own)
         assert stage(spark, docs.limit(0), "/root/testdata/sf0.001").count() == 0
+
+
+@pytest.mark.parametrize("held", [512, 2])
+def test_linked_lines_by_force(spark, monkeypatch, held):
+    """Every line goes that is like a line of an earlier document, whichever other lines that one is like; also in blocks of many lines."""
+    monkeypatch.setattr(template_lines, "HELD", held)
+    rng = random.Random(4)
+    base = [f"{w}{w}" for w in "abcdefghijkl"]
+    texts = []
+    for i in range(150):
+        tokens = base[:]
+        for k in rng.sample(range(3, 12), rng.randint(1, 4)):
+            tokens[k] = rng.choice("xyz") * 3 if rng.random() < 0.6 else "7"
+        texts.append(" ".join(tokens))
+    need = template_lines.least(12)
+    like = lambda a, b: a == b or sum(x == y and x != "7" for x, y in zip(a.split(), b.split(), strict=True)) >= need
+    want = {i: "" if any(like(texts[j], t) for j in range(i)) else t for i, t in enumerate(texts)}
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id: r.text for r in template_lines.strip_templates(docs).collect()} == want
+    # the one without a doc_id is like one line of either document, by different words
+    odd = [(1, "aa bb cc dd ee ff gg xx yy zz"), (2, "aa bb cc uu vv ww gg hh ii jj"), (None, "aa bb cc dd ee ff gg hh ii jj")]
+    got = template_lines.strip_templates(spark.createDataFrame(odd, "doc_id long, text string"))
+    assert {r.doc_id: r.text for r in got.collect()} == {1: odd[0][1], 2: odd[1][1], None: ""}
+    # each is like the one before it, not all like the first: a template of all would have too few constants
+    chain = ["aa bb cc dd ee ff gg hh ii jj", "aa bb cc xx yy ff gg hh ii jj", "aa bb cc xx yy zz gg hh ii jj", "aa bb cc xx yy zz ww hh ii jj", "aa bb cc xx yy zz ww vv ii jj"]
+    docs = spark.createDataFrame([(i, chain[k]) for i, k in enumerate((0, 1, 2, 4))], "doc_id long, text string")
+    assert [r.text for r in template_lines.strip_templates(docs).orderBy("doc_id").collect()] == [chain[0], "", "", ""]
