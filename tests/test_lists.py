@@ -39,13 +39,28 @@ def test_queries_of_lists(spark, tmp_path, monkeypatch, masked):
     rng = random.Random(2)
     words = [a + b for a in ("alp", "bet", "gam", "del", "éps", "zet") for b in ("ha", "ax", "mo", "ta", "lé", "ny", "or", "ik")]
     texts = [" ".join(rng.choice(words) for _ in range(rng.randint(1, 9))) + rng.choice(["", " 12345", ", paris, tx"]) for _ in range(22)] + ["", None]
-    for name in ("alias_similarity", "feature_matrix", "strategy_contributions"):
+    for name in ("alias_similarity", "feature_matrix", "strategy_contributions") if masked > 2 else ("feature_matrix",):
         monkeypatch.setattr(pairs, "MASKED", masked)
         got, want = rows_of(spark, tmp_path, name, texts)
         assert got == want and got
 
 
-@pytest.mark.parametrize("name", ["alias_similarity"])
+@pytest.mark.parametrize("name", ["alias_similarity", "feature_matrix"])
 def test_distances_are_not_made_pair_by_pair(spark, name):
     plan = catalog.QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "_rows1" in plan and "levenshtein(" not in plan
+
+
+def test_trees(spark):
+    """Probabilities of the trees as read are those of the model."""
+    rng = random.Random(4)
+    rows = [(float(i), int(x > 0.4), x, y) for i in range(300) for x, y in [(rng.random(), rng.random())]]
+    d = spark.createDataFrame(rows, "id double, label int, x double, y double")
+    model = matching.fit_gbdt(d, ("x", "y"), maxIter=3)
+    want = [r.p for r in matching.predict(model, d).orderBy("id").collect()]
+    step = pairs.Step(0, 1, np.zeros(1, np.int64), np.zeros(300, np.int64), np.arange(300))
+    known = {"label": np.array([r[1] for r in rows]), "x": np.array([r[2] for r in rows]), "y": np.array([r[3] for r in rows])}
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(pairs, "features", lambda one, two: lambda step, kept: known)
+        got = pairs.predicted(matching.trees(model), ("x", "y"))(None, None)(step, np.arange(300))
+    assert got["p"] == pytest.approx(want, abs=1e-6)
