@@ -45,7 +45,7 @@ def test_queries_of_lists(spark, tmp_path, monkeypatch, masked):
         assert got == want and got
 
 
-@pytest.mark.parametrize("name", ["alias_similarity", "feature_matrix"])
+@pytest.mark.parametrize("name", ["alias_similarity", "feature_matrix", "gbdt_scores"])
 def test_distances_are_not_made_pair_by_pair(spark, name):
     plan = catalog.QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "_rows1" in plan and "levenshtein(" not in plan
